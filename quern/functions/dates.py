@@ -22,4 +22,6 @@ def past_only(value: Column, as_of: Column | None = None) -> Column:
 
 def month_start(value: Column) -> Column:
     """First day of a month written yyyy-MM; a text of another form fails the job."""
-    return F.to_timestamp(value, F.lit("yyyy-MM"))
+    parsed = F.try_to_timestamp(value, F.lit("yyyy-MM"))
+    wrong = F.raise_error(F.concat(F.lit("not a month: "), value)).cast("timestamp")
+    return F.when(value.isNull() | parsed.isNotNull(), parsed).otherwise(wrong)

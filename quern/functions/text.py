@@ -8,6 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.frames import string_columns
 
@@ -43,7 +44,7 @@ def strip_accents(value: Column) -> Column:
     return F.translate(value, _ACCENTED + _MARKS, _PLAIN)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decomposed(values: pd.Series) -> pd.Series:
     def plain(text):
         if text is None or text.isascii():

@@ -86,6 +86,11 @@ def kde(data: Data, column: str, points: int = KDE_POINTS, bins: int = KDE_BINS)
     )
 
 
+def rug(data: Data, column: str) -> DataFrame:
+    """The single values drawn below a density curve."""
+    return _together(data).select("Set", number(training(data), column).alias("x")).filter("x is not null")
+
+
 def _curves(values: DataFrame, points: int, bins: int) -> DataFrame:
     """Density curve of each of a few groups of (group, x)."""
     known = values.filter("x is not null and group is not null")

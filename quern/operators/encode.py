@@ -21,7 +21,7 @@ def _text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("nan"))
 
 
-def _short_list(df: DataFrame, category: Column, limit: int) -> list[str] | None:
+def short_list(df: DataFrame, category: Column, limit: int) -> list[str] | None:
     """Sorted distinct categories, or None when there are more than ``limit``."""
     rows = df.select(category.alias("c")).distinct().limit(limit + 1).collect()
     return sorted(row["c"] for row in rows) if len(rows) <= limit else None
@@ -29,7 +29,7 @@ def _short_list(df: DataFrame, category: Column, limit: int) -> list[str] | None
 
 def category_codes(df: DataFrame, column: str, short: int = SHORT_LIST) -> DataFrame:
     """Table (category, code) with codes 0..k-1 in the order of the categories."""
-    listed = _short_list(df, _text(column), short)
+    listed = short_list(df, _text(column), short)
     if listed is None:
         distinct = df.select(_text(column).alias("__category")).distinct()
         return global_index(distinct, ["__category"], "__code", start=0)
@@ -78,7 +78,7 @@ def one_hot_encode(data: Data, columns: Iterable[str], max_categories: int = ONE
     names = list(columns)
     indicators: dict[str, Column] = {}
     for column in names:
-        listed = _short_list(training(data), _text(column), max_categories)
+        listed = short_list(training(data), _text(column), max_categories)
         if listed is None:
             raise ValueError(f"{column} has more than {max_categories} categories")
         for category in listed[1:]:

@@ -21,6 +21,7 @@ from quern.frames import (
     string_columns,
     training,
 )
+from quern.operators.encode import ONE_HOT_LIMIT, short_list
 from quern.operators.scale import SCALERS, Scaling, fit_standard, scaled
 
 ONE_PASS_TERMS = 400
@@ -147,48 +148,60 @@ def explained_variance(df: DataFrame, components: Components) -> DataFrame:
 def f_statistics(df: DataFrame, target: str) -> dict[str, float | None]:
     """One-way analysis of variance of every feature over the classes of the target.
 
-    Text columns enter as indicators of each category but the first. Sums per class are combined before the
-    shuffle and reduced in a second aggregation, so neither classes nor rows are gathered.
+    Text columns enter as indicators of each category but the first.
     """
-    features = _features(df, target)
-    shift = df.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(features.values())]).first()
+    return _f_of(df, features(df, target), target)
+
+
+def _f_of(df: DataFrame, values: dict[str, Column], target: str) -> dict[str, float | None]:
+    """Sums per class are combined before the shuffle and reduced in a second aggregation.
+
+    Values are centred first, since the sums of their squares are subtracted from each other.
+    """
+    means = df.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(values.values())]).first()
     centred = df.select(
-        F.col(target).alias("y"), *[(x - F.lit(shift[i])).alias(f"x{i}") for i, x in enumerate(features.values())]
+        F.col(target).alias("y"), *[(x - F.lit(means[i])).alias(f"x{i}") for i, x in enumerate(values.values())]
     )
     sums = [F.count(F.lit(1)).alias("n")]
-    for i in range(len(features)):
+    for i in range(len(values)):
         sums += [F.sum(f"x{i}").alias(f"s{i}"), F.sum(F.col(f"x{i}") * F.col(f"x{i}")).alias(f"q{i}")]
     classes = centred.groupBy("y").agg(*sums)
     totals = [F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")]
-    for i in range(len(features)):
+    for i in range(len(values)):
         s = F.col(f"s{i}")
         totals += [F.sum(s * s / F.col("n")).alias(f"b{i}"), F.sum(s).alias(f"s{i}"), F.sum(f"q{i}").alias(f"q{i}")]
     row = classes.agg(*totals).first()
+    free = row["n"] - row["k"] if row["n"] else 0
     result: dict[str, float | None] = {}
-    for i, name in enumerate(features):
+    for i, name in enumerate(values):
+        if free <= 0 or row["k"] < 2 or row[f"b{i}"] is None:
+            result[name] = None
+            continue
         between = row[f"b{i}"] - row[f"s{i}"] ** 2 / row["n"]
         inside = row[f"q{i}"] - row[f"b{i}"]
-        free = row["n"] - row["k"]
-        valid = row["k"] > 1 and free > 0 and inside > 0
-        result[name] = (between / (row["k"] - 1)) / (inside / free) if valid else None
+        result[name] = (between / (row["k"] - 1)) / (inside / free) if inside > 0 else None
     return result
 
 
-def _features(df: DataFrame, target: str) -> dict[str, Column]:
+def features(df: DataFrame, target: str, max_categories: int = ONE_HOT_LIMIT) -> dict[str, Column]:
+    """Every column but the target as a number."""
     texts = set(string_columns(df)) | {f.name for f in df.schema if (f.metadata or {}).get(CATEGORY)}
-    features: dict[str, Column] = {}
+    values: dict[str, Column] = {}
     for name in (c for c in df.columns if c != target):
-        if name in texts:
-            for category in sorted(r[0] for r in df.select(name).distinct().collect() if r[0] is not None)[1:]:
-                features[f"{name}_{category}"] = F.when(F.col(name) == category, 1.0).otherwise(0.0)
-        else:
-            features[name] = F.col(name).cast("double")
-    return features
+        if name not in texts:
+            values[name] = F.col(name).cast("double")
+            continue
+        listed = short_list(df.filter(F.col(name).isNotNull()), F.col(name), max_categories)
+        if listed is None:
+            raise ValueError(f"{name} has more than {max_categories} categories")
+        for category in listed[1:]:
+            values[f"{name}_{category}"] = F.when(F.col(name) == category, 1.0).otherwise(0.0)
+    return values
 
 
 def select_best(df: DataFrame, target: str, k: int) -> DataFrame:
     """The k features with the largest F statistic, in their original order, and the target."""
-    scores = f_statistics(df, target)
-    features = _features(df, target)
-    ranked = sorted(features, key=lambda c: (scores[c] is None, -(scores[c] or 0.0)))[:k]
-    return df.select(*[features[c].alias(c) for c in features if c in ranked], target)
+    values = features(df, target)
+    scores = _f_of(df, values, target)
+    ranked = sorted(values, key=lambda c: (scores[c] is None, -(scores[c] or 0.0)))[:k]
+    return df.select(*[values[c].alias(c) for c in values if c in ranked], target)

@@ -226,16 +226,21 @@ def _stratified(df: DataFrame, sizes, seed, stratum: Column, columns) -> list[Da
         quotas = checkpointed(_with_quota(quotas, f"k{part}", taken, left))
         left -= taken
     sized = F.broadcast if kinds <= _BROADCAST_CLASSES else (lambda table: table)
-    cuts, ranks = quotas.select(F.col("__s").alias("__c")), F.lit(0)
+    ends, ranks = F.lit(0), []
     for part in range(len(totals)):
-        ranks = ranks + F.col(f"k{part}")
-        cut = _cuts_per_class(hashed, quotas.select("__s", ranks.alias("rank")), sized)
-        # A class too small to contribute has no cut: nothing of it lies below.
-        defaults = {f"cut{part}": -(1 << 63), f"share{part}": 0, f"ties{part}": 0}
-        cut = cut.toDF("__s", *defaults)
-        cuts = cuts.join(cut, F.col("__c").eqNullSafe(F.col("__s")), "left").drop("__s")
-        cuts = cuts.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in defaults.items()})
-    cuts = checkpointed(cuts)
+        ends = ends + F.col(f"k{part}")
+        ranks.append(F.struct(F.lit(part).alias("part"), ends.alias("rank")))
+    wanted = quotas.select("__s", F.inline(F.array(*ranks))).filter("rank > 0")
+    cuts = _cuts_per_class(hashed, wanted, sized)
+    # A class too small to contribute to a part has no cut there: nothing of it lies below.
+    columns_of = {"cut": -(1 << 63), "share": 0, "ties": 0}
+    wide = [
+        F.coalesce(F.max(F.when(F.col("part") == part, F.col(c))), F.lit(default)).alias(f"{c}{part}")
+        for part in range(len(totals))
+        for c, default in columns_of.items()
+    ]
+    placed = quotas.select(F.col("__s").alias("__c")).join(cuts, F.col("__c").eqNullSafe(F.col("__s")), "left")
+    cuts = checkpointed(placed.groupBy("__c").agg(*wide))
     divided = F.lit(False)
     for part in range(len(totals)):
         divided = divided | (F.col(f"share{part}") < F.col(f"ties{part}"))
@@ -260,31 +265,38 @@ def _with_quota(classes: DataFrame, name: str, taken: int, left: int) -> DataFra
 
 
 def _cuts_per_class(hashed: DataFrame, ranks: DataFrame, sized) -> DataFrame:
-    """For every class the hash at its rank, by counts over 16 further bits per round."""
-    state = ranks.withColumns({"prefix": F.lit(None).cast("bigint"), "before": F.lit(0).cast("bigint")})
-    for depth in range(0, 64, _BITS):
+    """For every class and part the hash at its rank, by counts over further bits per round."""
+    state, depth, last = ranks.withColumn("before", F.lit(0).cast("bigint")), 0, False
+    while not last:
         known = state.withColumnRenamed("__s", "__c")
         same = F.col("__s").eqNullSafe(F.col("__c"))
-        if depth:
-            same = same & (F.shiftright("__h", 64 - depth) == F.col("prefix"))
-        step = F.shiftright("__h", 64 - depth - _BITS) if depth < 64 - _BITS else F.col("__h")
-        narrow = hashed.select("__s", "__h", step.alias("p"))
-        matched = narrow.join(sized(known), same)
-        counted = matched.groupBy("__s", "rank", "before", "p").count()
-        # At most 65,536 counts per class and round.
-        running = Window.partitionBy("__s").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
+        last = depth == 64 - _BITS or (depth > 0 and state.agg(F.max("ties")).first()[0] <= 1 << _BITS)
+        bucket = F.col("__h") if last else F.shiftright("__h", 64 - depth - _BITS)
+        if depth == 0:
+            # One count serves all parts; only counts meet the wanted ranks.
+            counted = hashed.groupBy("__s", bucket.alias("p")).count().join(sized(known), same)
+        else:
+            within = same & (F.shiftright("__h", 64 - depth) == F.col("prefix"))
+            matched = hashed.select("__s", "__h", bucket.alias("p")).join(sized(known), within)
+            counted = matched.groupBy("__s", "part", "rank", "before", "p").count()
+        # At most 65,536 counts per class, part and round.
+        running = Window.partitionBy("__s", "part").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
         upto = counted.withColumn("upto", F.col("before") + F.sum("count").over(running))
         hit = upto.filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("count") < F.col("rank")))
         state = checkpointed(
             hit.select(
                 "__s",
+                "part",
                 "rank",
                 F.col("p").alias("prefix"),
                 (F.col("upto") - F.col("count")).alias("before"),
                 F.col("count").alias("ties"),
             )
         )
-    return state.select("__s", "prefix", (F.col("rank") - F.col("before")), "ties")
+        depth += _BITS
+    return state.select(
+        "__s", "part", F.col("prefix").alias("cut"), (F.col("rank") - F.col("before")).alias("share"), "ties"
+    )
 
 
 def _class_part(df: DataFrame, joined: DataFrame, part: int, cuts: int, tied: bool) -> DataFrame:

@@ -126,10 +126,10 @@ def _pca(data: Data, p: dict) -> Outcome:
 
 
 def _best(data: Data, p: dict) -> Outcome:
-    chosen = reduction.select_best(training(data), p["target_col"], p["k"]).columns
     if isinstance(data, Splits):
         return Outcome("error", "features are selected before the split", data)
-    return _done(reduction.select_best(data, p["target_col"], p["k"]), f"kept {chosen}")
+    chosen = reduction.select_best(data, p["target_col"], p["k"])
+    return _done(chosen, f"kept {chosen.columns}")
 
 
 # Names of the steps.

@@ -11,7 +11,7 @@ from quern.functions.codes import map_codes
 from quern.functions.dates import date_from_number, past_only
 from quern.functions.numbers import repaired_price, repaired_sales
 from quern.functions.text import strip_prefix, tail_from
-from quern.operators.ordering import end_date, global_index, latest_per_key, lookup_keys
+from quern.operators.ordering import Order, end_date, global_index, latest_per_key, lookup_keys
 from quern.sources.csv import read_positional
 from quern.sources.tables import LoadAudit, Store
 
@@ -54,9 +54,9 @@ PRODUCT_LINE = {"M": "Mountain", "R": "Road", "S": "Other Sales", "T": "Touring"
 COUNTRY = {"DE": "Germany", "US": "United States", "USA": "United States"}
 
 
-def clean_customers(bronze: DataFrame) -> DataFrame:
+def clean_customers(bronze: DataFrame, tie_breakers: Order = ()) -> DataFrame:
     """The newest record of each customer with readable codes."""
-    newest = latest_per_key(bronze, ["cst_id"], "cst_create_date")
+    newest = latest_per_key(bronze, ["cst_id"], "cst_create_date", tie_breakers)
     return newest.select(
         "cst_id",
         "cst_key",
@@ -68,9 +68,9 @@ def clean_customers(bronze: DataFrame) -> DataFrame:
     )
 
 
-def clean_products(bronze: DataFrame) -> DataFrame:
+def clean_products(bronze: DataFrame, tie_breakers: Order = ("prd_id",)) -> DataFrame:
     """Category and product key taken apart; each version ends the day before the next one starts."""
-    versions = end_date(bronze.drop("prd_end_dt"), ["prd_key"], "prd_start_dt", "prd_end_dt")
+    versions = end_date(bronze.drop("prd_end_dt"), ["prd_key"], "prd_start_dt", "prd_end_dt", tie_breakers)
     return versions.select(
         "prd_id",
         F.replace(F.substring("prd_key", 1, 5), F.lit("-"), F.lit("_")).alias("cat_id"),

@@ -23,14 +23,20 @@ def shared_folder(spark: SparkSession) -> str:
     return _local[0]
 
 
+def new_path(spark: SparkSession) -> str:
+    """A path of its own in the shared folder, deleted by ``release``."""
+    path = f"{shared_folder(spark).rstrip('/')}/quern-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` once and read it back, so that later jobs see exactly these rows.
 
     Used where a second job must agree with a first one on where each row lies.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/quern-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
-    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -43,7 +49,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Delete the tables written by ``staged``; frames that read them are then invalid."""
+    """Delete what this process wrote to the shared folder; frames that read it are then invalid."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     while _written:
