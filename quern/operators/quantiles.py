@@ -1,25 +1,26 @@
 """Exact order statistics of columns of any size.
 
 ``percentile`` keeps every distinct value of a column in one task. That is used here only for columns
-counted to be small. Otherwise each wanted rank is enclosed by a sketch, the rows around the bracket are
-counted exactly, and the bracket is narrowed until the rows inside it are few enough to be fetched. A value
-that fills a bracket on its own ends the search, so ties of any size are no trouble.
+counted to be small. Otherwise values are counted in bins that also record their own smallest and largest
+value. The bin holding a wanted rank becomes the next range to divide, until its rows are few enough to be fetched or
+all equal. Bins come from codegenerated arithmetic and are combined before the shuffle, so each round is one light
+scan that moves only counts; ties of any size end the search at once.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.frames import number
 
-SMALL = 1_000_000
+SMALL = 50_000
 FETCHED = 200_000
-_ACCURACY = 10_000
+_LARGEST = 1.7e308
 
 Positions = Callable[[int], Sequence[float]]
 
@@ -63,13 +64,18 @@ def order_values(
         return {}
     names = list(wanted)
     narrow = df.select(*[wanted[name][0].cast("double").alias(f"v{i}") for i, name in enumerate(names)])
-    sizes = narrow.agg(*[F.count(f"v{i}").alias(f"v{i}") for i in range(len(names))]).first()
+    firsts = [
+        f(f"v{i}").alias(f"{f.__name__}{i}") for i in range(len(names)) for f in (F.count, F.min, F.max)
+    ]
+    row = narrow.agg(*firsts).first()
+    whole = [_Bracket(i, row[3 * i + 1], row[3 * i + 2], 0, row[3 * i]) for i in range(len(names))]
+    sizes = [bracket.inside for bracket in whole]
     places = {i: [float(p) for p in wanted[name][1](sizes[i])] for i, name in enumerate(names) if sizes[i]}
     ranks = sorted({(i, k) for i, at in places.items() for p in at for k in (math.floor(p), math.ceil(p))})
     if sum(sizes) <= small:
         found = _by_percentile(narrow, sizes, ranks)
     else:
-        found = _by_narrowing(narrow, sizes, ranks, fetched)
+        found = _by_narrowing(narrow, {(i, k): whole[i] for i, k in ranks}, fetched)
     result: dict[str, list[float | None]] = {}
     for i, name in enumerate(names):
         if i not in places:
@@ -109,88 +115,81 @@ def _by_percentile(narrow: DataFrame, sizes, ranks) -> dict[tuple[int, int], flo
 
 @dataclass(frozen=True)
 class _Bracket:
-    """Open interval holding the value of one rank; ``below`` rows lie left of it, ``inside`` within."""
+    """Closed range of a column with the number of values below and inside it."""
 
     column: int
-    rank: int
-    low: float | None
-    high: float | None
+    low: float
+    high: float
     below: int
     inside: int
 
     def holds(self) -> Column:
-        value = F.col(f"v{self.column}")
-        tests = [value.isNotNull()]
-        if self.low is not None:
-            tests.append(value > self.low)
-        if self.high is not None:
-            tests.append(value < self.high)
-        both = tests[0]
-        for test in tests[1:]:
-            both = both & test
-        return both
-
-
-def _by_narrowing(narrow: DataFrame, sizes, ranks, fetched: int) -> dict[tuple[int, int], float]:
+        return F.col(f"v{self.column}").between(self.low, self.high)
+
+    def bin(self, bins: int, logarithmic: bool) -> Column:
+        """A number that does not decrease with the value: equal widths of the value or of its logarithm."""
+        low, high = max(self.low, -_LARGEST), min(self.high, _LARGEST)
+        value = F.col(f"v{self.column}") / 2
+        low, high = low / 2, high / 2
+        if logarithmic:
+            value = F.signum(value) * F.log1p(F.abs(value))
+            low, high = (math.copysign(math.log1p(abs(end)), end) for end in (low, high))
+        place = (value - low) / ((high - low) / bins)
+        return F.greatest(F.least(place, F.lit(bins - 1.0)), F.lit(0.0)).cast("int")
+
+
+def _by_narrowing(narrow: DataFrame, brackets: dict[tuple[int, int], _Bracket], fetched: int) -> dict:
     found: dict[tuple[int, int], float] = {}
-    brackets = [_Bracket(i, k, None, None, 0, sizes[i]) for i, k in ranks]
     limit = max(fetched // max(len(brackets), 1), 1)
-    while wide := [b for b in brackets if b.inside > limit]:
-        narrowed = _narrow(narrow, wide, found)
-        brackets = [b for b in brackets if b.inside <= limit] + narrowed
+    logarithmic = False
+    while True:
+        found |= {target: b.low for target, b in brackets.items() if b.low == b.high}
+        brackets = {target: b for target, b in brackets.items() if target not in found}
+        wide = {b for b in brackets.values() if b.inside > limit}
+        if not wide:
+            break
+        ranks = {b: [k for (_, k), other in brackets.items() if other == b] for b in wide}
+        parts = _divide(narrow, ranks, max(fetched // len(wide), 64), logarithmic)
+        brackets |= {(b.column, k): part for (b, k), part in parts.items()}
+        # Heavy tails need the logarithm, which in turn is blind close to zero: take turns.
+        logarithmic = not logarithmic
     if brackets:
-        tagged = [
-            F.when(b.holds(), F.struct(F.lit(t).alias("t"), F.col(f"v{b.column}").alias("x")))
-            for t, b in enumerate(brackets)
-        ]
-        rows = narrow.select(F.explode(F.array_compact(F.array(*tagged))).alias("r")).select("r.t", "r.x").collect()
-        values: dict[int, list[float]] = {}
-        for t, x in rows:
-            values.setdefault(t, []).append(x)
-        for t, b in enumerate(brackets):
-            found[b.column, b.rank] = sorted(values[t])[b.rank - b.below]
+        found |= _fetch(narrow, brackets)
     return found
 
 
-def _narrow(narrow: DataFrame, wide: list[_Bracket], found: dict) -> list[_Bracket]:
-    sketches = []
-    for t, b in enumerate(wide):
-        at = (b.rank - b.below + 0.5) / b.inside
-        shares = [max(at - 2 / _ACCURACY, 0.0), min(at + 2 / _ACCURACY, 1.0)]
-        inside = F.when(b.holds(), F.col(f"v{b.column}"))
-        sketches.append(F.percentile_approx(inside, shares, _ACCURACY).alias(f"s{t}"))
-    ends = narrow.agg(*sketches).first()
-    counts = []
-    for t, b in enumerate(wide):
-        value, (a, z) = F.col(f"v{b.column}"), ends[t]
-        counts += [
-            F.count_if(b.holds() & (value < a)),
-            F.count_if(value == a),
-            F.count_if((value > a) & (value < z)),
-            F.count_if(value == z),
-            F.count_if(b.holds() & (value > z)),
-        ]
-    row = narrow.agg(*[c.alias(f"c{j}") for j, c in enumerate(counts)]).first()
-    left = []
-    for t, b in enumerate(wide):
-        a, z = ends[t]
-        under, at_a, between, at_z, over = row[5 * t : 5 * t + 5]
-        if a == z:
-            at_z = 0
-        steps = [
-            (under, replace(b, high=a)),
-            (at_a, a),
-            (between, replace(b, low=a, high=z)),
-            (at_z, z),
-            (over, replace(b, low=z)),
-        ]
-        start = b.below
-        for size, step in steps:
-            if b.rank < start + size:
-                if isinstance(step, _Bracket):
-                    left.append(replace(step, below=start, inside=size))
-                else:
-                    found[b.column, b.rank] = step
-                break
-            start += size
-    return left
+def _in_brackets(narrow: DataFrame, brackets: list[_Bracket], value: Callable[[_Bracket], Column]) -> DataFrame:
+    """Rows (t, x, ...) for every value that lies in bracket number t."""
+    tagged = [
+        F.when(b.holds(), F.struct(F.lit(t).alias("t"), F.col(f"v{b.column}").alias("x"), value(b).alias("b")))
+        for t, b in enumerate(brackets)
+    ]
+    return narrow.select(F.explode(F.array(*tagged)).alias("r")).filter("r is not null").select("r.*")
+
+
+def _divide(
+    narrow: DataFrame, ranks: dict[_Bracket, list[int]], bins: int, logarithmic: bool
+) -> dict[tuple[_Bracket, int], _Bracket]:
+    """The part of each bracket that holds each of its ranks."""
+    brackets = list(ranks)
+    rows = _in_brackets(narrow, brackets, lambda b: b.bin(min(bins, 10_000), logarithmic))
+    counted = rows.groupBy("t", "b").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+    parts: dict[tuple[_Bracket, int], _Bracket] = {}
+    before = [b.below for b in brackets]
+    for t, _, n, low, high in sorted(counted.collect()):
+        bracket = brackets[t]
+        for k in ranks[bracket]:
+            if before[t] <= k < before[t] + n:
+                parts[bracket, k] = _Bracket(bracket.column, low, high, before[t], n)
+        before[t] += n
+    return parts
+
+
+def _fetch(narrow: DataFrame, brackets: dict[tuple[int, int], _Bracket]) -> dict[tuple[int, int], float]:
+    distinct = list(dict.fromkeys(brackets.values()))
+    values: dict[_Bracket, list[float]] = {b: [] for b in distinct}
+    for t, x, _ in _in_brackets(narrow, distinct, lambda b: F.lit(0)).collect():
+        values[distinct[t]].append(x)
+    for inside in values.values():
+        inside.sort()
+    return {target: values[b][target[1] - b.below] for target, b in brackets.items()}
