@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 
 def date_from_number(value: Column) -> Column:
-    """Date of an eight-digit number yyyymmdd; NULL for zero, other lengths and impossible days."""
-    digits = value.cast("string")
-    return F.when(
-        (value != 0) & (F.length(digits) == 8), F.try_to_timestamp(digits, F.lit("yyyyMMdd")).cast("date")
-    )
+    """Date of an eight-digit number yyyymmdd; NULL for zero, other lengths and impossible days.
+
+    Arithmetic instead of parsing: an impossible day costs no exception.
+    """
+    year, month, day = (value / 10_000).cast("int"), (value / 100 % 100).cast("int"), (value % 100).cast("int")
+    first = F.when((value >= 10_000_000) & (value <= 99_999_999) & month.between(1, 12), F.make_date(year, month, F.lit(1)))
+    return F.when((day >= 1) & (day <= F.dayofmonth(F.last_day(first))), F.date_add(first, day - 1))
 
 
 def past_only(value: Column, as_of: Column | None = None) -> Column:

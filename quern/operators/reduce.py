@@ -179,7 +179,12 @@ def _f_of(df: DataFrame, values: dict[str, Column], target: str) -> dict[str, fl
             continue
         between = row[f"b{i}"] - row[f"s{i}"] ** 2 / row["n"]
         inside = row[f"q{i}"] - row[f"b{i}"]
-        result[name] = (between / (row["k"] - 1)) / (inside / free) if inside > 0 else None
+        if row[f"q{i}"] <= 0:
+            result[name] = None  # constant
+        elif inside <= 1e-12 * row[f"q{i}"]:
+            result[name] = float("inf")  # the class decides the value
+        else:
+            result[name] = (between / (row["k"] - 1)) / (inside / free)
     return result
 
 
