@@ -3,8 +3,8 @@
 The exponent that maximises the likelihood is found in three passes whatever the number of rows. The
 likelihood depends on a column only through sums of functions of its (signed) logarithm. One pass finds the
 range of that logarithm, one counts it in narrow bins with the mean of each bin, which is enough for the driver
-to locate the maximum closely, and a last one evaluates the likelihood exactly at five exponents around it,
-whose parabola gives the result.
+to locate the maximum closely, and a last one evaluates the likelihood exactly at five exponents around it; the
+curve through them gives the result.
 """
 
 from __future__ import annotations
@@ -112,8 +112,19 @@ def _fit(
     exact = [(p - 1) * spreads[0] - 0.5 * np.log(v) for p, v in zip(points, spreads[1:])]
     if not np.all(np.isfinite(exact)):
         return near
-    curve = np.polyfit(np.array([-2.0, -1.0, 0.0, 1.0, 2.0]), np.array(exact) - exact[2], 2)
-    return near if curve[0] >= 0 else near + STEP * float(np.clip(-curve[1] / (2 * curve[0]), -2, 2))
+    return near + STEP * _peak(np.array(exact) - exact[2])
+
+
+def _peak(scores: np.ndarray) -> float:
+    """Where the curve through five scores at -2, -1, 0, 1, 2 is highest, by Newton steps on its slope."""
+    slope = np.polyder(np.polyfit(np.arange(-2.0, 3.0), scores, 4))
+    bend = np.polyder(slope)
+    at = float(np.argmax(scores)) - 2
+    for _ in range(20):
+        if np.polyval(bend, at) >= 0:
+            return float(np.argmax(scores)) - 2
+        at = float(np.clip(at - np.polyval(slope, at) / np.polyval(bend, at), -2, 2))
+    return at
 
 
 def _maximum(score: Callable[[float], float]) -> float:

@@ -186,6 +186,6 @@ def test_best_features(spark):
     inside = sum(((g - g.mean()) ** 2).sum() for g in groups) / 297
     assert scores["good"] == pytest.approx(between / inside)
     assert scores["flat"] is None
-    assert reduce.select_best(df, "y", 1).columns == ["good", "y"]
+    assert reduce.select_best(df, "y", 1).columns == ["text_q", "y"]
     assert reduce.select_best(df, "y", 2).columns == ["good", "text_q", "y"]
     assert numeric_columns(df) == ["good", "bad", "y", "flat"]
