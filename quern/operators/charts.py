@@ -21,9 +21,23 @@ def _together(data: Data) -> DataFrame:
     return labelled(data)
 
 
-def _range(df: DataFrame, column: str) -> tuple[float | None, float | None]:
+def _per_group(group: Column, facts: dict[str, dict[str, float]]) -> Column:
+    """The known facts of each row's group as a struct of constants, NULL for other groups. No join."""
+    chain = None
+    for name, values in facts.items():
+        record = F.struct(*[F.lit(float(value)).alias(key) for key, value in values.items()])
+        chain = F.when(group == name, record) if chain is None else chain.when(group == name, record)
+    return F.lit(None) if chain is None else chain
+
+
+def _extent(df: DataFrame, column: str) -> tuple[float, float, dict[str, dict[str, float]]]:
+    """Common range of a column and the number of its values in each part."""
     value = number(df, column)
-    return tuple(df.agg(F.min(value), F.max(value)).first())
+    rows = df.groupBy("Set").agg(F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("n"))
+    known = [r for r in rows.collect() if r["n"]]
+    sizes = {r["Set"]: {"n": r["n"]} for r in known}
+    low, high = min((r["low"] for r in known), default=0.0), max((r["high"] for r in known), default=0.0)
+    return low, high, sizes
 
 
 def _bin(value: Column, low: float, high: float, bins: int) -> Column:
@@ -37,29 +51,31 @@ def _bin(value: Column, low: float, high: float, bins: int) -> Column:
 def histogram(data: Data, column: str, bins: int = 30, density: bool = False) -> DataFrame:
     """Count per part and equal-width bin over the common range, or its probability density."""
     df = _together(data)
-    low, high = _range(df, column)
-    if low is None:
-        low = high = 0.0
+    low, high, sizes = _extent(df, column)
     width = (high - low) / bins or 1.0
     value = number(df, column)
     counts = (
-        df.filter(value.isNotNull()).groupBy("Set", _bin(value, low, high, bins).alias("bin"))
+        df.filter(value.isNotNull())
+        .groupBy("Set", _bin(value, low, high, bins).alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
+        .withColumns({"low": F.col("bin") * width + low, "high": (F.col("bin") + 1) * width + low})
     )
-    edges = {"low": F.col("bin") * width + low, "high": (F.col("bin") + 1) * width + low}
-    return _with_density(counts, width).withColumns(edges) if density else counts.withColumns(edges)
+    return _with_density(counts, sizes, width) if density else counts
 
 
-def _with_density(counts: DataFrame, width: float) -> DataFrame:
-    totals = counts.groupBy(F.col("Set").alias("__set")).agg(F.sum("count").alias("__total"))
-    joined = counts.join(F.broadcast(totals), F.col("Set") == F.col("__set"))  # one row per part
-    return joined.withColumn("density", F.col("count") / (F.col("__total") * width)).drop("__set", "__total")
+def _with_density(counts: DataFrame, sizes: dict[str, dict[str, float]], width: float) -> DataFrame:
+    if not sizes:
+        return counts.withColumn("density", F.lit(None).cast("double"))
+    return counts.withColumn("density", F.col("count") / (_per_group(F.col("Set"), sizes)["n"] * width))
 
 
 def category_histogram(data: Data, column: str, density: bool = False) -> DataFrame:
     df = _together(data)
     counts = df.filter(F.col(column).isNotNull()).groupBy("Set", column).agg(F.count(F.lit(1)).alias("count"))
-    return _with_density(counts, 1.0) if density else counts
+    if not density:
+        return counts
+    sizes = {r["Set"]: {"n": r["n"]} for r in df.groupBy("Set").agg(F.count(column).alias("n")).collect()}
+    return _with_density(counts, sizes, 1.0)
 
 
 def density_heatmap(data: Data, x: str, y: str, bins: int = 20) -> DataFrame:
@@ -97,15 +113,15 @@ def _curves(values: DataFrame, points: int, bins: int) -> DataFrame:
     stats = known.groupBy("group").agg(
         F.count("x").alias("n"), F.stddev_samp("x").alias("s"), F.min("x").alias("low"), F.max("x").alias("high")
     )
-    shapes = [r for r in stats.limit(GROUPS + 1).collect()]
+    shapes = stats.limit(GROUPS + 1).collect()
     if len(shapes) > GROUPS:
         raise ValueError(f"more than {GROUPS} curves")
-    rows = [(r["group"], r["n"], r["s"], r["low"], r["high"]) for r in shapes if r["s"]]
-    curves = values.sparkSession.createDataFrame(
-        rows, "group string, n bigint, s double, low double, high double"
-    )
-    # ``curves`` has at most GROUPS rows.
-    placed = known.join(F.broadcast(curves), "group")
+    curves = {r["group"]: {k: r[k] for k in ("n", "s", "low", "high")} for r in shapes if r["s"]}
+    schema = "group string, x double, density double"
+    if not curves:
+        return values.sparkSession.createDataFrame([], schema)
+    placed = known.select("group", "x", _per_group(F.col("group"), curves).alias("g")).filter("g is not null")
+    placed = placed.select("group", "x", "g.*")
     at = F.floor((F.col("x") - F.col("low")) / ((F.col("high") - F.col("low")) / bins))
     binned = placed.groupBy("group", "n", "s", "low", "high", at.alias("bin")).agg(
         F.count("x").alias("w"), F.avg("x").alias("c"), F.var_pop("x").alias("v")
@@ -118,7 +134,7 @@ def _curves(values: DataFrame, points: int, bins: int) -> DataFrame:
             for row in batch.itertuples(index=False):
                 yield _curve(row, points)
 
-    return summed.mapInPandas(evaluate, "group string, x double, density double")
+    return summed.mapInPandas(evaluate, schema)
 
 
 def _curve(row, points: int) -> pd.DataFrame:
@@ -133,6 +149,33 @@ def _curve(row, points: int) -> pd.DataFrame:
     return pd.DataFrame({"group": row.group, "x": grid, "density": density / (row.n * reach * np.sqrt(2 * np.pi))})
 
 
+def _quartiles(df: DataFrame, column: str, method: str, group: str, small: int) -> dict[str, dict[str, float]]:
+    """Quartiles and fences of each group."""
+    found = df.select(group).filter(F.col(group).isNotNull()).distinct().limit(GROUPS + 1).collect()
+    names = [row[0] for row in found]
+    if len(names) > GROUPS:
+        raise ValueError(f"more than {GROUPS} boxes")
+    value = number(df, column)
+    wanted = {n: (F.when(F.col(group) == n, value), QUARTILES[method]) for n in names}
+    boxes = {}
+    for name, (q1, median, q3) in order_values(df, wanted, small).items():
+        if q1 is not None:
+            reach = 1.5 * (q3 - q1)
+            fences = {"lower_fence": q1 - reach, "upper_fence": q3 + reach}
+            boxes[name] = {"q1": q1, "median": median, "q3": q3} | fences
+    return boxes
+
+
+_BOX = {name: 0.0 for name in ("q1", "median", "q3", "lower_fence", "upper_fence")}
+
+
+def _boxed(df: DataFrame, column: str, method: str, group: str, small: int) -> DataFrame:
+    """Rows (group, x) with the quartiles and fences of their group."""
+    boxes = _quartiles(df, column, method, group, small) or {None: _BOX}
+    rows = df.select(group, number(df, column).alias("x"), _per_group(F.col(group), boxes).alias("__box"))
+    return rows.filter("x is not null and __box is not null").select(group, "x", "__box.*")
+
+
 def box_stats(
     data: Data, column: str, quartile_method: str = "linear", by: str | None = None, small: int = SMALL
 ) -> DataFrame:
@@ -140,49 +183,34 @@ def box_stats(
 
     Whiskers reach the last value within one and a half interquartile ranges of the box.
     """
-    df = _together(data)
     group = by or "Set"
-    names = [r[0] for r in df.select(group).filter(F.col(group).isNotNull()).distinct().limit(GROUPS + 1).collect()]
-    if len(names) > GROUPS:
-        raise ValueError(f"more than {GROUPS} boxes")
-    value = number(df, column)
-    wanted = {n: (F.when(F.col(group) == n, value), QUARTILES[quartile_method]) for n in names}
-    quartiles = {n: q for n, q in order_values(df, wanted, small).items() if q[0] is not None}
-    rows = [(n, *q, q[0] - 1.5 * (q[2] - q[0]), q[2] + 1.5 * (q[2] - q[0])) for n, q in quartiles.items()]
-    kind = df.schema[group].dataType.simpleString()
-    fences = df.sparkSession.createDataFrame(
-        rows, f"__group {kind}, q1 double, median double, q3 double, lower_fence double, upper_fence double"
-    )
-    joined = df.select(F.col(group), value.alias("__v")).join(F.broadcast(fences), F.col(group) == F.col("__group"))
-    inside = F.col("__v").between(F.col("lower_fence"), F.col("upper_fence"))
-    keys = [group, "q1", "median", "q3", "lower_fence", "upper_fence"]
-    return joined.filter("__v is not null").groupBy(*keys).agg(
+    boxed = _boxed(_together(data), column, quartile_method, group, small)
+    inside = F.col("x").between(F.col("lower_fence"), F.col("upper_fence"))
+    return boxed.groupBy(group, *_BOX).agg(
         F.count(F.lit(1)).alias("count"),
-        F.avg("__v").alias("mean"),
-        F.least(F.min(F.when(inside, F.col("__v"))), F.col("q1")).alias("lower_whisker"),
-        F.greatest(F.max(F.when(inside, F.col("__v"))), F.col("q3")).alias("upper_whisker"),
+        F.avg("x").alias("mean"),
+        F.least(F.min(F.when(inside, F.col("x"))), F.col("q1")).alias("lower_whisker"),
+        F.greatest(F.max(F.when(inside, F.col("x"))), F.col("q3")).alias("upper_whisker"),
         F.count_if(~inside).alias("outliers"),
     )
 
 
-def box_points(data: Data, column: str, show: str | bool = "outliers", quartile_method: str = "linear") -> DataFrame:
-    """The single points drawn beside a box, all of them, none, or those outside the whiskers.
+def box_points(
+    data: Data, column: str, show: str | bool = "outliers", quartile_method: str = "linear", small: int = SMALL
+) -> DataFrame:
+    """The single points drawn beside a box: all of them, none, or those outside the whiskers.
 
     ``suspectedoutliers`` also marks the ones beyond three interquartile ranges.
     """
     df = _together(data)
-    value = number(df, column)
-    rows = df.select("Set", value.alias("x")).filter("x is not null")
-    if show == "all":
-        return rows.withColumn("suspected", F.lit(False))
-    if show is False:
-        return rows.filter(F.lit(False)).withColumn("suspected", F.lit(False))
-    boxes = F.broadcast(box_stats(data, column, quartile_method).select("Set", "q1", "q3"))  # one row per part
-    reach = F.col("q3") - F.col("q1")
-    outside = (F.col("x") < F.col("q1") - 1.5 * reach) | (F.col("x") > F.col("q3") + 1.5 * reach)
-    far = (F.col("x") < F.col("q1") - 3 * reach) | (F.col("x") > F.col("q3") + 3 * reach)
-    marked = far if show == "suspectedoutliers" else F.lit(False)
-    return rows.join(boxes, "Set").filter(outside).select("Set", "x", marked.alias("suspected"))
+    if show == "all" or show is False:
+        rows = df.select("Set", number(df, column).alias("x"), F.lit(False).alias("suspected"))
+        return rows.filter(F.col("x").isNotNull() & F.lit(bool(show)))
+    boxed = _boxed(df, column, quartile_method, "Set", small)
+    reach = 3 * (F.col("q3") - F.col("q1"))
+    far = (F.col("x") < F.col("q1") - reach) | (F.col("x") > F.col("q3") + reach)
+    outside = boxed.filter((F.col("x") < F.col("lower_fence")) | (F.col("x") > F.col("upper_fence")))
+    return outside.select("Set", "x", (far if show == "suspectedoutliers" else F.lit(False)).alias("suspected"))
 
 
 def violin(df: DataFrame, category: str, column: str, points: int = KDE_POINTS, bins: int = 4096) -> DataFrame:
