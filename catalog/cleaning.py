@@ -145,12 +145,12 @@ def fill_mean(t: Tables) -> DataFrame:
 
 
 @query(
-    "select event_id, event_type, coalesce(value, (select quantile_cont(value, 0.5) from g)) as value, "
+    "select event_id, event_type, round(coalesce(value, (select quantile_cont(value, 0.5) from g)), 6) as value, "
     "coalesce(cast(user_id as double), (select quantile_cont(cast(user_id as double), 0.5) from g)) as user_id "
     "from g".replace("from g", f"from ({_GAPS}) as g")
 )
 def fill_median(t: Tables) -> DataFrame:
-    return missing.fill_median(t.sql(GAPS), ["value", "user_id"])
+    return round_all(missing.fill_median(t.sql(GAPS), ["value", "user_id"]), ["value"])
 
 
 def _mode(name: str) -> str:
@@ -364,8 +364,8 @@ def quantile_bins(t: Tables) -> DataFrame:
                 (
                     c, "cast(null as bigint)", "cast(null as varchar)", "cast(null as bigint)",
                     f"round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as std, cast(min({c}) as double) as min, "
-                    f"quantile_cont(cast({c} as double), 0.25) as p25, quantile_cont(cast({c} as double), 0.5) as p50, "
-                    f"quantile_cont(cast({c} as double), 0.75) as p75, cast(max({c}) as double) as max",
+                    f"round(quantile_cont(cast({c} as double), 0.25), 6) as p25, round(quantile_cont(cast({c} as double), 0.5), 6) as p50, "
+                    f"round(quantile_cont(cast({c} as double), 0.75), 6) as p75, cast(max({c}) as double) as max",
                 )
                 for c in ("event_id", "user_id", "value")
             ],
@@ -382,7 +382,7 @@ def quantile_bins(t: Tables) -> DataFrame:
     )
 )
 def describe_all(t: Tables) -> DataFrame:
-    return round_all(summaries.describe_all(t.events.drop("ts")), ["mean", "std"])
+    return round_all(summaries.describe_all(t.events.drop("ts")), ["mean", "std", "p25", "p50", "p75"])
 
 
 @query(
@@ -401,13 +401,13 @@ def value_counts(t: Tables) -> DataFrame:
 
 @query(
     " union all ".join(
-        f"select '{c}' as \"column\", round(avg({c}), 6) as mean, quantile_cont(cast({c} as double), 0.5) as median, "
+        f"select '{c}' as \"column\", round(avg({c}), 6) as mean, round(quantile_cont(cast({c} as double), 0.5), 6) as median, "
         f"(select cast({c} as double) from events group by {c} order by count(*) desc, {c} limit 1) as mode from events"
         for c in ("user_id", "value")
     )
 )
 def column_statistics(t: Tables) -> DataFrame:
-    return round_all(summaries.column_statistics(t.events.select("user_id", "value")), ["mean"])
+    return round_all(summaries.column_statistics(t.events.select("user_id", "value")), ["mean", "median"])
 
 
 @query(

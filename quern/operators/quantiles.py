@@ -83,10 +83,17 @@ def order_values(
             continue
         low = [found[i, math.floor(p)] for p in places[i]]
         high = [found[i, math.ceil(p)] for p in places[i]]
-        result[name] = [a if a == b else a + (b - a) * (p % 1) for a, b, p in zip(low, high, places[i])]
+        result[name] = [_between(a, b, p % 1) for a, b, p in zip(low, high, places[i])]
     return result
 
 
+def _between(a: float, b: float, share: float) -> float:
+    """Interpolation from the nearer end, which rounds alike from both sides."""
+    if a == b:
+        return a
+    return a + (b - a) * share if share < 0.5 else b - (b - a) * (1 - share)
+
+
 def _share_of_rank(k: int, n: int) -> float:
     """A share that, multiplied by n - 1, gives rank k without rounding."""
     if n == 1:

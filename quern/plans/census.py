@@ -95,6 +95,12 @@ BRONZE = {
     "education": _ddl(EDUCATION, SCHOOLING),
 }
 
+SILVER = {
+    "location": BRONZE["location"] + ", state_abbreviation string, region string, locality_index bigint",
+    **{table: BRONZE[table] + ", locality_index bigint" for table in ("population", "indigenous", "education")},
+}
+GOLD = ("dim_location", "dim_population", "dim_indigenous", "dim_education", "fact_indigenous_education")
+
 # File of each table.
 FILES = {
     "location": "location.csv",

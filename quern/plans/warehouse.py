@@ -35,6 +35,24 @@ BRONZE = {
     "erp_px_cat_g1v2": "id string, cat string, subcat string, maintenance string",
 }
 
+# The cleansed tables add a category id, hold dates as dates, and end with the time of the load.
+_LOADED = ", dwh_create_date timestamp"
+SILVER = {
+    "crm_cust_info": BRONZE["crm_cust_info"] + _LOADED,
+    "crm_prd_info": (
+        "prd_id int, cat_id string, prd_key string, prd_nm string, prd_cost int, prd_line string, "
+        "prd_start_dt date, prd_end_dt date" + _LOADED
+    ),
+    "crm_sales_details": (
+        "sls_ord_num string, sls_prd_key string, sls_cust_id int, sls_order_dt date, sls_ship_dt date, "
+        "sls_due_dt date, sls_sales int, sls_quantity int, sls_price int" + _LOADED
+    ),
+    "erp_loc_a101": BRONZE["erp_loc_a101"] + _LOADED,
+    "erp_cust_az12": BRONZE["erp_cust_az12"] + _LOADED,
+    "erp_px_cat_g1v2": BRONZE["erp_px_cat_g1v2"] + _LOADED,
+}
+GOLD = ("dim_customers", "dim_products", "fact_sales")
+
 # Where each source table lies below the data folder.
 FILES = {
     "crm_cust_info": "source_crm/cust_info.csv",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,6 +24,13 @@ def recreate_table(spark: SparkSession, name: str, schema: T.StructType | str) -
     spark.createDataFrame([], schema).write.saveAsTable(name)
 
 
+def recreate_tables(spark: SparkSession, layer: str, schemas: dict[str, str]) -> None:
+    """All tables of a layer, empty."""
+    create_layers(spark, [layer])
+    for table, schema in schemas.items():
+        recreate_table(spark, f"{layer}.{table}", schema)
+
+
 def append_table(df: DataFrame, name: str, truncate: bool = False) -> None:
     df.write.mode("overwrite" if truncate else "append").saveAsTable(name)
 
@@ -45,6 +52,11 @@ class Store:
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         return spark.read.parquet(self.path(layer, table))
 
+    def publish(self, spark: SparkSession, layer: str, tables: Iterable[str]) -> None:
+        """Views named ``<layer>_<table>`` over stored tables."""
+        for table in tables:
+            publish_view(self.read(spark, layer, table), f"{layer}_{table}")
+
     def refresh(self, df: DataFrame, layer: str, table: str, cluster_by: tuple[str, ...] = ()) -> None:
         """Replace the content; rows are ordered within each file so that later reads can skip."""
         rows = df.sortWithinPartitions(*cluster_by) if cluster_by else df

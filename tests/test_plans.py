@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quern.frames import Splits, training
 from quern.plans import census, prices, recipe, warehouse
+from quern.sources import tables
 from quern.sources.tables import LoadAudit, Store
 
 DAY = dt.date(2020, 1, 1)
@@ -82,6 +83,22 @@ def test_audit_and_stamp(spark, loaded):
     assert [s[0] for s in stamps] == [dt.datetime(2024, 1, 1)]
 
 
+def test_declared_tables_take_the_cleansed_rows(spark, loaded):
+    store = loaded[0]
+    for layer, schemas in (("bronze", warehouse.BRONZE), ("silver", warehouse.SILVER)):
+        for table, schema in schemas.items():
+            stored = store.read(spark, layer, table)
+            assert stored.dtypes == spark.createDataFrame([], schema).dtypes, (layer, table)
+    try:
+        tables.recreate_tables(spark, "silver", {"erp_loc_a101": warehouse.SILVER["erp_loc_a101"]})
+        tables.append_table(store.read(spark, "silver", "erp_loc_a101"), "silver.erp_loc_a101")
+        assert spark.table("silver.erp_loc_a101").count() == 2
+    finally:
+        spark.sql("drop database if exists silver cascade")
+    store.publish(spark, "gold", warehouse.GOLD)
+    assert spark.sql("select count(product_key) from gold_fact_sales").first()[0] == 2
+
+
 def raw_census(spark):
     numbers = [*census.POPULATION, *[census.RAW_NAMES.get(c, c) for c in census.INDIGENOUS], *census.EDUCATION]
     names = [*census.LOCATION, *numbers, *census.SCHOOLING]
@@ -102,11 +119,11 @@ def raw_census(spark):
 def test_census(spark):
     raw = raw_census(spark)
     location = census.clean_location(census.extract_location(raw))
-    tables = [
+    others = [
         census.with_locality_index(census.EXTRACTS[name](raw), location)
         for name in ("population", "indigenous", "education")
     ]
-    fact = census.fact_indigenous_education(location, *tables)
+    fact = census.fact_indigenous_education(location, *others)
     assert len(fact.columns) == 32
     got = values(
         census.ordered_export(fact), "idx", "state", "state_abbreviation", "region", "locality", "longitude", "latitude",
