@@ -262,7 +262,9 @@ def dms_decimal(t: Tables) -> DataFrame:
 def safe_percentage(t: Tables) -> DataFrame:
     from quern.functions.codes import above
 
-    customers = t.sql("select c_custkey, case when c_custkey % 10 = 0 then 0 else c_acctbal end as c_acctbal from {customer}")
+    customers = t.sql(
+        "select c_custkey, case when c_custkey % 10 = 0 then 0 else c_acctbal end as c_acctbal from {customer}"
+    )
     joined = t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
     total, balance = F.col("o_totalprice"), F.col("c_acctbal")
     return joined.select(

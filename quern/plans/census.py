@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -276,30 +278,32 @@ def fact_indigenous_education(
 
 def load_bronze(spark: SparkSession, folder: str, store: Store, audit: LoadAudit | None = None) -> LoadAudit:
     audit = audit or LoadAudit()
-    for table, schema in BRONZE.items():
-        raw = read_positional(spark, f"{folder.rstrip('/')}/{FILES[table]}", schema, quoted=True)
-        audit.run("bronze", table, raw, lambda df: store.refresh(df, "bronze", table))
+    root = folder.rstrip("/")
+    raw = {
+        table: read_positional(spark, f"{root}/{FILES[table]}", schema, quoted=True)
+        for table, schema in BRONZE.items()
+    }
+    audit.run_all("bronze", raw, store.refresh)
     return audit
 
 
 def load_silver(spark: SparkSession, store: Store, audit: LoadAudit | None = None) -> LoadAudit:
+    """Locations first, since the other tables look their running number up there."""
     audit = audit or LoadAudit()
-
-    def refresh(df: DataFrame) -> None:
-        store.refresh(df, "silver", table, tuple(KEYS))
-
-    table = "location"
-    audit.run("silver", table, clean_location(store.read(spark, "bronze", table)), refresh)
+    refresh = partial(store.refresh, cluster_by=tuple(KEYS))
+    audit.run_all("silver", {"location": clean_location(store.read(spark, "bronze", "location"))}, refresh)
     location = store.read(spark, "silver", "location")
-    for table in ("population", "indigenous", "education"):
-        rows = with_locality_index(store.read(spark, "bronze", table), location)
-        audit.run("silver", table, rows, refresh)
+    others = {
+        table: with_locality_index(store.read(spark, "bronze", table), location)
+        for table in ("population", "indigenous", "education")
+    }
+    audit.run_all("silver", others, refresh)
     return audit
 
 
 def load_gold(spark: SparkSession, store: Store, audit: LoadAudit | None = None) -> LoadAudit:
     audit = audit or LoadAudit()
-    location, population, indigenous, education = (store.read(spark, "silver", t) for t in BRONZE)
+    location, population, indigenous, education = (store.read(spark, "silver", table) for table in BRONZE)
     tables = {
         "dim_location": dim_location(location),
         "dim_population": dim_population(population),
@@ -307,8 +311,7 @@ def load_gold(spark: SparkSession, store: Store, audit: LoadAudit | None = None)
         "dim_education": dim_education(education, population),
         "fact_indigenous_education": fact_indigenous_education(location, population, indigenous, education),
     }
-    for table, rows in tables.items():
-        audit.run("gold", table, rows, lambda df: store.refresh(df, "gold", table))
+    audit.run_all("gold", tables, store.refresh)
     return audit
 
 

@@ -231,9 +231,9 @@ def impossible_dates(sales: DataFrame) -> DataFrame:
 def load_bronze(spark: SparkSession, folder: str, store: Store, audit: LoadAudit | None = None) -> LoadAudit:
     """Replace every bronze table by the content of its file."""
     audit = audit or LoadAudit()
-    for table, schema in BRONZE.items():
-        raw = read_positional(spark, f"{folder.rstrip('/')}/{FILES[table]}", schema)
-        audit.run("bronze", table, raw, lambda df: store.refresh(df, "bronze", table))
+    root = folder.rstrip("/")
+    raw = {table: read_positional(spark, f"{root}/{FILES[table]}", schema) for table, schema in BRONZE.items()}
+    audit.run_all("bronze", raw, store.refresh)
     return audit
 
 
@@ -243,9 +243,11 @@ def load_silver(
     """Replace every silver table by its cleansed bronze rows, stamped with the time of the load."""
     audit = audit or LoadAudit()
     stamp = F.lit(as_of or dt.datetime.now())
-    for table, clean in CLEANERS.items():
-        rows = clean(store.read(spark, "bronze", table)).withColumn("dwh_create_date", stamp)
-        audit.run("silver", table, rows, lambda df: store.refresh(df, "silver", table))
+    rows = {
+        table: clean(store.read(spark, "bronze", table)).withColumn("dwh_create_date", stamp)
+        for table, clean in CLEANERS.items()
+    }
+    audit.run_all("silver", rows, store.refresh)
     return audit
 
 

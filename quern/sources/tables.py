@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -95,7 +97,17 @@ class LoadAudit:
         finally:
             record.seconds = time.monotonic() - started
 
-    def batch_seconds(self) -> float:
+    def run_all(self, layer: str, tables: dict[str, DataFrame], refresh: Callable, at_once: int = 4) -> None:
+        """Write independent tables side by side, so that a small one does not leave the cluster idle."""
+        with ThreadPoolExecutor(at_once) as pool:
+            loads = [
+                pool.submit(self.run, layer, table, df, partial(refresh, layer=layer, table=table))
+                for table, df in tables.items()
+            ]
+        for load in loads:
+            load.result()
+
+    def total_seconds(self) -> float:
         return sum(r.seconds or 0.0 for r in self.records)
 
     def frame(self, spark: SparkSession) -> DataFrame:

@@ -56,7 +56,18 @@ def test_store_and_audit(spark, tmp_path):
     assert [(r["table"], r["rows"], r["status"]) for r in got] == [
         ("t", 5, "loaded"), ("t", 3, "loaded"), ("bad", None, "failed"),
     ]
-    assert "DIVIDE_BY_ZERO" in got[2]["error"] and audit.batch_seconds() > 0
+    assert "DIVIDE_BY_ZERO" in got[2]["error"] and audit.total_seconds() > 0
+
+
+def test_tables_loaded_side_by_side(spark, tmp_path):
+    store, audit = tables.Store(str(tmp_path)), tables.LoadAudit()
+    audit.run_all("bronze", {f"t{i}": spark.range(i) for i in range(1, 6)}, store.refresh)
+    assert sorted((r.table, r.rows) for r in audit.records) == [(f"t{i}", i) for i in range(1, 6)]
+    assert store.read(spark, "bronze", "t4").count() == 4
+    broken = spark.range(1).select(F.expr("1 div (id - id)"))
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        audit.run_all("bronze", {"fine": spark.range(1), "broken": broken}, store.refresh)
+    assert {r.table: r.status for r in audit.records[5:]} == {"fine": "loaded", "broken": "failed"}
 
 
 def test_layers_tables_and_views(spark):
