@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.frames import Data, Splits, labelled, number, training
+from quern.operators.ordering import global_index
 from quern.operators.quantiles import SMALL, halves, midpoint, order_values
 
 KDE_BINS = 16_384
@@ -108,20 +109,21 @@ def rug(data: Data, column: str) -> DataFrame:
 
 
 def _curves(values: DataFrame, points: int, bins: int) -> DataFrame:
-    """Density curve of each of a few groups of (group, x)."""
+    """Density curve of each group of (group, x). Few groups carry their facts as constants, many are joined."""
     known = values.filter("x is not null and group is not null")
     stats = known.groupBy("group").agg(
         F.count("x").alias("n"), F.stddev_samp("x").alias("s"), F.min("x").alias("low"), F.max("x").alias("high")
     )
+    schema = "group string, x double, density double"
     shapes = stats.limit(GROUPS + 1).collect()
     if len(shapes) > GROUPS:
-        raise ValueError(f"more than {GROUPS} curves")
-    curves = {r["group"]: {k: r[k] for k in ("n", "s", "low", "high")} for r in shapes if r["s"]}
-    schema = "group string, x double, density double"
-    if not curves:
-        return values.sparkSession.createDataFrame([], schema)
-    placed = known.select("group", "x", _per_group(F.col("group"), curves).alias("g")).filter("g is not null")
-    placed = placed.select("group", "x", "g.*")
+        placed = known.join(stats.filter("s > 0"), "group")
+    else:
+        curves = {r["group"]: {k: r[k] for k in ("n", "s", "low", "high")} for r in shapes if r["s"]}
+        if not curves:
+            return values.sparkSession.createDataFrame([], schema)
+        placed = known.select("group", "x", _per_group(F.col("group"), curves).alias("g")).filter("g is not null")
+        placed = placed.select("group", "x", "g.*")
     at = F.floor((F.col("x") - F.col("low")) / ((F.col("high") - F.col("low")) / bins))
     binned = placed.groupBy("group", "n", "s", "low", "high", at.alias("bin")).agg(
         F.count("x").alias("w"), F.avg("x").alias("c"), F.var_pop("x").alias("v")
@@ -149,31 +151,63 @@ def _curve(row, points: int) -> pd.DataFrame:
     return pd.DataFrame({"group": row.group, "x": grid, "density": density / (row.n * reach * np.sqrt(2 * np.pi))})
 
 
-def _quartiles(df: DataFrame, column: str, method: str, group: str, small: int) -> dict[str, dict[str, float]]:
-    """Quartiles and fences of each group."""
-    found = df.select(group).filter(F.col(group).isNotNull()).distinct().limit(GROUPS + 1).collect()
-    names = [row[0] for row in found]
-    if len(names) > GROUPS:
-        raise ValueError(f"more than {GROUPS} boxes")
-    value = number(df, column)
-    wanted = {n: (F.when(F.col(group) == n, value), QUARTILES[method]) for n in names}
-    boxes = {}
-    for name, (q1, median, q3) in order_values(df, wanted, small).items():
-        if q1 is not None:
-            reach = 1.5 * (q3 - q1)
-            fences = {"lower_fence": q1 - reach, "upper_fence": q3 + reach}
-            boxes[name] = {"q1": q1, "median": median, "q3": q3} | fences
-    return boxes
+_BOX = ("q1", "median", "q3", "lower_fence", "upper_fence")
 
 
-_BOX = {name: 0.0 for name in ("q1", "median", "q3", "lower_fence", "upper_fence")}
+def _fences(q1, median, q3) -> dict:
+    reach = 1.5 * (q3 - q1)
+    return dict(zip(_BOX, (q1, median, q3, q1 - reach, q3 + reach)))
 
 
 def _boxed(df: DataFrame, column: str, method: str, group: str, small: int) -> DataFrame:
     """Rows (group, x) with the quartiles and fences of their group."""
-    boxes = _quartiles(df, column, method, group, small) or {None: _BOX}
-    rows = df.select(group, number(df, column).alias("x"), _per_group(F.col(group), boxes).alias("__box"))
-    return rows.filter("x is not null and __box is not null").select(group, "x", "__box.*")
+    found = df.select(group).filter(F.col(group).isNotNull()).distinct().limit(GROUPS + 1).collect()
+    value = number(df, column)
+    rows = df.select(group, value.alias("x")).filter(F.col("x").isNotNull() & F.col(group).isNotNull())
+    if len(found) > GROUPS:
+        return rows.join(_quartiles_by_rank(rows, group, method), group)
+    wanted = {row[0]: (F.when(F.col(group) == row[0], value), QUARTILES[method]) for row in found}
+    quartiles = order_values(df, wanted, small)
+    boxes = {name: _fences(*q) for name, q in quartiles.items() if q[0] is not None}
+    boxes = boxes or {None: dict.fromkeys(_BOX, 0.0)}
+    placed = rows.withColumn("__box", _per_group(F.col(group), boxes)).filter("__box is not null")
+    return placed.select(group, "x", "__box.*")
+
+
+def _places(method: str, rows: Column) -> list[Column]:
+    """Zero-based positions of the three quartiles among so many values."""
+    last = rows - 1
+    if method == "linear":
+        return [F.greatest(F.least(rows * share - 0.5, last.cast("double")), F.lit(0.0)) for share in (0.25, 0.5, 0.75)]
+    half = F.greatest(F.floor((rows + (1 if method == "inclusive" else 0)) / 2), F.lit(1))
+    return [(half - 1) / 2, last / 2, last - (half - 1) / 2]
+
+
+def _quartiles_by_rank(rows: DataFrame, group: str, method: str) -> DataFrame:
+    """Quartiles of any number of groups: values are numbered in order, and each group fetches its six ranks.
+
+    Numbers are unique, so the lookup is even however uneven the groups are.
+    """
+    numbered = global_index(rows, [group, "x"], "__n", start=0)
+    sizes = numbered.groupBy(group).agg(F.min("__n").alias("first"), F.count(F.lit(1)).alias("rows"))
+    ends = [
+        F.struct(
+            F.lit(name).alias("name"),
+            (place - F.floor(place)).alias("share"),
+            F.lit(side).alias("side"),
+            (F.col("first") + end(place)).cast("bigint").alias("at"),
+        )
+        for name, place in zip(_BOX, _places(method, F.col("rows")))
+        for side, end in (("low", F.floor), ("high", F.ceil))
+    ]
+    wanted = sizes.select(F.inline(F.array(*ends)))
+    found = numbered.join(wanted, F.col("__n") == F.col("at")).groupBy(group)
+    values = []
+    for name in _BOX[:3]:
+        mine = F.col("name") == name
+        low, high = (F.max(F.when(mine & (F.col("side") == side), F.col("x"))) for side in ("low", "high"))
+        values.append((low + (high - low) * F.max(F.when(mine, F.col("share")))).alias(name))
+    return found.agg(*values).select(group, *[c.alias(k) for k, c in _fences(*map(F.col, _BOX[:3])).items()])
 
 
 def box_stats(

@@ -76,6 +76,22 @@ def test_boxes(spark):
     assert charts.box_points(df, "x", False).count() == 0
 
 
+@pytest.mark.parametrize("method", list(charts.QUARTILES))
+def test_many_groups_and_few_agree(spark, monkeypatch, method):
+    df = spark.range(500).select((F.col("id") % 7).cast("string").alias("k"), (F.col("id") * 31 % 97).alias("x"))
+    uneven = df.unionByName(df.limit(1))
+    few = {r["k"]: r for r in charts.box_stats(uneven, "x", method, by="k").collect()}
+    curves = sorted(charts.violin(uneven, "k", "x", 5).collect())
+    monkeypatch.setattr(charts, "GROUPS", 3)
+    many = {r["k"]: r for r in charts.box_stats(uneven, "x", method, by="k").collect()}
+    assert few.keys() == many.keys()
+    for k, row in few.items():
+        for name, value in row.asDict().items():
+            assert many[k][name] == (value if name == "k" else pytest.approx(value)), (k, name)
+    others = sorted(charts.violin(uneven, "k", "x", 5).collect())
+    assert np.allclose([r["density"] for r in curves], [r["density"] for r in others])
+
+
 def test_lines(spark):
     train = spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(5)], "x double, y double")
     test = spark.createDataFrame([(0.0, 0.0), (1.0, 3.0)], "x double, y double")
