@@ -395,9 +395,6 @@ _HAZEN = (
     "case when {q} * n - 0.5 < 0 then a[1] when {q} * n - 0.5 > n - 1 then a[n] else a[1 + floor({q} * n - 0.5)::bigint] + "
     "(a[1 + ceil({q} * n - 0.5)::bigint] - a[1 + floor({q} * n - 0.5)::bigint]) * (({q} * n - 0.5) % 1) end"
 )
-_SORTED = "select event_type as k, list(value order by value) as a, count(value) as n from events group by 1"
-
-
 def _median_of(first: str, size: str) -> str:
     return f"(a[{first} + ({size} - 1) // 2] + a[{first} + {size} // 2]) / 2"
 
@@ -406,16 +403,17 @@ def _halves(half: str) -> tuple[str, str, str]:
     return _median_of("1", half), _median_of("1", "n"), _median_of(f"n - {half} + 1", half)
 
 
-def _boxes(q1: str, q2: str, q3: str) -> str:
+def _boxes(q1: str, q2: str, q3: str, table: str = "events", key: str = "event_type", x: str = "value") -> str:
+    low, high = "q1 - 1.5 * (q3 - q1)", "q3 + 1.5 * (q3 - q1)"
     return (
-        f"with q as (select k, {q1} as q1, {q2} as q2, {q3} as q3 from ({_SORTED}) as s) "
-        "select event_type, round(q1, 6) as q1, round(q2, 6) as median, round(q3, 6) as q3, "
-        "round(q1 - 1.5 * (q3 - q1), 6) as lower_fence, round(q3 + 1.5 * (q3 - q1), 6) as upper_fence, "
-        "count(*) as count, round(avg(value), 6) as mean, "
-        "round(least(min(value) filter (where value >= q1 - 1.5 * (q3 - q1)), q1), 6) as lower_whisker, "
-        "round(greatest(max(value) filter (where value <= q3 + 1.5 * (q3 - q1)), q3), 6) as upper_whisker, "
-        "count(*) filter (where value < q1 - 1.5 * (q3 - q1) or value > q3 + 1.5 * (q3 - q1)) as outliers "
-        "from events join q on k = event_type group by event_type, q1, q2, q3"
+        f"with s as (select {key} as k, list({x} order by {x}) as a, count({x}) as n from {table} group by 1), "
+        f"q as (select k, {q1} as q1, {q2} as q2, {q3} as q3 from s) "
+        f"select {key}, round(q1, 6) as q1, round(q2, 6) as median, round(q3, 6) as q3, "
+        f"round({low}, 6) as lower_fence, round({high}, 6) as upper_fence, count(*) as count, round(avg({x}), 6) as mean, "
+        f"round(least(min({x}) filter (where {x} >= {low}), q1), 6) as lower_whisker, "
+        f"round(greatest(max({x}) filter (where {x} <= {high}), q3), 6) as upper_whisker, "
+        f"count(*) filter (where {x} < {low} or {x} > {high}) as outliers "
+        f"from {table} join q on k = {key} group by {key}, q1, q2, q3"
     )
 
 
@@ -437,6 +435,11 @@ def box_stats_exclusive(t: Tables) -> DataFrame:
     return round_all(charts.box_stats(t.events, "value", "exclusive", by="event_type"), _BOX)
 
 
+@query(_boxes(*_halves("(n // 2)"), "lineitem", "l_partkey", "l_quantity"))
+def box_stats_many_groups(t: Tables) -> DataFrame:
+    return round_all(charts.box_stats(t.lineitem, "l_quantity", "exclusive", by="l_partkey"), _BOX)
+
+
 @query(
     "with q as (select " + ", ".join(
         _HAZEN.format(q=q) + f" as q{i}" for i, q in ((1, 0.25), (3, 0.75))
