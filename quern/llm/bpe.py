@@ -42,13 +42,17 @@ class Vocabulary:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self._never = 1 + max(ranks.values())
-        lengths: dict[bytes, set[int]] = {}
-        for token in ranks:
-            lengths.setdefault(token[-2:], set()).add(len(token))
-        self._lengths = {end: tuple(sorted(own)) for end, own in lengths.items()}
         self._last_merge: dict[bytes, tuple[bytes, bytes] | None] = {}
         self._edges: dict[tuple[bytes, bool], list[tuple[bytes, int]]] = {}
         self._follows: dict[tuple[bytes, bytes], bool] = {}
+        # Tokens that the merges make of their own bytes, and how long those are that end in given three bytes.
+        self._made = {token for token in ranks if len(token) == 1 or self.last_merge(token)}
+        lengths: dict[bytes, set[int]] = {}
+        for token in self._made:
+            if len(token) > 2:
+                own = lengths.setdefault(token[-3:], {1} | ({2} if token[-2:] in self._made else set()))
+                own.add(len(token))
+        self._lengths = {end: tuple(sorted(own)) for end, own in lengths.items()}
 
     def last_merge(self, token: bytes) -> tuple[bytes, bytes] | None:
         """The two parts of which the merges make a token last; None if they don't make it of its own bytes."""
@@ -64,10 +68,6 @@ class Vocabulary:
             self._last_merge[token] = last if len(parts) == 1 else None
         return self._last_merge[token]
 
-    def stays(self, token: bytes) -> bool:
-        """Whether the merges make this token of its own bytes."""
-        return len(token) == 1 or self.last_merge(token) is not None
-
     def _edge(self, token: bytes, right: bool) -> list[tuple[bytes, int]]:
         """The parts that lie at one end of a token while it is made, each with the rank of the next."""
         if (token, right) not in self._edges:
@@ -104,11 +104,18 @@ class Vocabulary:
 
     def last_token(self, piece: bytes, end: int, before) -> bytes:
         """The last token of the prefix of ``piece`` that ends at ``end``; ``before(n)`` gives that of a shorter one."""
-        for length in (1, *self._lengths.get(piece[end - 2 : end], ())) if end > 1 else (1,):
+        made, known = self._made, self._follows
+        for length in self._lengths.get(piece[end - 3 : end], (1, 2)) if end > 2 else (1, 2):
+            if length > end:
+                break
             token = piece[end - length : end]
-            if len(token) != length or token not in self.ranks or not self.stays(token):
+            if token not in made:
                 continue
-            if length == end or self.follows(before(end - length), token):
+            if length == end:
+                return token
+            first = before(end - length)
+            follows = known.get((first, token))
+            if follows or follows is None and self.follows(first, token):
                 return token
         raise ValueError("the vocabulary lacks a byte of the text")
 
@@ -170,13 +177,15 @@ class PrefixEncoding:
 
 #: Prefixes whose last token a worker remembers, and the longest of them; a table that is full starts anew.
 PREFIXES, LONGEST_PREFIX = 1_500_000, 24
+#: Pieces whose encoding it remembers.
+PIECES = 600_000
 
 
 class Encoder:
     """Encodes whole texts piece by piece. Pieces share one table of prefixes and their last tokens."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        self.vocabulary, self._find = Vocabulary(ranks), regex.compile(pattern).findall
+    def __init__(self, vocabulary: Vocabulary, pattern: str) -> None:
+        self.vocabulary, self._find = vocabulary, regex.compile(pattern).findall
         self._last: dict[bytes, bytes] = {}
         self._seen: dict[str, tuple[int, ...]] = {}
 
@@ -203,7 +212,7 @@ class Encoder:
         return out[::-1]
 
     def _ids_of(self, piece: str) -> tuple[int, ...]:
-        if len(self._seen) > PREFIXES // 4:
+        if len(self._seen) > PIECES:
             self._seen.clear()
         self._seen[piece] = ids = tuple(self.encode_piece(piece.encode()))
         return ids
@@ -216,7 +225,8 @@ class Encoder:
         return self.vocabulary.decode(ids)
 
 
-_encoders: dict[tuple[int, str], Encoder] = {}
+#: What a worker process has met so far; kept from task to task.
+_encoders: dict[tuple[str, str], Encoder] = {}
 
 
 def encoded(
@@ -227,15 +237,15 @@ def encoded(
 
     The vocabulary file is read here once and sent to the executors; its size does not depend on the documents.
     """
-    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(vocabulary_path))
+    vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(vocabulary_path)))
     fields = [field.strip().split()[0] for field in schema.split(", ")]
     make = make or (lambda ids, decoded: (ids, decoded))
 
     def run(batches):
-        key = (id(ranks.value), pattern)
+        key = (vocabulary_path, pattern)
         if key not in _encoders:
             _encoders.clear()
-            _encoders[key] = Encoder(ranks.value, pattern)
+            _encoders[key] = Encoder(vocabulary.value, pattern)
         encoder = _encoders[key]
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
@@ -250,11 +260,21 @@ def encoded(
     return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, f"id long, {schema}")
 
 
+class _Names(dict):
+    """Decimal names of ids, made once each."""
+
+    def __missing__(self, number: int) -> str:
+        self[number] = name = str(number)
+        return name
+
+
 def digests(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) of every text, so that no ids need be kept."""
 
+    names = _Names()
+
     def make(ids: list[int], decoded: bytes) -> tuple[int, str, str]:
-        named = ",".join(map(str, ids)).encode()
+        named = ",".join(map(names.__getitem__, ids)).encode()
         return len(ids), hashlib.sha256(named).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
     return encoded(

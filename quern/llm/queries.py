@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, simhash
+from quern.llm import bpe, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Held-out documents: those that no label is learned from.
+HELD_OUT = "crc32(CAST(doc_id AS STRING)) % 5 = 0"
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.fit(docs, table(spark, folder, "labels"), "quality", HELD_OUT)
+    found = quality.scores(docs, model).withColumnRenamed("id", "doc_id")
+    return found.select(
+        "doc_id",
+        F.coalesce(F.expr(HELD_OUT), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), words=3, bits=3)
@@ -33,6 +50,18 @@ def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The probability of each category, the last being ``toxic`` as labels mark it, and what follows from it."""
+    docs = table(spark, folder, "documents")
+    models = toxicity.fit(docs, table(spark, folder, "labels"), "toxic", HELD_OUT)
+    found = toxicity.probabilities(docs, models, ["insult_mind", "insult_worth", "toxic"])
+    return found.select(
+        F.col("id").alias("doc_id"), "insult_mind", "insult_worth", F.col("toxic").alias("score"),
+        (F.col("toxic") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
