@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, quality, simhash, toxicity
+from quern.llm import bpe, mixing, pii, quality, rules, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +67,40 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     found = bpe.digests(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    found = sharding.shards_by_bytes(table(spark, folder, "documents"), 24)
+    return found.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    found = mixing.mix(table(spark, folder, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = rules.judged(table(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "posterior",
+    )
+
+
+#: Key of the pseudonyms in these queries; a user gives a secret one.
+PII_KEY = "demonstration key"
+
+
+@query
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.pseudonymised(docs, PII_KEY, found_col="found")
+    return found.select("doc_id", "text", F.size("found").cast("long").alias("n_replaced"), *[
+        c.alias(n) for n, c in pii.counts_by_kind("found").items()
+    ])
