@@ -31,7 +31,7 @@ ORDER_BITS = 62
 #: Cells of the first summary, and of each stretch that is looked at again, as powers of two.
 FIRST_CELLS, FINER_CELLS = 13, 10
 #: Rows that are numbered together.
-SUBCELL_ROWS = 50_000
+SUBCELL_ROWS = 5_000
 
 
 def _measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -86,7 +86,7 @@ class _Cells:
 
 
 def _summary(groups: DataFrame, stretches: list[tuple[int, int, int]]) -> list[tuple[int, int, int, bool]]:
-    """Sizes in cells of 2 to ``shift`` places inside stretches (from, to, shift): a bounded number of rows."""
+    """Sizes in cells of 2 to ``shift`` places inside stretches (from, to, shift), fewer than there are shards."""
     place = F.col("place")
     number, cell, inside = F.lit(None), F.lit(None), F.lit(False)
     for i, (start, end, shift) in enumerate(stretches):
@@ -136,25 +136,27 @@ def cuts(groups: DataFrame, shards: int) -> tuple[list[int], list[int]]:
         low = cells.least(left, least, rest, True)
         high = cells.least(left, low, rest, False) if cells.fill(rest, left, False)[0] else rest
         best, worst = cells.fill(high, left, True)[1], cells.fill(low, left, False)[1]
-        open_cells: set[int] = set()
-        for j in range(left - 1):
-            # The j-th cut of any capacity in question lies between these two cells.
-            first = worst[j][0] if j < len(worst) else len(cells.rows) - 1
-            last = best[j][0] if j < len(best) else len(cells.rows) - 1
-            open_cells |= {k for k in range(min(first, last), max(first, last) + 1) if not cells.rows[k][3]}
-        if not open_cells:
-            break
+        # The j-th cut of any capacity in question lies between two cells; if they aren't all groups, cut them finer.
         stretches: list[list[int]] = []
-        for k in sorted(open_cells):
-            start, end = cells.rows[k][:2]
-            if stretches and stretches[-1][1] == start:
-                stretches[-1][1] = end
+        for j in range(left - 1):
+            ends = (x[j][0] if j < len(x) else len(cells.rows) - 1 for x in (worst, best))
+            first, last = sorted(ends)
+            if all(cells.rows[k][3] for k in range(first, last + 1)):
+                continue
+            if stretches and first <= stretches[-1][1]:
+                stretches[-1][1] = max(last, stretches[-1][1])
             else:
-                stretches.append([start, end])
-        # Each stretch gets at most 2 to FINER_CELLS cells, and in all not more than in the first summary.
-        finer = max(1, FINER_CELLS - max(0, (len(stretches) - 1).bit_length() - (FIRST_CELLS - FINER_CELLS)))
-        wanted = [(a, b, max(0, (b - a - 1).bit_length() - finer)) for a, b in stretches]
-        cells = _Cells([r for k, r in enumerate(cells.rows) if k not in open_cells] + _summary(groups, wanted))
+                stretches.append([first, last])
+        if not stretches:
+            break
+        wanted, dropped = [], set()
+        for first, last in stretches:
+            own = [cells.rows[k] for k in range(first, last + 1)]
+            start, end = own[0][0], own[-1][1]
+            narrowest = min(r[1] - r[0] for r in own if not r[3])
+            dropped.update(range(first, last + 1))
+            wanted.append((start, end, max(0, min((end - start - 1).bit_length() - FINER_CELLS, narrowest.bit_length() - 3))))
+        cells = _Cells([r for k, r in enumerate(cells.rows) if k not in dropped] + _summary(groups, wanted))
     capacity = cells.least(left, least, rest, False)
     return alone, [cells.rows[k][0] for k, _ in cells.fill(capacity, left, False)[1]]
 
