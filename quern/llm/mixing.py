@@ -27,7 +27,7 @@ from quern.llm.shared import Stage, native_words
 #: Times that a document can be taken.
 ROUNDS = 2
 #: Documents that are summed up together.
-CELL_ROWS = 50_000
+CELL_ROWS = 5_000
 
 
 def word_count(text: Column) -> Column:
