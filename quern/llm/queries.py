@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, mixing, pii, quality, rules, sharding, simhash, toxicity
+from quern.llm import bpe, mixing, pii, quality, recompress, rules, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +104,8 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "text", F.size("found").cast("long").alias("n_replaced"), *[
         c.alias(n) for n, c in pii.counts_by_kind("found").items()
     ])
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return recompress.digests(table(spark, folder, "documents"), 20).withColumnRenamed("id", "doc_id")
