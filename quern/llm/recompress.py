@@ -11,8 +11,10 @@ Neighbouring windows share their symbol, and are filed as one block. Equal windo
 brings the blocks of a name together: a block that was already met earlier is a repeat as a whole. Where different
 blocks share a name, their first occurrences are compared window by window in a second, small step, over the words.
 
-Blocks met twice in one batch are settled there, so a passage that very many documents share sends few rows. Names and
-block contents are compared by 128 bits together.
+Blocks met twice in one strip of words are settled there. Where a strip has different blocks of one name, one of them
+stands for the name; the others go on by name and content, known to need the second step. So a line that very many
+documents share sends a row for each strip to the task of its name. Names and block contents are compared by 128 bits
+together.
 
 Defined results: a null text has no words. A text shorter than a window keeps all. A null id keeps its text whole and
 gives nothing to others. Repeated rows (equal id and text) are one document: they are treated alike. Copies of a text
@@ -43,7 +45,9 @@ _ODDER = np.uint64(0xD6E8FEB86659FD93)
 _BASE = 0x5851F42D4C957F2D
 _SHIFT = np.uint64(32)
 
-BLOCKS = "name long, block long, id long, start int, windows int"
+#: route: what rows are dealt by. windows: how many; 0 for a settled span, whose block is where it stops. known: whether
+#: the name has other blocks already.
+BLOCKS = "route long, name long, block long, id long, start int, windows int, known boolean"
 SPANS = "name long, id long, start int, stop int"
 
 
@@ -176,6 +180,7 @@ def _strips(batch: pa.RecordBatch, window: int) -> Iterator[tuple[np.ndarray, np
     held: list[np.ndarray] = []
     ids: list[int] = []
     places: list[int] = []
+    size = 0
 
     def out():
         cuts = np.concatenate([[0], np.cumsum([len(h) for h in held])])
@@ -190,9 +195,10 @@ def _strips(batch: pa.RecordBatch, window: int) -> Iterator[tuple[np.ndarray, np
             held.append(hashes[start : start + STRIP + window - 1])
             ids.append(own.as_py())
             places.append(start)
-            if sum(map(len, held)) >= STRIP:
+            size += len(held[-1])
+            if size >= STRIP:
                 yield out()
-                held, ids, places = [], [], []
+                held, ids, places, size = [], [], [], 0
     if held:
         yield out()
 
@@ -219,19 +225,28 @@ def _merged(own: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.nd
     return own[at], start[at], stop[np.append(at[1:], len(own)) - 1]
 
 
-def _rows(name, block, own, start, count, window: int) -> Iterator[pa.RecordBatch]:
-    """First blocks of a strip, and its repeats as rows without windows whose block is where they stop."""
+def _rows(name, block, own, start, count, window: int) -> pa.RecordBatch:
+    """First blocks of a strip, as ``BLOCKS`` describes, and its repeats as settled spans."""
     order, repeat = _settled(name, block, own, start, count)
     firsts, again = order[~repeat], order[repeat]
+    n, b = name[firsts], block[firsts]
+    other = np.zeros(len(n), bool)  # not the first block of its name
+    other[1:] = n[1:] == n[:-1]
+    known = other.copy()
+    known[:-1] |= other[1:]
     ids, begin, stop = _merged(own[again], start[again], start[again] + count[again] - 1 + window)
+    nothing = np.zeros(len(ids), np.int64)
+    spread = _mix(ids, begin).view(np.int64)
     columns = [
-        np.concatenate([name[firsts], _mix(ids, begin).view(np.int64)]),
-        np.concatenate([block[firsts], stop]),
+        np.concatenate([np.where(other, _mix(n, b).view(np.int64), n), spread]),
+        np.concatenate([n, spread]),
+        np.concatenate([b, stop]),
         np.concatenate([own[firsts], ids]),
         np.concatenate([start[firsts], begin]).astype(np.int32),
-        np.concatenate([count[firsts], np.zeros(len(ids), np.int64)]).astype(np.int32),
+        np.concatenate([count[firsts], nothing]).astype(np.int32),
+        np.concatenate([known, nothing.astype(bool)]),
     ]
-    yield pa.record_batch([pa.array(c) for c in columns], ["name", "block", "id", "start", "windows"])
+    return pa.record_batch([pa.array(c) for c in columns], [f.split()[0] for f in BLOCKS.split(", ")])
 
 
 def blocks(docs: DataFrame, window: int) -> DataFrame:
@@ -242,77 +257,83 @@ def blocks(docs: DataFrame, window: int) -> DataFrame:
             for words, cuts, ids, places in _strips(batch, window):
                 name, block, start, count = filed(words, cuts, window)
                 text = np.searchsorted(cuts, start, "right") - 1
-                yield from _rows(name, block, ids[text], start - cuts[text] + places[text], count, window)
+                yield _rows(name, block, ids[text], start - cuts[text] + places[text], count, window)
 
     return docs.mapInArrow(run, BLOCKS)
 
 
-def repeats(rows: DataFrame, window: int) -> DataFrame:
+def _told(*rows: tuple[np.ndarray, ...]) -> pa.RecordBatch | None:
+    """Rows of ``SPANS`` from tuples of name (or none), id, start and stop."""
+    batches = [
+        pa.record_batch(
+            [
+                pa.nulls(len(own), pa.int64()) if name is None else pa.array(name),
+                pa.array(own),
+                pa.array(start.astype(np.int32)),
+                pa.array(stop.astype(np.int32)),
+            ],
+            ["name", "id", "start", "stop"],
+        )
+        for name, own, start, stop in rows
+        if len(own)
+    ]
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0] if batches else None
+
+
+def repeats(rows: DataFrame, window: int, route: str = "route") -> DataFrame:
     """Spans that repeat an earlier block (name NULL), and first blocks that share their name with other blocks.
 
     Rows of a name come sorted by block, id and start, so that a few numbers are all that a task carries on.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried: np.ndarray | None = None  # name, block, id and start of the first of the last block
-        waiting: np.ndarray | None = None  # the only first block of the last name so far
+        before: tuple | None = None  # name, block, id and start of the first row of the last block
+        head: np.ndarray | None = None  # that row's name, id, start and stop
+        known = told = False  # whether its name is known to have other blocks, and whether that was said
         for batch in batches:
-            name, block, own, start, count = (batch.column(i).to_numpy() for i in range(5))
-            start, count = start.astype(np.int64), count.astype(np.int64)
-            gone = count == 0
-            spans = [(own[gone], start[gone], block[gone])]
-            name, block, own, start, count = (x[~gone] for x in (name, block, own, start, count))
-            tell = []
-            if len(name):
-                n, b, o, s = name, block, own, start
-                if carried is not None:
-                    n, b, o, s = (np.concatenate([[c], x]) for c, x in zip(carried, (n, b, o, s), strict=True))
-                new = np.ones(len(n), bool)
-                new[1:] = (n[1:] != n[:-1]) | (b[1:] != b[:-1])
-                head = np.maximum.accumulate(np.where(new, np.arange(len(n)), 0))
-                again = (o != o[head]) | (s != s[head])
-                carried = np.array([n[head[-1]], b[head[-1]], o[head[-1]], s[head[-1]]], np.int64)
-                skip = len(n) - len(name)
-                new, again = new[skip:], again[skip:]
-                spans.append((own[again], start[again], start[again] + count[again] - 1 + window))
-                heads = np.stack([name[new], own[new], start[new], count[new]], 1)
-                if waiting is not None:
-                    heads = np.concatenate([waiting[None, :4], heads])
-                    told = bool(waiting[4])
-                else:
-                    told = True
-                # A head is of interest if the head before or after it has the same name. The last one waits.
-                same = heads[1:, 0] == heads[:-1, 0]
-                shared = np.zeros(len(heads), bool)
-                shared[1:] |= same
-                shared[:-1] |= same
-                if len(heads):
-                    kept = heads[:-1][shared[:-1]]
-                    if waiting is not None and not told and shared[0] and len(heads) > 1:
-                        kept = kept[1:]  # it was told when an earlier batch ended
-                    tell.append(kept)
-                    if shared[-1] and len(heads) > 1:
-                        tell.append(heads[-1:])
-                        waiting = np.append(heads[-1], 0)
-                    elif len(heads) > 1 or waiting is None:
-                        waiting = np.append(heads[-1], 1)
-            ids, begin, stop = (np.concatenate([x[k] for x in spans]) for k in range(3))
-            if len(ids):
-                yield pa.record_batch(
-                    [pa.nulls(len(ids), pa.int64()), pa.array(ids), pa.array(begin.astype(np.int32)), pa.array(stop.astype(np.int32))],
-                    ["name", "id", "start", "stop"],
-                )
-            if tell and sum(map(len, tell)):
-                t = np.concatenate(tell)
-                yield pa.record_batch(
-                    [pa.array(t[:, 0]), pa.array(t[:, 1]), pa.array(t[:, 2].astype(np.int32)), pa.array((t[:, 2] + t[:, 3]).astype(np.int32))],
-                    ["name", "id", "start", "stop"],
-                )
+            n, b, o, s, c, k = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+            s, c = s.astype(np.int64), c.astype(np.int64)
+            gone = c == 0
+            settled = (None, o[gone], s[gone], b[gone])
+            n, b, o, s, c, k = (x[~gone] for x in (n, b, o, s, c, k))
+            if not len(n):
+                if out := _told(settled):
+                    yield out
+                continue
+            goes_on = before is not None and before[:2] == (n[0], b[0])
+            new = np.ones(len(n), bool)
+            new[1:] = (n[1:] != n[:-1]) | (b[1:] != b[:-1])
+            new[0] = not goes_on
+            place = np.maximum.accumulate(np.where(new, np.arange(len(n)), -1))
+            first_id = np.where(place < 0, before[2] if goes_on else 0, o[np.maximum(place, 0)])
+            first_start = np.where(place < 0, before[3] if goes_on else 0, s[np.maximum(place, 0)])
+            again = (o != first_id) | (s != first_start)
+            spans = (None, o[again], s[again], s[again] + c[again] - 1 + window)
+            at = np.flatnonzero(new)
+            if goes_on:
+                known |= bool(k[: at[0] if len(at) else len(k)].any())
+            heads = np.stack([n[at], o[at], s[at], s[at] + c[at]], 1).reshape(-1, 4)
+            shared = np.logical_or.reduceat(k, at) if len(at) else np.zeros(0, bool)
+            if head is not None:
+                heads, shared = np.concatenate([head[None], heads]), np.concatenate([[known], shared])
+            same = heads[1:, 0] == heads[:-1, 0]
+            known = bool(shared[-1])
+            shared[1:] |= same
+            shared[:-1] |= same
+            tell = shared.copy()
+            if head is not None:
+                tell[0] &= not told
+            told = bool(shared[-1])
+            asked = heads[tell]
+            head, before = heads[-1], (n[-1], b[-1], first_id[-1], first_start[-1])
+            if out := _told(settled, spans, tuple(asked.T)):
+                yield out
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        rows.repartition(parts, "name")
-        .sortWithinPartitions("name", "block", "id", "start", F.desc("windows"))
+        rows.repartition(parts, route)
+        .sortWithinPartitions("name", "block", "id", "start")
+        .select("name", "block", "id", "start", "windows", "known")
         .mapInArrow(run, SPANS)
     )
 
@@ -323,21 +344,32 @@ def _windows(docs: DataFrame, asked: DataFrame, window: int) -> DataFrame:
     joined = docs.join(listed.hint("shuffle_hash"), "id").select("id", "text", "asked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            name, block, own, start = (np.concatenate([f[k] for f in found]) for k in range(4))
+            found.clear()
+            # Dealt by name and content, so that no name is one task's.
+            return _rows(_mix(name, block).view(np.int64), block, own, start, np.ones(len(name), np.int64), window)
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                found = []
-                for own, text, want in zip(*(c.slice(at, 64) for c in batch.columns), strict=True):
-                    words = byte_words(text.as_py())
-                    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-                    contents, rows = Contents(hashes), want.values.flatten()
-                    name, start, stop = (c.to_numpy() for c in rows)
-                    start = start.astype(np.int64)
-                    count = stop - start
-                    places = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
-                    block = contents.of(places, places + window).view(np.int64)
-                    found.append((np.repeat(name, count), block, np.full(len(places), own.as_py()), places))
-                name, block, own, start = (np.concatenate([f[k] for f in found]) for k in range(4))
-                yield from _rows(name, block, own, start, np.ones(len(name), np.int64), window)
+            for own, text, want in zip(*batch.columns, strict=True):
+                words = byte_words(text.as_py())
+                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+                name, start, stop = (c.to_numpy() for c in want.values.flatten())
+                start = start.astype(np.int64)
+                count = stop - start
+                places = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
+                block = Contents(hashes).of(places, places + window).view(np.int64)
+                found.append((np.repeat(name, count), block, np.full(len(places), own.as_py()), places))
+                size += len(places)
+                if size >= STRIP:
+                    yield out()
+                    size = 0
+            if found:
+                yield out()
+                size = 0
 
     return joined.mapInArrow(run, BLOCKS)
 
