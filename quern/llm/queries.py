@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, mixing, pii, quality, recompress, rules, sharding, simhash, toxicity
+from quern.llm import bpe, mixing, mtree, pii, quality, recompress, rules, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +109,26 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return recompress.digests(table(spark, folder, "documents"), 20).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op1_mtree_topk(spark: SparkSession, folder: str) -> DataFrame:
+    found = mtree.top_k(table(spark, folder, "embeddings"), "id % 20 = 0", k=20, scale=64.0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+ORACLES["op1_mtree_topk"] = """
+WITH good AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+    FROM good q JOIN good c ON c.vec_id <> q.vec_id
+    WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
