@@ -16,6 +16,7 @@ import hashlib
 from itertools import chain
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -254,7 +255,7 @@ def encoded(
                 for text in part.column(1):
                     ids = encoder.encode(text.as_py())
                     rows.append(make(ids, encoder.decode(ids)))
-                columns = list(zip(*rows, strict=True))
+                columns = zip(*rows, strict=True)
                 yield pa.record_batch([part.column(0), *map(pa.array, columns)], ["id", *fields])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, f"id long, {schema}")
@@ -268,15 +269,21 @@ class _Names(dict):
         return name
 
 
-def digests(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of every text, so that no ids need be kept."""
+_names = _Names()
+
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+IDS_AND_DIGESTS = f"ids array<int>, {DIGESTS}"
+
 
-    names = _Names()
+def digests_of(ids: list[int], decoded: bytes) -> tuple[int, str, str]:
+    named = ",".join(map(_names.__getitem__, ids)).encode()
+    return len(ids), hashlib.sha256(named).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
-    def make(ids: list[int], decoded: bytes) -> tuple[int, str, str]:
-        named = ",".join(map(names.__getitem__, ids)).encode()
-        return len(ids), hashlib.sha256(named).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
-    return encoded(
-        docs, vocabulary_path, pattern, id_col, text_col, make, "n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+def ids_and_digests(ids: list[int], decoded: bytes) -> tuple:
+    return np.array(ids, np.int32), *digests_of(ids, decoded)
+
+
+def digests(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of every text, so that no ids need be kept."""
+    return encoded(docs, vocabulary_path, pattern, id_col, text_col, digests_of, DIGESTS)

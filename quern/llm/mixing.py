@@ -103,16 +103,19 @@ def last_finish(queue: DataFrame, budget: float, stage: Stage) -> float:
     return best
 
 
-def mix(
-    docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, keep: tuple[str, ...] = (),
-    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-) -> DataFrame:
-    """(id, size, source_size, target, taken, and the columns in ``keep``): the words that the mix takes of each row."""
+def mixed_hash(id_col: str, text_col: str) -> Column:
+    """What the shuffle goes by."""
+    return F.xxhash64(F.col(id_col), F.col(text_col), F.lit("mix"))
+
+
+def queue_and_cut(
+    docs: DataFrame, weights: tuple[int, ...], share: float, id_col: str, text_col: str, source_col: str
+) -> DataFrame:
+    """(id, source, size, mixed, total, target, upto, times): the queues, and how often the mix takes each row."""
     stage = Stage(docs.sparkSession)
-    kept = [F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)]
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-        F.xxhash64(id_col, text_col, F.lit("mix")).alias("mixed"), *kept,
+        mixed_hash(id_col, text_col).alias("mixed"),
     )
     rows = stage.keep(rows)
     sources = rows.groupBy("source").agg(F.sum("size").alias("total"), F.count(F.lit(1)).alias("n"))
@@ -122,9 +125,40 @@ def mix(
     budget = float(sources.agg(F.sum("target")).first()[0] or 0)
     # Half a word covers the rounding of the targets' sum.
     last = last_finish(queue, budget + 0.5, stage)
-    times = sum(F.when((F.col("size") > 0) & (_finish(k) <= F.lit(last)), 1).otherwise(0) for k in range(ROUNDS))
-    return queue.select(
-        "id", "size", F.col("total").alias("source_size"), F.col("target"),
-        (F.col("size") * times).cast("long").alias("taken"),
-        *(F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)),
-    )
+    taken = (F.when((F.col("size") > 0) & (_finish(k) <= F.lit(last)), 1).otherwise(0) for k in range(ROUNDS))
+    return queue.withColumn("times", sum(taken, F.lit(0)))
+
+
+def mix(
+    docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5,
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+) -> DataFrame:
+    """(id, size, source_size, target, taken): the words that the mix takes of each row."""
+    queue = queue_and_cut(docs, weights, share, id_col, text_col, source_col)
+    taken = (F.col("size") * F.col("times")).cast("long").alias("taken")
+    return queue.select("id", "size", F.col("total").alias("source_size"), "target", taken)
+
+
+def mixed_rows(
+    docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5,
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+) -> DataFrame:
+    """``docs`` as the mix has them: each row as often as it is taken.
+
+    Rows are found again by their hash and id. Copies of a row share what is taken of all of them.
+    """
+    queue = queue_and_cut(docs, weights, share, id_col, text_col, source_col)
+    taken = queue.groupBy(F.col("mixed").alias("__mixed"), F.col("id").alias("__id"), F.col("source").alias("__source"))
+    taken = taken.agg(F.sum("times").alias("__times"), F.count(F.lit(1)).alias("__copies")).filter("__times > 0")
+    own = docs.withColumn("__own", mixed_hash(id_col, text_col))
+    same = (
+        (F.col("__own") == F.col("__mixed"))
+        & F.col(id_col).eqNullSafe(F.col("__id"))
+        & F.col(source_col).eqNullSafe(F.col("__source"))
+    )
+    found = own.join(taken, same)
+    copy = F.row_number().over(W.partitionBy("__own", id_col, source_col).orderBy("__own"))
+    more = (F.col("__copy") <= F.col("__times") % F.col("__copies")).cast("int")
+    times = (F.floor(F.col("__times") / F.col("__copies")) + more).cast("int")
+    spread = found.withColumn("__copy", copy).withColumn("__each", F.explode(F.array_repeat(F.lit(0), times)))
+    return spread.select(*docs.columns)

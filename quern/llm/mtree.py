@@ -224,7 +224,7 @@ def planted(points: DataFrame, space: Space, width: int, stage: Stage) -> tuple[
     tree = F.element_at(start, F.col("region")) + F.pmod(F.xxhash64("id"), F.element_at(spread, F.col("region")))
     dealt = regions.select("id", "v", tree.cast("int").alias("tree"))
 
-    def grow(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("id")
         pages = build(frame.id.to_numpy(), _matrix(frame.v, width), space)
         rows = [p | {"tree": key[0], "vectors": p["vectors"].astype(np.int32).tobytes()} for p in pages]

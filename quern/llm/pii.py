@@ -189,22 +189,22 @@ def pseudonymised(
     some = text.rlike(r"@|[0-9][ ./()-]{0,2}[0-9]|[0-9A-Fa-f]{32}")
     kinds = " ".join(f"WHEN '{k}' THEN {_moved(k, 'x.value', key, back)}" for k in FORMATS)
     found = F.when(some, F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1)))
-    rows = docs.withColumn("_matches", found)
-    any_found = "coalesce(size(_matches), 0) > 0"
+    rows = docs.withColumn("__pii_matches", found)
+    any_found = "coalesce(size(__pii_matches), 0) > 0"
     rows = rows.withColumn(
-        "_known", F.expr(f"IF({any_found}, transform(_matches, m -> named_struct('kind', {_kind_of('m')}, 'value', m)), NULL)")
+        "__pii_known", F.expr(f"IF({any_found}, transform(__pii_matches, m -> named_struct('kind', {_kind_of('m')}, 'value', m)), NULL)")
     )
     rows = rows.withColumn(
-        "_moved", F.expr(f"IF({any_found}, transform(_known, x -> CASE x.kind {kinds} ELSE x.value END), NULL)")
+        "__pii_moved", F.expr(f"IF({any_found}, transform(__pii_known, x -> CASE x.kind {kinds} ELSE x.value END), NULL)")
     )
     between = f"split({_quoted(text_col)}, {_text(ANY)}, -1)"
-    joined = f"IF({any_found}, array_join(flatten(zip_with({between}, _moved, (a, b) -> array(a, coalesce(b, '')))), ''), {_quoted(text_col)})"
-    rows = rows.withColumn("_text", F.expr(joined))
+    joined = f"IF({any_found}, array_join(flatten(zip_with({between}, __pii_moved, (a, b) -> array(a, coalesce(b, '')))), ''), {_quoted(text_col)})"
+    rows = rows.withColumn("__pii_text", F.expr(joined))
     if found_col:
-        pairs = "filter(zip_with(_known, _moved, (x, y) -> named_struct('kind', x.kind, 'value', x.value, 'pseudonym', y)), x -> x.kind IS NOT NULL)"
+        pairs = "filter(zip_with(__pii_known, __pii_moved, (x, y) -> named_struct('kind', x.kind, 'value', x.value, 'pseudonym', y)), x -> x.kind IS NOT NULL)"
         empty = "CAST(array() AS array<struct<kind: string, value: string, pseudonym: string>>)"
         rows = rows.withColumn(found_col, F.expr(f"coalesce(IF({any_found}, {pairs}, NULL), {empty})"))
-    return rows.withColumn(text_col, F.col("_text")).drop("_matches", "_known", "_moved", "_text")
+    return rows.withColumn(text_col, F.col("__pii_text")).drop("__pii_matches", "__pii_known", "__pii_moved", "__pii_text")
 
 
 def _quoted(name: str) -> str:

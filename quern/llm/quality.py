@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quern.llm.shared import by_batch
 from quern.llm.subwords import REMEMBERED, Subwords, featured, in_order, labelled
@@ -82,10 +83,11 @@ def fit(
     return train(rows, marks[:, 0])
 
 
-def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score): the probability of label 1 for every whole text."""
+def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """``docs`` with ``score_col``: the probability of label 1 for every whole text."""
     sent = docs.sparkSession.sparkContext.broadcast((model.margins(), model.offset()))  # 65,536 numbers
     subwords, seen = Subwords(BUCKETS), {}
+    place = docs.columns.index(text_col)
 
     def score(text: str | None) -> float:
         margins, offset = sent.value
@@ -108,6 +110,12 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         return float(1 / (1 + np.exp(-np.clip(offset, -700, 700))))
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.record_batch([batch.column(0), pa.array([score(t.as_py()) for t in batch.column(1)], pa.float64())], ["id", "score"])
+        found = pa.array([score(t.as_py()) for t in batch.column(place)], pa.float64())
+        return pa.record_batch([*batch.columns, found], [*batch.schema.names, score_col])
+
+    return by_batch(docs, make, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
 
-    return by_batch(docs.select(F.col(id_col).cast("long").alias("id"), text_col), make, "id long, score double")
+
+def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, score) of every document."""
+    return scored(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), model).drop("text")

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quern import staging
 
@@ -52,7 +53,7 @@ def native_words(text: Column) -> Column:
 
 
 def by_batch(
-    df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
+    df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: StructType | str
 ) -> DataFrame:
     """Apply ``make`` to each Arrow batch of ``df``."""
 
