@@ -102,9 +102,11 @@ def build(ids: np.ndarray, points: np.ndarray, space: Space, seed: int = 7) -> l
         made = {"page": number, "leaf": len(own) <= LEAF}
         pages.append(made)
         if made["leaf"]:
-            own = own[np.argsort(ids[own])]
+            away = np.zeros(len(own)) if routing is None else space.apart(points[own], routing)
+            order = np.lexsort([ids[own], away])
+            own = own[order]
             made |= {"ids": ids[own], "vectors": points[own], "radii": np.zeros(len(own)), "children": np.zeros(0, np.int32)}
-            made["to_parent"] = np.zeros(len(own)) if routing is None else space.apart(points[own], routing)
+            made["to_parent"] = away[order]
             return number
         pivots = points[random.choice(own, FANOUT, replace=False)]
         nearest = np.stack([space.apart(points[own], p) for p in pivots], 1).argmin(1)
@@ -125,64 +127,92 @@ def build(ids: np.ndarray, points: np.ndarray, space: Space, seed: int = 7) -> l
 
 
 class Search:
-    """Best-first search for one query over the pages of one tree."""
+    """Best-first search of a block of queries over the pages of one tree.
+
+    A page waits with the queries that may need it, and the page with the best bound of any of them is next. A leaf's
+    entries are in the order of their distance to the routing point, so that the triangle inequality leaves each query
+    one stretch of them, found by bisection.
+    """
 
     def __init__(self, pages: dict[int, dict], space: Space) -> None:
         self.pages, self.space, self.margin = pages, space, space.margin()
         self.computed = self.passed_over = 0
 
-    def top(self, own_id: int, q: np.ndarray, k: int, least: tuple[int, int] | None) -> tuple[np.ndarray, np.ndarray]:
-        """Scores and ids of at most k points but the query's own, best first.
+    def top(
+        self, own: np.ndarray, q: np.ndarray, k: int, score: np.ndarray, smallest: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the query, id, score) of at most k points for each query, without the query's own.
 
-        least: a score and an id that a point must come before.
+        score, smallest: a score and an id that a point must come before; minus infinity if there is no such bound.
         """
-        length = float(q @ q)
-        whole = length + self.space.square
-        scores, ids = np.empty(0), np.empty(0, np.int64)
-        worst = least  # what a point must come before to count
+        whole = (q * q).sum(1) + self.space.square
+        score, smallest = score.astype(np.float64).copy(), smallest.copy()
+        found = [(np.empty(0), np.empty(0, np.int64)) for _ in own]
 
-        def bound(near: np.ndarray | float) -> np.ndarray:
-            """The highest score of points at least so far away."""
-            far = np.maximum(0.0, near - self.margin)
-            return np.floor((whole - far * far) / 2 + 1e-6)
-
-        def reach() -> float:
+        def reach(who: np.ndarray) -> np.ndarray:
             """How far a point may lie to count."""
-            return np.inf if worst is None else np.sqrt(max(0.0, whole - 2 * worst[0])) + self.margin
+            return np.sqrt(np.maximum(0.0, whole[who] - 2 * score[who])) + self.margin
+
+        def hopeful(best: np.ndarray, low: int, who: np.ndarray) -> np.ndarray:
+            """Whether points that score ``best`` at most, with ids from ``low`` on, may count."""
+            return (best > score[who]) | ((best == score[who]) & (low < smallest[who]))
 
-        queue: list[tuple[float, int, int, float]] = [(-np.inf, 0, 0, -1.0)]
+        def take(who: int, points: np.ndarray, products: np.ndarray) -> None:
+            products, points = np.concatenate([found[who][0], products]), np.concatenate([found[who][1], points])
+            order = np.lexsort([points, -products])[:k]
+            found[who] = products[order], points[order]
+            if len(order) == k:
+                score[who], smallest[who] = products[order[-1]], points[order[-1]]
+
+        everyone = np.arange(len(own))
+        queue: list[tuple] = [(-np.inf, 0, everyone, np.full(len(own), np.inf), np.full(len(own), -1.0), -(1 << 63))]
         while queue:
-            best, smallest, number, to_routing = heapq.heappop(queue)
-            if worst is not None and (-best, -smallest) < (worst[0], -worst[1]):
-                break
-            page = self.pages[number]
-            vectors, radii = page["vectors"], page["radii"]
-            near = np.arange(len(vectors))
-            if to_routing >= 0 and worst is not None:
-                near = np.flatnonzero(np.abs(to_routing - page["to_parent"]) - radii <= reach())
-                self.passed_over += len(vectors) - len(near)
-            self.computed += len(near)
-            if not len(near):
+            _, number, who, best, away, low = heapq.heappop(queue)
+            still = hopeful(best, low, who)
+            who, away = who[still], away[still]
+            if not len(who):
                 continue
-            products = vectors[near] @ q
+            page = self.pages[number]
+            vectors = page["vectors"]
             if page["leaf"]:
-                own = page["ids"][near]
-                good = own != own_id
-                if worst is not None:
-                    good &= (products > worst[0]) | ((products == worst[0]) & (own < worst[1]))
-                if good.any():
-                    scores, ids = np.concatenate([scores, products[good]]), np.concatenate([ids, own[good]])
-                    order = np.lexsort([ids, -scores])[:k]
-                    scores, ids = scores[order], ids[order]
-                    if len(ids) == k:
-                        worst = (int(scores[-1]), int(ids[-1]))
+                first, last = 0, len(vectors)
+                if number:
+                    far = reach(who)
+                    start = np.searchsorted(page["to_parent"], away - far, "left")
+                    stop = np.searchsorted(page["to_parent"], away + far, "right")
+                    some = start < stop
+                    who, first, last = who[some], start[some].min(initial=last), stop[some].max(initial=0)
+                    if not len(who):
+                        self.passed_over += len(some) * len(vectors)
+                        continue
+                self.computed += len(who) * (last - first)
+                self.passed_over += len(who) * (len(vectors) - last + first)
+                ids = page["ids"][first:last]
+                products = q[who] @ vectors[first:last].T
+                good = (products > score[who, None]) | ((products == score[who, None]) & (ids[None] < smallest[who, None]))
+                good &= ids[None] != own[who, None]
+                for i in np.flatnonzero(good.any(1)):
+                    take(int(who[i]), ids[good[i]], products[i, good[i]])
                 continue
-            away = np.sqrt(np.maximum(0.0, whole - 2 * products))
-            limits, low = bound(away - radii[near]), page["ids"][near]
-            for j in range(len(near)):
-                if worst is None or (limits[j], -low[j]) >= (worst[0], -worst[1]):
-                    heapq.heappush(queue, (-limits[j], int(low[j]), int(page["children"][near[j]]), float(away[j])))
-        return scores.astype(np.int64), ids
+            radii, entries = page["radii"], np.arange(len(vectors))
+            far = reach(who)
+            near = np.ones((len(who), len(vectors)), bool)
+            if number:
+                near = np.abs(away[:, None] - page["to_parent"][None]) - radii[None] <= far[:, None]
+                entries = np.flatnonzero(near.any(0))
+            self.computed += len(who) * len(entries)
+            self.passed_over += len(who) * (len(vectors) - len(entries))
+            distance = np.sqrt(np.maximum(0.0, whole[who, None] - 2 * (q[who] @ vectors[entries].T)))
+            least = np.maximum(0.0, distance - radii[entries] - self.margin)
+            bound = np.floor((whole[who, None] - least * least) / 2 + 1e-6)
+            for j, entry in enumerate(entries):
+                low = int(page["ids"][entry])
+                ask = near[:, entry] & hopeful(bound[:, j], low, who)
+                if ask.any():
+                    best = bound[ask, j]
+                    heapq.heappush(queue, (-best.max(), int(page["children"][entry]), who[ask], best, distance[ask, j], low))
+        sizes = [len(f[1]) for f in found]
+        return np.repeat(everyone, sizes), np.concatenate([f[1] for f in found]), np.concatenate([f[0] for f in found]).astype(np.int64)
 
 
 def _pivots(points: DataFrame, trees: int, width: int, space: Space) -> np.ndarray:
@@ -240,19 +270,18 @@ def _searched(pages: DataFrame, asked: DataFrame, space: Space, width: int, k: i
     copies = pages.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
         if len(left) and len(right):
             tree = {}
             for r in left.itertuples():
                 vectors = np.frombuffer(r.vectors, np.int32).reshape(len(r.ids), -1).astype(np.float64)
                 tree[r.page] = {"leaf": r.leaf, "ids": np.asarray(r.ids), "vectors": vectors, "radii": np.asarray(r.radii),
                                 "to_parent": np.asarray(r.to_parent), "children": np.asarray(r.children)}
-            own = Search(tree, space)
-            for r, q in zip(right.itertuples(), _matrix(right.v, width), strict=True):
-                least = None if pd.isna(r.worst_score) else (int(r.worst_score), int(r.worst_id))
-                scores, ids = own.top(r.id, q, k, least)
-                out.append(pd.DataFrame({"query_id": r.id, "id": ids, "score": scores}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "id": [], "score": []}, dtype="int64")
+            q, ids = _matrix(right.v, width), right.id.to_numpy()
+            score = right.worst_score.to_numpy(np.float64, na_value=-np.inf)
+            smallest = right.worst_id.fillna(0).to_numpy(np.int64)
+            place, own, scores = Search(tree, space).top(ids, q, k, score, smallest)
+            return pd.DataFrame({"query_id": ids[place], "id": own, "score": scores})
+        return pd.DataFrame({"query_id": [], "id": [], "score": []}, dtype="int64")
 
     return copies.groupBy("tree", "chunk").cogroup(queries.groupBy("tree", "chunk")).applyInPandas(search, FOUND)
 
