@@ -263,11 +263,15 @@ def planted(points: DataFrame, space: Space, width: int, stage: Stage) -> tuple[
     return dealt, stage.keep(dealt.groupBy("tree").applyInPandas(grow, PAGES))
 
 
-def _searched(pages: DataFrame, asked: DataFrame, space: Space, width: int, k: int, parts: int) -> DataFrame:
-    """(query_id, id, score) for ``asked`` (id, v, tree, worst_score, worst_id), a tree and some queries at a time."""
-    chunk = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
-    queries = asked.withColumn("chunk", chunk)
-    copies = pages.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+def _searched(pages: DataFrame, asked: DataFrame, space: Space, width: int, k: int, stage: Stage) -> DataFrame:
+    """(query_id, id, score) for ``asked`` (id, v, tree, worst_score, worst_id), a tree and some queries at a time.
+
+    A tree's pages are copied only for as many blocks of queries as ask for it.
+    """
+    asked = stage.keep(asked)
+    blocks = asked.groupBy("tree").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERIES)).cast("int").alias("blocks"))
+    queries = asked.join(blocks, "tree").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    copies = pages.join(blocks, "tree").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if len(left) and len(right):
@@ -283,7 +287,8 @@ def _searched(pages: DataFrame, asked: DataFrame, space: Space, width: int, k: i
             return pd.DataFrame({"query_id": ids[place], "id": own, "score": scores})
         return pd.DataFrame({"query_id": [], "id": [], "score": []}, dtype="int64")
 
-    return copies.groupBy("tree", "chunk").cogroup(queries.groupBy("tree", "chunk")).applyInPandas(search, FOUND)
+    left, right = copies.drop("blocks").groupBy("tree", "block"), queries.drop("blocks").groupBy("tree", "block")
+    return left.cogroup(right).applyInPandas(search, FOUND)
 
 
 def top_k(
@@ -295,17 +300,16 @@ def top_k(
     told = points.agg(
         F.max(F.size("v")).alias("width"),
         F.max(F.aggregate("v", F.lit(0.0), lambda n, x: n + x.cast("double") * x)).alias("square"),
-        F.sum(F.expr(f"CAST({query} AS INT)")).alias("queries"),
+        F.max(F.expr(f"CAST({query} AS INT)")).alias("queries"),
     ).first()
     if not told.queries:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, id long, score long")
     width, space = max(1, told.width), Space(told.square)
     dealt, pages = planted(points, space, width, stage)
-    parts = max(1, -(-told.queries // QUERIES))
     queries = dealt.filter(query)
     nothing = F.lit(None).cast("long")
     own = queries.select("*", nothing.alias("worst_score"), nothing.alias("worst_id"))
-    near = stage.keep(_searched(pages, own, space, width, k, parts))
+    near = stage.keep(_searched(pages, own, space, width, k, stage))
     ranked = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
     worst = near.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") == k)
     worst = worst.select("query_id", F.col("score").alias("worst_score"), F.col("id").alias("worst_id"))
@@ -332,6 +336,6 @@ def top_k(
 
     ordered = bounded.select("id", "v", "tree", "worst_score", "worst_id")
     schema = "id long, v array<int>, tree int, worst_score long, worst_id long"
-    far = _searched(pages, ordered.mapInArrow(others, schema), space, width, k, parts)
+    far = _searched(pages, ordered.mapInArrow(others, schema), space, width, k, stage)
     best = near.unionAll(far).withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
