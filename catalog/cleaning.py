@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import Tables, plain, query, round_all
 from quern.functions import codes, dates, numbers, text
-from quern.operators import columns, duplicates, missing, outliers, split, summaries, types
+from quern.operators import columns, duplicates, missing, outliers, quantiles, split, summaries, types
 
 # Events with gaps in a number, a text and an integer.
 GAPS = """
@@ -343,6 +343,18 @@ def split_in_order(t: Tables) -> DataFrame:
     return parts.labelled().select("o_orderkey", "Set")
 
 
+_SENTINEL = "case when l_linenumber = 1 then 0 else 1e16 + 2 * (l_orderkey % 2) end"
+
+
+@query(f"select quantile_cont(x, 0.25) as a, quantile_cont(x, 0.5) as b, quantile_cont(x, 0.9) as c from (select {_SENTINEL} as x from lineitem)")
+def quantiles_far_apart(t: Tables) -> DataFrame:
+    """A sentinel beside very large values next to each other, found by narrowing."""
+    value = F.when(F.col("l_linenumber") == 1, 0.0).otherwise(F.lit(1e16) + 2 * (F.col("l_orderkey") % 2))
+    wanted = {"x": (value, quantiles.linear(0.25, 0.5, 0.9))}
+    found = quantiles.order_values(t.lineitem, wanted, small=0, fetched=64)["x"]
+    return t.spark.range(1).select(*[F.lit(v).alias(n) for n, v in zip("abc", found, strict=True)])
+
+
 _EDGES = ", ".join(f"quantile_cont(o_totalprice, {i / 10}) as e{i}" for i in range(11))
 
 

@@ -95,6 +95,21 @@ def encode_one_hot(t: Tables) -> DataFrame:
     return encode.one_hot_encode(t.part.select("p_partkey", "p_size", "p_type"), ["p_type"])
 
 
+@query(
+    "select s_suppkey % 10 as part, count(*) as rows, sum(s_suppkey)::double as ones from supplier where s_suppkey > "
+    "(select min(s_suppkey) from supplier) and s_name <> (select min(s_name) from supplier) group by 1"
+)
+def encode_one_hot_per_row(t: Tables) -> DataFrame:
+    """As many categories as rows: each indicator is one in one row. All indicators of a row are added up."""
+    suppliers = t.supplier.select("s_suppkey", "s_name")
+    encoded = encode.one_hot_encode(suppliers, ["s_name"])
+    ones = encoded.select("s_suppkey", F.aggregate(F.array(*encoded.columns[1:]), F.lit(0.0), lambda n, x: n + x).alias("one"))
+    kept = ones.filter("one > 0")
+    return kept.groupBy((F.col("s_suppkey") % 10).alias("part")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("one") * F.col("s_suppkey")).alias("ones")
+    )
+
+
 @query(
     "select p_partkey, p_brand, round(avg(p_retailprice) over (partition by p_brand), 6) as \"p_brand_TargetEncoded\" "
     "from part"
@@ -380,6 +395,19 @@ def kde(t: Tables) -> DataFrame:
     return round_all(round_all(charts.kde(t.events, "value"), ["x"]), ["density"], 8)
 
 
+@query(
+    "with t as (select value * value * value / 1e4 as value from events), "
+    "s as (select stddev_samp(value) * count(value) ** -0.2 as h, count(value) as n, min(value) as a, "
+    "max(value) as b from t), g as (select a + i * (b - a) / 500 as x from s, range(500) as r(i)) "
+    "select 'All' as \"Set\", round(x, 5) as x, round(sum(exp(-0.5 * ((x - value) / h) ** 2)) / (max(n) * max(h) * "
+    "sqrt(2 * pi())), 8) as density from g, s, t group by x"
+)
+def kde_heavy_tail(t: Tables) -> DataFrame:
+    """Most values lie close together, a few very far away."""
+    cubed = t.events.select((F.col("value") * F.col("value") * F.col("value") / 1e4).alias("value"))
+    return round_all(round_all(charts.kde(cubed, "value"), ["x"], 5), ["density"], 8)
+
+
 @query(
     "with s as (select event_type as k, stddev_samp(value) * count(value) ** -0.2 as h, count(value) as n, "
     "min(value) as a, max(value) as b from events group by 1), "
@@ -388,7 +416,7 @@ def kde(t: Tables) -> DataFrame:
     "sqrt(2 * pi())), 8) as density from g join events on k = event_type group by event_type, x"
 )
 def violin(t: Tables) -> DataFrame:
-    return round_all(round_all(charts.violin(t.events, "event_type", "value", 100, 16_384), ["x"]), ["density"], 8)
+    return round_all(round_all(charts.violin(t.events, "event_type", "value", 100), ["x"]), ["density"], 8)
 
 
 _HAZEN = (

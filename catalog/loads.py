@@ -29,7 +29,8 @@ def _sales_files(t: Tables) -> str:
     for table, derivation in _DERIVED.items():
         df = t.sql(derivation)
         df = df.drop("o_orderkey")
-        df.write.csv(f"{folder}/{warehouse.FILES[table]}", header=True, quote="", emptyValue="", nullValue="")
+        df.write.csv(f"{folder}/{warehouse.FILES[table]}", header=True, quote="", emptyValue="", nullValue="",
+                     ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return folder
 
 
@@ -42,6 +43,27 @@ def csv_round_trip(t: Tables) -> DataFrame:
     return csv.read_positional(t.spark, path, kinds)
 
 
+_AWKWARD = "'  ' || text || ' ,\"' || chr(10) || 'end  '"
+
+
+@query(f"select doc_id, {_AWKWARD} as text from documents")
+def csv_text_round_trip(t: Tables) -> DataFrame:
+    """Outer blanks, quotes, commas and line breaks inside quotes survive, read by position and by name alike."""
+    path = new_path(t.spark)
+    padded = F.concat(F.lit("  "), F.col("text"), F.lit(' ,"\nend  '))
+    csv.write_csv(t.documents.select("doc_id", padded.alias("text")), path)
+    by_name = csv.read_text_columns(t.spark, path).select(F.col("doc_id").cast("bigint"), F.col("text").alias("other"))
+    by_place = csv.read_positional(t.spark, path, "doc_id bigint, text string", quoted=True)
+    return by_place.join(by_name, "doc_id").filter("text = other").drop("other")
+
+
+@query("select page_id, html from pages")
+def csv_html_round_trip(t: Tables) -> DataFrame:
+    path = new_path(t.spark)
+    csv.write_csv(t.pages.select("page_id", "html"), path)
+    return csv.read_inferred(t.spark, path).select(F.col("page_id").cast("bigint"), "html")
+
+
 @query("select event_id, user_id, nullif(props, '') as props from events")
 def csv_quoted_round_trip(t: Tables) -> DataFrame:
     """Text with quotes and commas in it survives."""

@@ -198,9 +198,9 @@ def dim_education(t: Tables) -> DataFrame:
 
 @query(FACT)
 def fact_indigenous_education(t: Tables) -> DataFrame:
-    location = _location(t)
-    parts = [_table(t, name, location) for name in ("population", "indigenous", "education")]
-    return round_all(census.fact_indigenous_education(location, *parts), _IND + _EDU)
+    raw = t.sql(RAW)
+    parts = [census.localities(census.EXTRACTS[name](raw)) for name in ("population", "indigenous", "education")]
+    return round_all(census.fact_indigenous_education(_location(t), *parts), _IND + _EDU)
 
 
 @query(f"select NOM_ENT, count(*) as count from ({CLEAN_LOCATION}) as l where state_abbreviation = 'Total' group by 1")
@@ -239,6 +239,17 @@ def strip_accents_any_script(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", plain_text.alias("plain"))
 
 
+_MARKED = "array('1ª Sección 2º', 'ﬁn ½ ĳs', 'Ḿ Å x²', 'plain', 'ÀÉÎÕÜ çñ')"
+_BARE = "['1a Seccion 2o', 'fin 1⁄2 ijs', 'M A x2', 'plain', 'AEIOU cn']"
+
+
+@query(f"select s_suppkey, ({_BARE})[1 + s_suppkey % 5] as latin, ['Αθηνα', 'и', 'ﾊ'][1 + s_suppkey % 2] as any from supplier")
+def strip_accents_whole_text(t: Tables) -> DataFrame:
+    """Whole results against constants: ordinals, ligatures, fractions and indices too, and other scripts."""
+    rows = t.supplier.withColumn("x", F.expr(f"{_MARKED}[s_suppkey % 5]")).withColumn("y", F.expr("array('Αθήνα', 'й')[s_suppkey % 2]"))
+    return rows.select("s_suppkey", text.strip_accents(F.col("x")).alias("latin"), text.strip_accents_any_script(F.col("y")).alias("any"))
+
+
 @query(
     "select s_suppkey, case when s_suppkey % 5 <> 0 then round(s_suppkey % 90 + (s_suppkey % 60) / 60.0 + "
     "((s_suppkey % 60) + 0.001) / 3600.0, 4) * case s_suppkey % 4 when 0 then -1 when 1 then 1 when 2 then -1 "

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Longer lists are looked up in one map instead of compared one after the other; the labels are the same.
 _CHAIN_LIMIT = 100
 
 
@@ -17,9 +18,14 @@ def folded(value: Column) -> Column:
 
 def map_codes(value: Column, labels: Mapping, default: Column | str | None = None, fold: bool = True) -> Column:
     """Replace codes by labels; anything not listed, NULL included, becomes ``default``."""
-    if len(labels) > _CHAIN_LIMIT:
-        raise ValueError(f"more than {_CHAIN_LIMIT} codes: use map_codes_by_join")
     compared = folded(value) if fold else value
+    if len(labels) > _CHAIN_LIMIT:
+        known: dict = {}
+        for code, label in labels.items():
+            known.setdefault(code.strip().upper() if fold and isinstance(code, str) else code, label)
+        listed = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+        other = default if isinstance(default, Column) else F.lit(default)
+        return F.when(F.map_contains_key(listed, compared), F.try_element_at(listed, compared)).otherwise(other)
     codes_of: dict = {}
     for code, label in labels.items():
         codes_of.setdefault(label, []).append(code.strip().upper() if fold and isinstance(code, str) else code)

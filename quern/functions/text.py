@@ -23,25 +23,39 @@ def tail_from(value: Column, start: int) -> Column:
     return F.substring(value, F.lit(start), F.length(F.rtrim(value)))
 
 
-def _latin_pairs() -> tuple[str, str]:
-    """Accented letters of the Latin blocks whose decomposition is one letter plus marks."""
-    accented, plain = [], []
-    for point in range(0x00C0, 0x0250):
+def _plain(letter: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(c))
+
+
+# Blocks of letters, ordinals, indices and wide forms used with Latin text.
+_BLOCKS = ((0x00A0, 0x0250), (0x02B0, 0x0300), (0x1E00, 0x1F00), (0x2070, 0x20A0), (0xFB00, 0xFB07), (0xFF01, 0xFF5F))
+
+
+def _latin_pairs() -> tuple[str, str, dict[str, str]]:
+    """Letters whose decomposition is one letter plus marks, and those of several letters."""
+    accented, plain, several = [], [], {}
+    for point in (p for start, end in _BLOCKS for p in range(start, end)):
         letter = chr(point)
-        base = "".join(c for c in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(c))
+        base = _plain(letter)
         if len(base) == 1 and base != letter:
             accented.append(letter)
             plain.append(base)
-    return "".join(accented), "".join(plain)
+        elif len(base) > 1:
+            several[letter] = base
+    return "".join(accented), "".join(plain), several
 
 
-_ACCENTED, _PLAIN = _latin_pairs()
+_ACCENTED, _PLAIN, _SEVERAL = _latin_pairs()
 _MARKS = "".join(chr(p) for p in range(0x0300, 0x0370) if unicodedata.combining(chr(p)))
 
 
 def strip_accents(value: Column) -> Column:
-    """Plain letters for accented Latin ones, without leaving the JVM."""
-    return F.translate(value, _ACCENTED + _MARKS, _PLAIN)
+    """Plain letters for accented Latin ones, ordinals, ligatures and fractions, without leaving the JVM."""
+    single = F.translate(value, _ACCENTED + _MARKS, _PLAIN)
+    whole = single
+    for letter, base in _SEVERAL.items():
+        whole = F.replace(whole, F.lit(letter), F.lit(base))
+    return F.when(single.rlike("[" + "".join(_SEVERAL) + "]"), whole).otherwise(single)
 
 
 @F.pandas_udf(T.StringType())
@@ -49,7 +63,7 @@ def _decomposed(values: pd.Series) -> pd.Series:
     def plain(text):
         if text is None or text.isascii():
             return text
-        return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+        return _plain(text)
 
     return values.map(plain)
 

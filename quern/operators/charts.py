@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,8 +11,9 @@ from quern.frames import Data, Splits, labelled, number, training
 from quern.operators.ordering import global_index
 from quern.operators.quantiles import SMALL, halves, midpoint, order_values
 
-KDE_BINS = 16_384
 KDE_POINTS = 500
+# Cells to a bandwidth, and bandwidths beyond which a kernel is below the last digit of its sum.
+KDE_CELLS, _REACH = 64, 8.5
 # Beyond so many groups their facts are joined instead of written into the plan.
 GROUPS = 24
 
@@ -92,14 +93,14 @@ def density_heatmap(data: Data, x: str, y: str, bins: int = 20) -> DataFrame:
     return both.groupBy(*cells).agg(F.count(F.lit(1)).alias("count"))
 
 
-def kde(data: Data, column: str, points: int = KDE_POINTS, bins: int = KDE_BINS) -> DataFrame:
+def kde(data: Data, column: str, points: int = KDE_POINTS, cells: int = KDE_CELLS) -> DataFrame:
     """Gaussian density per part at evenly spaced points, bandwidth by Scott's rule.
 
-    Values are first summed into narrow bins, each represented by the mean of its values; the curve is then a sum
-    over bins and its cost does not depend on the number of rows.
+    Values are first summed into cells of a ``cells``-th of the bandwidth, each represented by the mean and the
+    variance of its values. Only cells with values count, and each reaches the points some bandwidths around it.
     """
     df = _together(data)
-    return _curves(df.select(F.col("Set").alias("group"), number(df, column).alias("x")), points, bins).select(
+    return _curves(df.select(F.col("Set").alias("group"), number(df, column).alias("x")), points, cells).select(
         F.col("group").alias("Set"), "x", "density"
     )
 
@@ -109,47 +110,37 @@ def rug(data: Data, column: str) -> DataFrame:
     return _together(data).select("Set", number(training(data), column).alias("x")).filter("x is not null")
 
 
-def _curves(values: DataFrame, points: int, bins: int) -> DataFrame:
-    """Density curve of each group of (group, x). Few groups carry their facts as constants, many are joined."""
+def _curves(values: DataFrame, points: int, cells: int) -> DataFrame:
+    """Density curve of each group of (group, x), for any number of groups and any range of values.
+
+    The rows in between are at most the values themselves and ``cells`` times ``2 * _REACH`` times ``points`` a group.
+    """
     known = values.filter("x is not null and group is not null")
     stats = known.groupBy("group").agg(
         F.count("x").alias("n"), F.stddev_samp("x").alias("s"), F.min("x").alias("low"), F.max("x").alias("high")
     )
-    schema = "group string, x double, density double"
-    shapes = stats.limit(GROUPS + 1).collect()
-    if len(shapes) > GROUPS:
-        placed = known.join(stats.filter("s > 0"), "group")
-    else:
-        curves = {r["group"]: {k: r[k] for k in ("n", "s", "low", "high")} for r in shapes if r["s"]}
-        if not curves:
-            return values.sparkSession.createDataFrame([], schema)
-        placed = known.select("group", "x", _per_group(F.col("group"), curves).alias("g")).filter("g is not null")
-        placed = placed.select("group", "x", "g.*")
-    at = F.floor((F.col("x") - F.col("low")) / ((F.col("high") - F.col("low")) / bins))
-    binned = placed.groupBy("group", "n", "s", "low", "high", at.alias("bin")).agg(
+    stats = stats.filter("s > 0").select(
+        "group", "n", "low", (F.col("s") * F.pow("n", F.lit(-0.2))).alias("h"), ((F.col("high") - F.col("low")) / points).alias("step")
+    )
+    placed = known.join(stats, "group")
+    at = F.floor((F.col("x") - F.col("low")) / (F.col("h") / cells))
+    summed = placed.groupBy("group", "low", "h", "step", at.alias("cell")).agg(
         F.count("x").alias("w"), F.avg("x").alias("c"), F.var_pop("x").alias("v")
     )
-    cells = F.array_agg(F.struct("w", "c", "v")).alias("cells")  # at most ``bins`` + 1 of them
-    summed = binned.groupBy("group", "n", "s", "low", "high").agg(cells)
-
-    def evaluate(batches):
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                yield _curve(row, points)
-
-    return summed.mapInPandas(evaluate, schema)
-
-
-def _curve(row, points: int) -> pd.DataFrame:
-    """Sum of kernels over bins; the spread within a bin enters through the second derivative."""
-    weight, centre, spread = (np.array([cell[k] for cell in row.cells], dtype=float) for k in ("w", "c", "v"))
-    reach = row.s * row.n**-0.2
-    grid = row.low + (row.high - row.low) / points * np.arange(points)
-    density = np.empty(points)
-    for i, at in enumerate(grid):
-        u2 = ((at - centre) / reach) ** 2
-        density[i] = weight @ (np.exp(-0.5 * u2) * (1 + 0.5 * spread / reach**2 * (u2 - 1)))
-    return pd.DataFrame({"group": row.group, "x": grid, "density": density / (row.n * reach * np.sqrt(2 * np.pi))})
+    nearest = (F.col("c") - F.col("low")) / F.col("step")
+    reach = _REACH * F.col("h") / F.col("step")
+    first = F.greatest(F.ceil(nearest - reach), F.lit(0)).cast("int")
+    last = F.least(F.floor(nearest + reach), F.lit(points - 1)).cast("int")
+    # The spread inside a cell enters through the second derivative.
+    u2 = F.pow((F.col("low") + F.col("step") * F.col("i") - F.col("c")) / F.col("h"), 2)
+    part = F.col("w") * F.exp(-0.5 * u2) * (1 + 0.5 * F.col("v") / (F.col("h") * F.col("h")) * (u2 - 1))
+    near = summed.filter(first <= last).withColumn("i", F.explode(F.sequence(first, last)))
+    sums = near.groupBy("group", "i").agg(F.sum(part).alias("__sum"))
+    grid = stats.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    density = F.coalesce("__sum", F.lit(0.0)) / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))
+    return grid.join(sums, ["group", "i"], "left").select(
+        "group", (F.col("low") + F.col("step") * F.col("i")).alias("x"), density.alias("density")
+    )
 
 
 _BOX = ("q1", "median", "q3", "lower_fence", "upper_fence")
@@ -207,7 +198,10 @@ def _quartiles_by_rank(rows: DataFrame, group: str, method: str) -> DataFrame:
     for name in _BOX[:3]:
         mine = F.col("name") == name
         low, high = (F.max(F.when(mine & (F.col("side") == side), F.col("x"))) for side in ("low", "high"))
-        values.append((low + (high - low) * F.max(F.when(mine, F.col("share")))).alias(name))
+        share = F.max(F.when(mine, F.col("share")))
+        # From the nearer end, as ``quantiles`` does for few groups.
+        upper = high - (high - low) * (1 - share)
+        values.append(F.when(low == high, low).when(share < 0.5, low + (high - low) * share).otherwise(upper).alias(name))
     return found.agg(*values).select(group, *[c.alias(k) for k, c in _fences(*map(F.col, _BOX[:3])).items()])
 
 
@@ -248,10 +242,10 @@ def box_points(
     return outside.select("Set", "x", (far if show == "suspectedoutliers" else F.lit(False)).alias("suspected"))
 
 
-def violin(df: DataFrame, category: str, column: str, points: int = KDE_POINTS, bins: int = 4096) -> DataFrame:
+def violin(df: DataFrame, category: str, column: str, points: int = KDE_POINTS, cells: int = KDE_CELLS) -> DataFrame:
     """Density curve of a number for each category."""
     values = df.select(F.col(category).cast("string").alias("group"), number(df, column).alias("x"))
-    return _curves(values, points, bins).withColumnRenamed("group", category)
+    return _curves(values, points, cells).withColumnRenamed("group", category)
 
 
 def scatter(data: Data, x: str, y: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,6 @@ from quern.staging import checkpointed
 
 # A list of categories up to this length is sorted on the driver and sent to every task.
 SHORT_LIST = 10_000
-ONE_HOT_LIMIT = 1_000
 
 
 def _text(column: str) -> Column:
@@ -21,10 +21,17 @@ def _text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("nan"))
 
 
-def short_list(df: DataFrame, category: Column, limit: int) -> list[str] | None:
-    """Sorted distinct categories, or None when there are more than ``limit``."""
-    rows = df.select(category.alias("c")).distinct().limit(limit + 1).collect()
-    return sorted(row["c"] for row in rows) if len(rows) <= limit else None
+def short_list(df: DataFrame, category: Column, limit: int | None) -> list[str] | None:
+    """Sorted distinct categories, or None when there are more than ``limit`` (None: no limit)."""
+    distinct = df.select(category.alias("c")).distinct()
+    rows = (distinct if limit is None else distinct.limit(limit + 1)).collect()
+    return sorted(row["c"] for row in rows) if limit is None or len(rows) <= limit else None
+
+
+def position(category: Column, listed: list[str]) -> Column:
+    """The place of each row's category in a list, NULL if it is not there: one lookup for any number of them."""
+    pairs = F.from_json(F.lit(json.dumps({c: i for i, c in enumerate(listed)})), "map<string,int>")
+    return F.try_element_at(pairs, category)
 
 
 def category_codes(df: DataFrame, column: str, short: int = SHORT_LIST) -> DataFrame:
@@ -70,21 +77,23 @@ def _replaced(df: DataFrame, column: str, codes: DataFrame, order: list[str], va
     return _with_codes(df, column, codes).withColumn(column, value).select(*order)
 
 
-def one_hot_encode(data: Data, columns: Iterable[str], max_categories: int = ONE_HOT_LIMIT) -> Data:
+def one_hot_encode(data: Data, columns: Iterable[str], max_categories: int | None = None) -> Data:
     """One column per training category but the first; an unknown category has zero in all of them.
 
-    The new columns follow the remaining ones. Every category is a column of the result, hence the limit.
+    The new columns follow the remaining ones. Every category is a column of the result; ``max_categories`` refuses
+    columns with more of them.
     """
     names = list(columns)
     indicators: dict[str, Column] = {}
-    for column in names:
+    places: dict[str, Column] = {}
+    for i, column in enumerate(names):
         listed = short_list(training(data), _text(column), max_categories)
         if listed is None:
             raise ValueError(f"{column} has more than {max_categories} categories")
-        for category in listed[1:]:
-            hit = F.when(_text(column) == category, 1.0).otherwise(0.0)
-            indicators[f"{column}_{category}"] = hit
-    return apply_to(data, lambda df: df.withColumns(indicators).drop(*names))
+        places[f"__place{i}"] = position(_text(column), listed)
+        for k, category in enumerate(listed[1:], 1):
+            indicators[f"{column}_{category}"] = F.when(F.col(f"__place{i}") == k, 1.0).otherwise(0.0)
+    return apply_to(data, lambda df: df.withColumns(places).withColumns(indicators).drop(*names, *places))
 
 
 def category_means(df: DataFrame, column: str, target: str, smoothing: float = 0.0) -> DataFrame:

@@ -8,9 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.staging import staged
+from quern.staging import discard, staged
 
 LARGEST_SORTED_GROUP = 5_000_000
+# Rows of one range of a numbering.
+RANGE_ROWS = 200_000
 
 Order = Sequence[str | tuple[str, str]]
 
@@ -35,21 +37,25 @@ def global_index(
 ) -> DataFrame:
     """Number all rows 1..n along a total order without sorting them in one task.
 
-    Rows are range-partitioned and sorted once and written out; the position inside each range is taken while
-    writing, and the offsets of the ranges come from one small count. Ties in the order are broken by a hash of
-    the row; copies of one row are told apart by the partition they came from, so that even a key or a row that
-    makes up a large share of the table is spread over several ranges.
+    The input is written out once, so that finding the ranges does not compute it a second time, and deleted when the
+    numbered rows are written. They are range-partitioned and sorted; the position inside each range is taken while
+    writing, and the offsets of the ranges come from one small count. There is a range for so many rows, unless
+    ``partitions`` is given. Ties in the order are broken by a hash of the row; copies of one row are told apart by
+    the partition they came from, so that even a key or a row that makes up a large share of the table is spread over
+    several ranges.
     """
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    once = staged(df.withColumns({"__hash": F.xxhash64(*df.columns), "__source": F.spark_partition_id()}))
+    count = partitions or max(1, -(-once.count() // RANGE_ROWS))
     order = _sorting(order_by) + [F.col("__hash"), F.col("__source")]
     ranged = (
-        df.withColumns({"__hash": F.xxhash64(*df.columns), "__source": F.spark_partition_id()})
+        once
         .repartitionByRange(count, *order)
         .sortWithinPartitions(*order)
         .drop("__hash", "__source")
         .withColumn("__at", F.monotonically_increasing_id())
     )
     table = staged(ranged)
+    discard(once)
     # The upper bits of __at are the range, the lower 33 the position in it.
     sizes = table.groupBy(F.shiftright("__at", 33).cast("int").alias("range")).count().collect()
     offsets = [0] * (1 + max((r["range"] for r in sizes), default=0))

@@ -99,19 +99,32 @@ def _tree(values: np.ndarray, random: np.random.Generator, limit: int) -> tuple[
 def fit_forest(
     df: DataFrame, column: str, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int = SEED
 ) -> Forest:
-    """Trees over small random samples, as the method prescribes; the sample is all that is fetched."""
-    values = df.select(number(df, column).alias("x")).filter("x is not null")
-    rows = values.count()
-    wanted = trees * tree_rows
-    share = min(1.0, 1.2 * wanted / max(rows, 1))
-    drawn = values.sample(fraction=share, seed=seed) if share < 1 else values
-    pool = np.array([row[0] for row in drawn.collect()], dtype=float)
-    if pool.size == 0:
+    """Trees over small random samples, as the method prescribes; the sample is all that is fetched.
+
+    The sample holds the values of largest count over a number hashed from seed and value, each with the weight that
+    makes up for those left out (priority sampling). So it depends on the values alone, not on how rows are divided.
+    """
+    counts = df.select(number(df, column).alias("x")).filter("x is not null").groupBy("x").agg(F.count("x").alias("n"))
+    # A number above 0 and at most 1 for each value.
+    drawn = (F.pmod(F.xxhash64(F.lit(seed), "x"), F.lit(1 << 53)) + 1) / float(1 << 53)
+    ranked = counts.withColumn("p", F.col("n") / drawn).orderBy(F.desc("p"), "x").limit(trees * tree_rows + 1).collect()
+    if not ranked:
         raise ValueError(f"{column} has no values")
+    floor = 0.0
+    if len(ranked) > trees * tree_rows:
+        floor = ranked.pop()["p"]
+    ranked.sort(key=lambda row: row["x"])
+    pool = np.array([row["x"] for row in ranked], dtype=float)
+    weight = np.maximum([float(row["n"]) for row in ranked], floor)
     random = np.random.default_rng(seed)
-    size = min(tree_rows, pool.size)
+    size = int(min(tree_rows, weight.sum()))
     limit = int(np.ceil(np.log2(max(size, 2))))
-    grown = [_tree(random.choice(pool, size, replace=False), random, limit) for _ in range(trees)]
+    if weight.sum() <= trees * tree_rows:
+        rows = np.repeat(pool, weight.astype(int))  # every row is here, so trees draw each at most once
+        samples = (random.choice(rows, size, replace=False) for _ in range(trees))
+    else:
+        samples = (random.choice(pool, size, p=weight / weight.sum()) for _ in range(trees))
+    grown = [_tree(sample, random, limit) for sample in samples]
     edges = np.unique(np.concatenate([cuts for cuts, _ in grown]))
     # Any value between two neighbouring edges has the same path in every tree; take the upper edge.
     inside = np.append(edges, np.inf)

@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -139,9 +141,14 @@ class _Bracket:
         value = F.col(f"v{self.column}") / 2
         low, high = low / 2, high / 2
         if logarithmic:
-            value = F.signum(value) * F.log1p(F.abs(value))
-            low, high = (math.copysign(math.log1p(abs(end)), end) for end in (low, high))
-        place = (value - low) / ((high - low) / bins)
+            logs = [math.copysign(math.log1p(abs(end)), end) for end in (low, high)]
+            # Neighbours far from zero can share a logarithm; they differ in value.
+            if (logs[1] - logs[0]) / bins > 0:
+                value, (low, high) = F.signum(value) * F.log1p(F.abs(value)), logs
+        width = (high - low) / bins
+        if width == 0:
+            return (F.col(f"v{self.column}") > F.lit(self.low)).cast("int")
+        place = (value - F.lit(low)) / F.lit(width)
         return F.greatest(F.least(place, F.lit(bins - 1.0)), F.lit(0.0)).cast("int")
 
 
@@ -171,7 +178,9 @@ def _in_brackets(narrow: DataFrame, brackets: list[_Bracket], value: Callable[[_
         F.when(b.holds(), F.struct(F.lit(t).alias("t"), F.col(f"v{b.column}").alias("x"), value(b).alias("b")))
         for t, b in enumerate(brackets)
     ]
-    return narrow.select(F.explode(F.array(*tagged)).alias("r")).filter("r is not null").select("r.*")
+    # The filter reaches the scan's statistics, and only values inside some range become rows.
+    inside = reduce(or_, [b.holds() for b in brackets])
+    return narrow.filter(inside).select(F.explode(F.array_compact(F.array(*tagged))).alias("r")).select("r.*")
 
 
 def _divide(

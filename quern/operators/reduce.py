@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
@@ -21,7 +23,7 @@ from quern.frames import (
     string_columns,
     training,
 )
-from quern.operators.encode import ONE_HOT_LIMIT, short_list
+from quern.operators.encode import short_list
 from quern.operators.scale import SCALERS, Scaling, fit_standard, scaled
 
 ONE_PASS_TERMS = 400
@@ -121,10 +123,13 @@ def project(df: DataFrame, components: Components) -> DataFrame:
     # Many terms: leave the product to the fitted model, whose signs may differ from ours.
     plain = components.model.pc.toArray()[:, :width]
     signs = np.sign((plain * components.loadings).sum(axis=0))
-    vectors = VectorAssembler(inputCols=components.columns, outputCol="__x").transform(prepared)
+    # A row with an absent value has no components, as above.
+    whole = reduce(and_, [number(prepared, c).isNotNull() for c in components.columns])
+    assembler = VectorAssembler(inputCols=components.columns, outputCol="__x", handleInvalid="keep")
+    vectors = assembler.transform(prepared.withColumn("__whole", whole))
     values = vector_to_array(F.col("__y"))
     outputs = [
-        (values[j] * float(signs[j]) - float(offset[j])).alias(f"PC{j + 1}") for j in range(width)
+        F.when(F.col("__whole"), values[j] * float(signs[j]) - float(offset[j])).alias(f"PC{j + 1}") for j in range(width)
     ]
     return components.model.transform(vectors).select(*rest, *outputs)
 
@@ -188,7 +193,7 @@ def _f_of(df: DataFrame, values: dict[str, Column], target: str) -> dict[str, fl
     return result
 
 
-def features(df: DataFrame, target: str, max_categories: int = ONE_HOT_LIMIT) -> dict[str, Column]:
+def features(df: DataFrame, target: str, max_categories: int | None = None) -> dict[str, Column]:
     """Every column but the target as a number."""
     texts = set(string_columns(df)) | {f.name for f in df.schema if (f.metadata or {}).get(CATEGORY)}
     values: dict[str, Column] = {}

@@ -260,14 +260,17 @@ def dim_education(education: DataFrame, population: DataFrame) -> DataFrame:
 def fact_indigenous_education(
     location: DataFrame, population: DataFrame, indigenous: DataFrame, education: DataFrame
 ) -> DataFrame:
-    """All measures of a locality in one row. All joins share one key, so the tables are divided by it once."""
+    """All measures of a locality in one row, found by its natural key; ``location`` alone carries its number.
+
+    All joins share one key, so each table is divided by it once.
+    """
     joined = location
     for table, names in (
         (population, POPULATION_NAMES),
         (indigenous, INDIGENOUS_NAMES),
         (education, EDUCATION_NAMES),
     ):
-        joined = joined.join(table.select("locality_index", *names), "locality_index", "left")
+        joined = joined.join(table.select(*KEYS, *names), KEYS, "left")
     return joined.select(
         *_as(LOCATION_NAMES | COORDINATE_NAMES | POPULATION_NAMES | INDIGENOUS_NAMES),
         *_indigenous_measures(),

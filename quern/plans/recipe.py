@@ -10,7 +10,6 @@ import uuid
 from collections.abc import Callable
 from copy import deepcopy
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame
 
@@ -184,7 +183,7 @@ def apply_step(data: Data, step: dict) -> Outcome:
         return Outcome("warning", f"unknown operation: {step['op_type']}", data)
     try:
         return act(data, step["params"])
-    except (ValueError, LookupError, TypeError) as error:
+    except (ValueError, LookupError, TypeError, AttributeError) as error:
         return Outcome("error", f"{step['op_type']}: {error}", data)
 
 
@@ -195,10 +194,7 @@ class Recipe:
     checked: bool = True
 
     def __post_init__(self) -> None:
-        self._current, self._state = self.initial, State()
-        if self.steps:
-            self._current = self.replay()
-            self._state = reduce(State.after, self.steps, State())
+        self._current, self._state, self.outcomes = self.replayed(self.initial)
 
     @property
     def current(self) -> Data:
@@ -207,6 +203,8 @@ class Recipe:
     def add(self, op_type: str, params: dict, stage: bool = False) -> Outcome:
         """Take one step. ``stage`` writes its result out, which saves later fits from repeating costly steps."""
         step = {"id": str(uuid.uuid4()), "op_type": op_type, "params": deepcopy(params)}
+        if stage:
+            step["stage"] = True
         refused = objection(self._current, step, self._state) if self.checked else None
         if refused:
             return Outcome("warning", refused, self._current)
@@ -216,13 +214,29 @@ class Recipe:
         self.steps.append(step)
         self._current = apply_to(outcome.data, staged) if stage else outcome.data
         self._state = self._state.after(step)
+        self.outcomes.append(Outcome(outcome.status, outcome.message, self._current, outcome.details))
         return Outcome("success", outcome.message, self._current, outcome.details)
 
-    def replay(self, initial: DataFrame | None = None) -> Data:
-        """The list applied anew, to the initial frame or to another one of the same shape."""
+    @property
+    def left_out(self) -> list[tuple[dict, str]]:
+        """Steps that did not succeed when the list was last applied, and why."""
+        return [(step, o.message) for step, o in zip(self.steps, self.outcomes, strict=True) if not o.ok]
 
-        def taken(data: Data, step: dict) -> Data:
+    def replayed(self, initial: DataFrame) -> tuple[Data, State, list[Outcome]]:
+        """The list applied anew: the result, the state that the successful steps make, and what became of each.
+
+        A step that fails leaves the data as they are. Steps taken with ``stage`` write their result out here too.
+        """
+        data, state, outcomes = initial, State(), []
+        for step in self.steps:
             outcome = apply_step(data, step)
-            return outcome.data if outcome.ok else data
+            outcomes.append(outcome)
+            if outcome.ok:
+                data = apply_to(outcome.data, staged) if step.get("stage") else outcome.data
+                state = state.after(step)
+        return data, state, outcomes
 
-        return reduce(taken, self.steps, self.initial if initial is None else initial)
+    def replay(self, initial: DataFrame | None = None) -> Data:
+        """The list applied anew, to the initial frame or to another one of the same shape; see ``left_out``."""
+        data, _, self.outcomes = self.replayed(self.initial if initial is None else initial)
+        return data

@@ -9,31 +9,42 @@ from quern.frames import Data, Splits
 
 
 def read_positional(
-    spark: SparkSession, path: str, schema: T.StructType | str, quoted: bool = False, mode: str = "FAILFAST"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    quoted: bool = False,
+    mode: str = "FAILFAST",
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Columns bound by position to a declared schema, the header line skipped whatever it says.
 
-    Without ``quoted`` a quote is an ordinary character. A value that does not fit its type fails the load.
+    Without ``quoted`` a quote is an ordinary character. A value that does not fit its type fails the load. Quoted
+    values may hold line breaks, so a quoted file is read by one task; ``multi_line=False`` lets large files without
+    such values be split.
     """
     quoting = {"quote": '"', "escape": '"'} if quoted else {"quote": ""}
     return spark.read.csv(
-        path, schema=schema, header=True, enforceSchema=True, sep=",", mode=mode, encoding="UTF-8", **quoting
-    )
+        path, schema=schema, header=True, enforceSchema=True, sep=",", mode=mode, encoding="UTF-8",
+        multiLine=quoted if multi_line is None else multi_line, **quoting,
+    )
 
 
-def read_inferred(spark: SparkSession, path: str) -> DataFrame:
+def read_inferred(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Columns by name with types inferred from the data: for files met once, at the price of a second scan."""
-    return spark.read.csv(path, header=True, inferSchema=True, quote='"', escape='"')
+    return spark.read.csv(path, header=True, inferSchema=True, quote='"', escape='"', multiLine=multi_line)
 
 
-def read_text_columns(spark: SparkSession, path: str) -> DataFrame:
+def read_text_columns(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Columns by name, every value as text."""
-    return spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"')
+    return spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multi_line)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A header, no index, absent values as nothing."""
-    df.write.mode(mode).csv(path, header=True, nullValue="", emptyValue="", quote='"', escape='"', encoding="UTF-8")
+    """A header, no index, absent values as nothing, outer blanks of text kept."""
+    df.write.mode(mode).csv(
+        path, header=True, nullValue="", emptyValue="", quote='"', escape='"', encoding="UTF-8",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
 
 
 def export(data: Data, name: str) -> list[str]:

@@ -73,6 +73,8 @@ class LoadRecord:
     seconds: float | None = None
     status: str = "running"
     error: str | None = None
+    started: float | None = None
+    ended: float | None = None
 
 
 @dataclass
@@ -85,7 +87,7 @@ class LoadAudit:
         """Write ``df``; a failure is recorded and raised again."""
         record = LoadRecord(layer, table)
         self.records.append(record)
-        started = time.monotonic()
+        record.started = time.time()
         try:
             seen = Observation()
             write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
@@ -95,7 +97,8 @@ class LoadAudit:
             record.status, record.error = "failed", str(error)[:500]
             raise
         finally:
-            record.seconds = time.monotonic() - started
+            record.ended = time.time()
+            record.seconds = record.ended - record.started
 
     def run_all(self, layer: str, tables: dict[str, DataFrame], refresh: Callable, at_once: int = 4) -> None:
         """Write independent tables side by side, so that a small one does not leave the cluster idle."""
@@ -107,9 +110,13 @@ class LoadAudit:
         for load in loads:
             load.result()
 
-    def total_seconds(self) -> float:
-        return sum(r.seconds or 0.0 for r in self.records)
+    def total_seconds(self, layer: str | None = None) -> float:
+        """Time from the start of the first load to the end of the last; loads may run side by side."""
+        own = [r for r in self.records if r.ended and layer in (None, r.layer)]
+        return max(r.ended for r in own) - min(r.started for r in own) if own else 0.0
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        schema = "layer string, table string, rows bigint, seconds double, status string, error string"
-        return spark.createDataFrame([tuple(asdict(r).values()) for r in self.records], schema)
+        schema = "layer string, table string, rows bigint, seconds double, status string, error string, started double, ended double"
+        times = ("started", "ended")
+        frame = spark.createDataFrame([tuple(asdict(r).values()) for r in self.records], schema)
+        return frame.withColumns({name: F.timestamp_millis((F.col(name) * 1000).cast("bigint")) for name in times})

@@ -48,10 +48,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def discard(frame: DataFrame) -> None:
+    """Delete the files of a frame that ``staged`` returned, once nothing will read it again."""
+    spark = frame.sparkSession
+    for folder in {path.rsplit("/", 1)[0] for path in frame.inputFiles()}:
+        known = [path for path in _written if folder.endswith(path.rsplit("/", 1)[-1])]
+        for path in known:
+            _delete(spark, path)
+            _written.remove(path)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this process wrote to the shared folder; frames that read it are then invalid."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _written.pop())

@@ -23,9 +23,12 @@ def test_map_codes_on_numbers_and_without_codes(spark):
     assert one(spark, "int", [1], lambda c: codes.map_codes(c, {}, "z", fold=False)) == ["z"]
 
 
-def test_long_code_lists_need_a_join(spark):
-    with pytest.raises(ValueError):
-        codes.map_codes(F.col("x"), {str(i): "a" for i in range(101)})
+def test_long_code_lists_give_the_same_labels(spark):
+    labels = {f" k{i} ": f"label {i}" for i in range(150)}
+    got = one(spark, "string", ["K7", " k149", "none", None], lambda c: codes.map_codes(c, labels, "other"))
+    assert got == ["label 7", "label 149", "other", "other"]
+    got = one(spark, "int", [7, 149, 150, None], lambda c: codes.map_codes(c, {i: str(i) for i in range(150)}, fold=False))
+    assert got == ["7", "149", None, None]
 
 
 def test_threshold_is_exclusive_and_null_is_low(spark):

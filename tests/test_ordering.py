@@ -81,3 +81,23 @@ def test_lookup_keeps_unmatched_facts(spark):
         [("A ", 1), ("b", None), (None, None)], key=str
     )
     assert ordering.lookup_keys(facts, dimension, "code", "nat", "dim_key").filter("dim_key is not null").count() == 0
+
+
+def test_numbering_computes_its_input_once_and_leaves_one_copy(spark):
+    import os
+
+    from quern import staging
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = spark.range(3000, numPartitions=3).mapInPandas(count, "id long")
+    before = set(os.listdir(staging.shared_folder(spark)))
+    numbered = ordering.global_index(df, ["id"], partitions=5)
+    assert seen.value == 3000
+    assert [r.idx for r in numbered.orderBy("id").limit(3).collect()] == [1, 2, 3]
+    assert len(set(os.listdir(staging.shared_folder(spark))) - before) == 1

@@ -214,3 +214,23 @@ def test_every_step_of_the_catalogue(frame):
             frame, {"op_type": "missing_values", "params": {"fill_strategy": strategy, "custom_value": "1"}}
         )
         assert filled.data.filter("num_a is null").isEmpty()
+
+
+def test_replay_tells_what_it_left_out(spark, frame):
+    steps = [
+        {"id": "1", "op_type": "encode_columns", "params": {"encoding_method": "no such", "columns_to_encode": ["cat_lo"]}},
+        {"id": "2", "op_type": "rename_column", "params": {"old_name": "num_b", "new_name": "b"}},
+    ]
+    work = recipe.Recipe(frame, steps)
+    assert not work._state.encoded
+    assert [step["id"] for step, _ in work.left_out][:1] == ["1"]
+
+
+def test_fact_of_localities_takes_three_joins(spark):
+    keys = "ENTIDAD int, MUN int, LOC int"
+    frames = []
+    for names in (census.LOCATION_NAMES | census.COORDINATE_NAMES, census.POPULATION_NAMES, census.INDIGENOUS_NAMES, census.EDUCATION_NAMES):
+        extra = ", ".join(f"{n} int" for n in names if n not in ("ENTIDAD", "MUN", "LOC"))
+        frames.append(spark.createDataFrame([], f"{keys}, {extra}"))
+    plan = census.fact_indigenous_education(*frames)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 3

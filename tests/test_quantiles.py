@@ -41,3 +41,13 @@ def test_quartiles_by_halves():
     assert at(halves(False), 4) == at(halves(True), 4) == [0.5, 1.5, 2.5]
     assert at(midpoint(0.25, 0.5), 10) == [2.0, 4.5]
     assert at(midpoint(0.25), 1) == [0.0]
+
+
+@pytest.mark.parametrize(
+    "data",
+    [[0.0, 1e16, 1e16 + 2], [0.0, 1e18, 1e18 + 256], [float("-inf"), 0.0, float("inf")], [0.0, 5e-324, 1e-323], [-1e16 - 2, -1e16, 1e300]],
+)
+def test_values_with_one_logarithm(spark, data):
+    df = spark.createDataFrame([(x,) for x in data * 100], "x double")
+    got = order_values(df, {"x": (F.col("x"), lambda n: [0.0, 50.0, 150.0, 250.0, 299.0])}, small=1, fetched=64)["x"]
+    assert got == [data[0], data[0], data[1], data[2], data[2]]

@@ -98,3 +98,27 @@ def test_staged_rows_are_read_from_the_shared_folder(spark):
     assert df.inputFiles()[0].replace("file://", "").startswith(staging.shared_folder(spark).replace("file://", ""))
     small = staging.checkpointed(spark.range(3))
     assert small.count() == 3
+
+
+def test_blanks_and_line_breaks_survive(spark, tmp_path):
+    rows = [(1, "  padded  "), (2, "two\nlines"), (3, 'a "quote", and\r\nmore')]
+    path = str(tmp_path / "out.csv")
+    csv.write_csv(spark.createDataFrame(rows, "a int, b string"), path)
+    assert values(csv.read_positional(spark, path, "a int, b string", quoted=True)) == rows
+    assert values(csv.read_inferred(spark, path)) == rows
+    assert [r[1] for r in values(csv.read_text_columns(spark, path))] == [b for _, b in rows]
+
+
+def test_batch_time_is_not_the_sum_of_loads_side_by_side(spark):
+    import time
+
+    audit = tables.LoadAudit()
+    slow = {f"t{i}": spark.range(1) for i in range(4)}
+
+    def refresh(df, layer, table):
+        time.sleep(0.5)
+        df.collect()
+
+    audit.run_all("bronze", slow, refresh)
+    assert 0.5 <= audit.total_seconds() < sum(r.seconds for r in audit.records)
+    assert all(r.started <= r.ended for r in audit.records)

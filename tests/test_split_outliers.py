@@ -116,7 +116,7 @@ def test_forest_scores_match_a_walk_down_the_trees(spark):
     """The step function equals the mean path length computed value by value."""
     values_ = np.random.default_rng(1).normal(size=200)
     random = np.random.default_rng(outliers.SEED)
-    pool = np.array(values_)
+    pool = np.sort(values_)
     limit = math.ceil(math.log2(200))
     trees = [outliers._tree(random.choice(pool, 200, replace=False), random, limit) for _ in range(10)]
     df = spark.createDataFrame([(float(v),) for v in values_], "x double").coalesce(1)
@@ -133,3 +133,9 @@ def test_many_ranges_and_few_agree(spark, monkeypatch):
     plain = df.filter(outliers._in_ranges(F.col("x"), ranges)).count()
     monkeypatch.setattr(outliers, "_PLAIN_RANGES", 1)
     assert df.filter(outliers._in_ranges(F.col("x"), ranges)).count() == plain == 501
+
+
+def test_forest_does_not_depend_on_partitions(spark):
+    df = spark.range(40_000).selectExpr("CASE WHEN id % 3 = 0 THEN 5.0 ELSE (id * 7919 % 10007) / 7.0 END AS x")
+    first, second = (outliers.fit_forest(df.repartition(n), "x", trees=5, tree_rows=64) for n in (2, 7))
+    assert first.edges.tolist() == second.edges.tolist() and first.scores.tolist() == second.scores.tolist()
