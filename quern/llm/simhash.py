@@ -171,9 +171,10 @@ def near_duplicates(
     stage = Stage(docs.sparkSession)
     own = stage.keep(fingerprints(docs, id_col, text_col, words))
     least = own.groupBy("fingerprint").agg(F.min("id").alias("least"))
-    # A count of its own, since each row becomes 66: tasks sized by these narrow rows would be too large.
+    # Dealt once more, since each row becomes 66: tasks sized by these narrow rows would be too large. Not by the
+    # fingerprint, as they are dealt by that already and would be left as they are.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = own.select("fingerprint").distinct().repartition(parts, "fingerprint")
+    distinct = own.select("fingerprint").distinct().repartition(parts)
     roots = components(links(distinct, stage, bits, block), stage)
     joined = least.join(roots, least.fingerprint == roots.node, "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
