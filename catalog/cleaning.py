@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.registry import Tables, plain, query, round_all
+from quern import frames
 from quern.functions import codes, dates, numbers, text
 from quern.operators import columns, duplicates, missing, outliers, quantiles, split, summaries, types
 
@@ -367,6 +368,9 @@ def quantile_bins(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", split.quantile_bin(t.orders, "o_totalprice", 10).alias("bin"))
 
 
+_SECONDS = "epoch_us(ts) / 1e6"
+
+
 @query(
     " union all ".join(
         f"select '{c}' as \"column\", count({c}) as count, {unique} as \"unique\", {top} as top, {freq} as freq, "
@@ -375,12 +379,18 @@ def quantile_bins(t: Tables) -> DataFrame:
             *[
                 (
                     c, "cast(null as bigint)", "cast(null as varchar)", "cast(null as bigint)",
-                    f"round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as std, cast(min({c}) as double) as min, "
-                    f"round(quantile_cont(cast({c} as double), 0.25), 6) as p25, round(quantile_cont(cast({c} as double), 0.5), 6) as p50, "
-                    f"round(quantile_cont(cast({c} as double), 0.75), 6) as p75, cast(max({c}) as double) as max",
+                    f"round(avg({c}), 3) as mean, round(stddev_samp({c}), 3) as std, cast(min({c}) as double) as min, "
+                    f"round(quantile_cont(cast({c} as double), 0.25), 3) as p25, round(quantile_cont(cast({c} as double), 0.5), 3) as p50, "
+                    f"round(quantile_cont(cast({c} as double), 0.75), 3) as p75, cast(max({c}) as double) as max",
                 )
                 for c in ("event_id", "user_id", "value")
             ],
+            (
+                "ts", "cast(null as bigint)", "cast(null as varchar)", "cast(null as bigint)",
+                f"round(avg({_SECONDS}), 3) as mean, cast(null as double) as std, min({_SECONDS}) as min, "
+                f"round(quantile_cont({_SECONDS}, 0.25), 3) as p25, round(quantile_cont({_SECONDS}, 0.5), 3) as p50, "
+                f"round(quantile_cont({_SECONDS}, 0.75), 3) as p75, max({_SECONDS}) as max",
+            ),
             *[
                 (
                     c, f"count(distinct {c})",
@@ -394,7 +404,7 @@ def quantile_bins(t: Tables) -> DataFrame:
     )
 )
 def describe_all(t: Tables) -> DataFrame:
-    return round_all(summaries.describe_all(t.events.drop("ts")), ["mean", "std", "p25", "p50", "p75"])
+    return round_all(summaries.describe_all(t.events), ["mean", "std", "p25", "p50", "p75"], 3)
 
 
 @query(
@@ -406,6 +416,14 @@ def distinct_counts(t: Tables) -> DataFrame:
     return summaries.distinct_counts(t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"))
 
 
+@query(
+    "select column_name as \"column\", column_type in ('BIGINT', 'INTEGER', 'DOUBLE') as numeric, column_type = 'VARCHAR' as "
+    "text, column_type like 'TIMESTAMP%' as temporal from (describe lineitem)"
+)
+def column_kinds(t: Tables) -> DataFrame:
+    return frames.kinds_report(t.lineitem)
+
+
 @query("select event_type, count(*) as count from events group by event_type")
 def value_counts(t: Tables) -> DataFrame:
     return summaries.value_counts(t.events, "event_type")

@@ -208,7 +208,7 @@ def yeojohnson_exponent(t: Tables) -> DataFrame:
 
 
 def _fitted(df: DataFrame, exponent: float) -> DataFrame:
-    return df.limit(1).select(F.round(F.lit(exponent), 2).alias("exponent"))
+    return df.sparkSession.range(1).select(F.round(F.lit(exponent), 2).alias("exponent"))
 
 
 def _transformed(key: str, column: str, source: str, power_of: str, log: str) -> str:
@@ -328,7 +328,7 @@ def anova_f(t: Tables) -> DataFrame:
     lines = t.lineitem.select("l_quantity", "l_extendedprice", "l_discount", "l_linestatus", "l_returnflag")
     scores = reduce.f_statistics(lines, "l_returnflag")
     cells = ", ".join(f"'{name}', double('{score!r}')" for name, score in scores.items())
-    return t.lineitem.limit(1).selectExpr(f"stack({len(scores)}, {cells}) as (feature, f)").withColumn("f", F.round("f", 4))
+    return t.spark.range(1).selectExpr(f"stack({len(scores)}, {cells}) as (feature, f)").withColumn("f", F.round("f", 4))
 
 
 _MARKED = """
@@ -527,3 +527,32 @@ def replayed_recipe(t: Tables) -> DataFrame:
     # Refused, since the data are scaled already: leaves them as they are.
     recipe.add("scale_columns", {"scaling_method": "Robust Scaler"})
     return round_all(recipe.replay(), ["number", "value", "user_id"])
+
+
+_REFUSALS = (
+    ("split_twice", {"op_type": "train_test_split", "params": {"test_size": 0.3}}, True),
+    ("duplicates_after_split", {"op_type": "remove_duplicates", "params": {}}, True),
+    ("fill_after_split", {"op_type": "missing_values", "params": {}}, True),
+    ("scale", {"op_type": "scale_columns", "params": {"scaling_method": "Robust Scaler"}}, False),
+    ("scale_twice", {"op_type": "scale_columns", "params": {"scaling_method": "Robust Scaler"}}, True),
+    ("components_with_text", {"op_type": "pca", "params": {"n_components": 1}}, True),
+    ("encode", {"op_type": "encode_columns", "params": {"encoding_method": "Ordinal Encoding", "cat_cols": ["event_type"]}}, False),
+    ("transform_encoded", {"op_type": "transform_columns", "params": {"col_to_transform": "value", "transform_method": "Log Transform"}}, True),
+    ("outliers_encoded", {"op_type": "remove_outliers", "params": {"col": "value", "method": "IQR"}}, True),
+)
+
+
+@query(
+    "select step, refused, (select count(*) from events) as rows from (values "
+    + ", ".join(f"('{name}', {str(refused).lower()})" for name, _, refused in _REFUSALS)
+    + ") as v(step, refused)"
+)
+def recipe_refusals(t: Tables) -> DataFrame:
+    """Steps that must not follow others are refused and leave the rows as they are."""
+    work = Recipe(t.events.select("event_id", "event_type", "value"))
+    assert work.add("train_test_split", {"test_size": 0.2}).ok
+    rows = []
+    for name, step, _ in _REFUSALS:
+        outcome = work.add(step["op_type"], step["params"])
+        rows.append(f"('{name}', {str(not outcome.ok).lower()}, {work.current.labelled().count()}L)")
+    return t.spark.sql("select * from values " + ", ".join(rows) + " as (step, refused, rows)")

@@ -9,7 +9,7 @@ from catalog import places, sales
 from catalog.registry import Tables, plain, query, round_all
 from quern.operators import columns, power, split, summaries
 from quern.plans import census, warehouse
-from quern.sources import csv
+from quern.sources import csv, tables
 from quern.sources.tables import LoadAudit, Store
 from quern.staging import new_path
 
@@ -159,7 +159,7 @@ def smallest_class(t: Tables) -> DataFrame:
 @query("select bool_or(c_acctbal < 0) as negative, bool_or(c_acctbal <= -5000) as very from customer")
 def any_negative(t: Tables) -> DataFrame:
     found = (power.any_below(t.customer, "c_acctbal"), power.any_below(t.customer, "c_acctbal", -5000.0, or_equal=True))
-    return t.customer.limit(1).select(F.lit(found[0]).alias("negative"), F.lit(found[1]).alias("very"))
+    return t.spark.range(1).select(F.lit(found[0]).alias("negative"), F.lit(found[1]).alias("very"))
 
 
 @query(f"select * from ({places.FACT}) as f order by idx")
@@ -170,3 +170,18 @@ def ordered_export(t: Tables) -> DataFrame:
 @query(f"select * from ({plain(sales.CATEGORIES)}) as c limit 5")
 def head(t: Tables) -> DataFrame:
     return columns.head(t.sql(sales.CATEGORIES))
+
+
+@query("select c_nationkey, count(*) as rows, sum(c_acctbal) > 0 as solvent from customer group by all")
+def read_through_view(t: Tables) -> DataFrame:
+    """A layer with a table made from a schema, loaded, and read through a view."""
+    root = new_path(t.spark)
+    layer = "layer_" + root[-12:]
+    tables.create_layers(t.spark, [layer], root)
+    tables.recreate_table(t.spark, f"{layer}.customers", t.customer.schema)
+    tables.append_table(t.customer, f"{layer}.customers")
+    loaded = t.spark.table(f"{layer}.customers")
+    tables.publish_view(loaded.groupBy("c_nationkey").agg(
+        F.count(F.lit(1)).alias("rows"), (F.sum("c_acctbal") > 0).alias("solvent")
+    ), f"{layer}_solvency")
+    return t.spark.table(f"{layer}_solvency")

@@ -116,6 +116,14 @@ def sql_text(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def kinds_report(df: DataFrame) -> DataFrame:
+    """Which columns count as numbers, as text and as points in time."""
+    kinds = [set(of(df)) for of in (numeric_columns, string_columns, temporal_columns)]
+    rows = ", ".join(f"{sql_text(c)}, {', '.join(str(c in kind).lower() for kind in kinds)}" for c in df.columns)
+    listed = f"stack({len(df.columns)}, {rows}) as (column, numeric, text, temporal)"
+    return df.sparkSession.range(1).selectExpr(listed)
+
+
 def dtypes_report(df: DataFrame) -> DataFrame:
     rows = ", ".join(f"{sql_text(name)}, {sql_text(kind)}" for name, kind in df.dtypes)
     one = df.sparkSession.range(1)

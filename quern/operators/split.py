@@ -24,7 +24,6 @@ from quern.staging import checkpointed
 
 _BITS = 16
 _FETCHED = 200_000
-_BROADCAST_CLASSES = 100_000
 
 
 def test_rows(rows: int, share: float) -> int:
@@ -225,13 +224,12 @@ def _stratified(df: DataFrame, sizes, seed, stratum: Column, columns) -> list[Da
             raise ValueError(f"{kinds} classes do not fit into a part of {min(taken, left - taken)} rows")
         quotas = checkpointed(_with_quota(quotas, f"k{part}", taken, left))
         left -= taken
-    sized = F.broadcast if kinds <= _BROADCAST_CLASSES else (lambda table: table)
     ends, ranks = F.lit(0), []
     for part in range(len(totals)):
         ends = ends + F.col(f"k{part}")
         ranks.append(F.struct(F.lit(part).alias("part"), ends.alias("rank")))
     wanted = quotas.select("__s", F.inline(F.array(*ranks))).filter("rank > 0")
-    cuts = _cuts_per_class(hashed, wanted, sized)
+    cuts = _cuts_per_class(hashed, wanted)
     # A class too small to contribute to a part has no cut there: nothing of it lies below.
     columns_of = {"cut": -(1 << 63), "share": 0, "ties": 0}
     wide = [
@@ -245,7 +243,7 @@ def _stratified(df: DataFrame, sizes, seed, stratum: Column, columns) -> list[Da
     for part in range(len(totals)):
         divided = divided | (F.col(f"share{part}") < F.col(f"ties{part}"))
     tied = cuts.filter(divided).limit(1).count() > 0
-    joined = hashed.join(sized(cuts), F.col("__s").eqNullSafe(F.col("__c")), "left")
+    joined = hashed.join(cuts, F.col("__s").eqNullSafe(F.col("__c")), "left")
     return [_class_part(df, joined, part, len(totals), tied) for part in range(len(totals) + 1)]
 
 
@@ -254,17 +252,15 @@ def _with_quota(classes: DataFrame, name: str, taken: int, left: int) -> DataFra
     exact = F.col("left") * F.lit(taken) / F.lit(left)
     shares = classes.withColumns({name: F.floor(exact).cast("bigint"), "__rest": exact - F.floor(exact)})
     short = taken - shares.agg(F.sum(name)).first()[0]
-    extra = (
-        shares.orderBy(F.col("__rest").desc(), F.col("n").desc(), F.col("__s")).limit(short).select(
-            F.col("__s").alias("__e"), F.lit(1).alias("__one")
-        )
-    )
+    # Numbered in ranges: with many classes the leftovers are many rows too, which one task must not sort.
+    ranked = global_index(shares.select("__s", "__rest", "n"), [("__rest", "desc"), ("n", "desc"), "__s"], "__rank")
+    extra = ranked.filter(F.col("__rank") <= short).select(F.col("__s").alias("__e"), F.lit(1).alias("__one"))
     topped = shares.join(extra, F.col("__s").eqNullSafe(F.col("__e")), "left")
     total = F.col(name) + F.coalesce("__one", F.lit(0))
     return topped.withColumn(name, total).withColumn("left", F.col("left") - F.col(name)).drop("__e", "__one", "__rest")
 
 
-def _cuts_per_class(hashed: DataFrame, ranks: DataFrame, sized) -> DataFrame:
+def _cuts_per_class(hashed: DataFrame, ranks: DataFrame) -> DataFrame:
     """For every class and part the hash at its rank, by counts over further bits per round."""
     state, depth, last = ranks.withColumn("before", F.lit(0).cast("bigint")), 0, False
     while not last:
@@ -274,10 +270,10 @@ def _cuts_per_class(hashed: DataFrame, ranks: DataFrame, sized) -> DataFrame:
         bucket = F.col("__h") if last else F.shiftright("__h", 64 - depth - _BITS)
         if depth == 0:
             # One count serves all parts; only counts meet the wanted ranks.
-            counted = hashed.groupBy("__s", bucket.alias("p")).count().join(sized(known), same)
+            counted = hashed.groupBy("__s", bucket.alias("p")).count().join(known, same)
         else:
             within = same & (F.shiftright("__h", 64 - depth) == F.col("prefix"))
-            matched = hashed.select("__s", "__h", bucket.alias("p")).join(sized(known), within)
+            matched = hashed.select("__s", "__h", bucket.alias("p")).join(known, within)
             counted = matched.groupBy("__s", "part", "rank", "before", "p").count()
         # At most 65,536 counts per class, part and round.
         running = Window.partitionBy("__s", "part").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)

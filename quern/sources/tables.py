@@ -15,9 +15,11 @@ from pyspark.sql import types as T
 LAYERS = ("bronze", "silver", "gold")
 
 
-def create_layers(spark: SparkSession, layers=LAYERS) -> None:
+def create_layers(spark: SparkSession, layers=LAYERS, root: str | None = None) -> None:
+    """Namespaces for the layers, each in a folder of ``root`` if that is given, else in the warehouse."""
     for layer in layers:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        place = f" LOCATION '{root.rstrip('/')}/{layer}'" if root else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}{place}")
 
 
 def recreate_table(spark: SparkSession, name: str, schema: T.StructType | str) -> None:
