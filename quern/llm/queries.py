@@ -119,12 +119,12 @@ def op1_mtree_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 ORACLES["op1_mtree_topk"] = """
 WITH good AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 ), pairs AS (
-    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
     FROM good q JOIN good c ON c.vec_id <> q.vec_id
     WHERE q.vec_id % 20 = 0
 ), ranked AS (
