@@ -23,6 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quern.llm.shared import Stage, native_words
+from quern.operators.ordering import global_index
 
 #: Times that a document can be taken.
 ROUNDS = 2
@@ -35,12 +36,13 @@ def word_count(text: Column) -> Column:
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...], share: float) -> DataFrame:
-    """``sources`` (source, total, ...) with ``weight`` and ``target``. Weights repeat in the order of code points."""
-    stage_rows = sources.withColumn(
-        "_rank", F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
-    )
+    """``sources`` (source, total, ...) with ``weight`` and ``target``. Weights repeat in the order of code points.
+
+    Sources are numbered by ranges, since there may be very many.
+    """
+    ranked = global_index(sources.withColumn("_none", F.col("source").isNull()), ["_none", "source"], "_rank", start=0)
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("_rank") % len(weights) + 1).cast("int"))
-    weighed = stage_rows.withColumn("weight", weight.cast("double")).drop("_rank")
+    weighed = ranked.withColumn("weight", weight.cast("double")).drop("_rank", "_none")
     budget = share * float(weighed.agg(F.sum("total")).first()[0] or 0)
     level = 0.0
     while True:
@@ -120,7 +122,7 @@ def queue_and_cut(
     rows = stage.keep(rows)
     sources = rows.groupBy("source").agg(F.sum("size").alias("total"), F.count(F.lit(1)).alias("n"))
     sources = sources.withColumn("number", F.xxhash64(F.struct("source")))
-    sources = stage.keep(targets(stage.keep(sources), weights, share))
+    sources = stage.keep(targets(sources, weights, share))
     queue = stage.keep(_running(rows, sources))
     budget = float(sources.agg(F.sum("target")).first()[0] or 0)
     # Half a word covers the rounding of the targets' sum.
