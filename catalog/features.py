@@ -211,8 +211,8 @@ def _fitted(df: DataFrame, exponent: float) -> DataFrame:
     return df.sparkSession.range(1).select(F.round(F.lit(exponent), 2).alias("exponent"))
 
 
-def _transformed(key: str, column: str, source: str, power_of: str, log: str) -> str:
-    """Transform by the most likely exponent, found on ever finer grids and a last parabola."""
+def _transformed(key: str, column: str, source: str, power_of: str, log: str, of: str | None = None) -> str:
+    """Transform ``of`` by the most likely exponent of ``source``, found on ever finer grids and a last parabola."""
     def grid(centre: str, step: float) -> str:
         return (
             f"(select e, (e - 1) * avg({log}) - 0.5 * ln(var_pop({power_of})) as f from {source}, (select {centre} + i * "
@@ -227,7 +227,7 @@ def _transformed(key: str, column: str, source: str, power_of: str, log: str) ->
         "p as (select m, (select f from d where abs(e - (m - 0.00003)) < 1e-7) as l, top, "
         "(select f from d where abs(e - (m + 0.00003)) < 1e-7) as r from d1), "
         "o as (select m + 0.00003 * (l - r) / (2 * (l - 2 * top + r)) as e from p) "
-        f"select {key}, round({power_of}, 2) as {column} from {source}, o"
+        f"select {key}, round({power_of}, 2) as {column} from {of or source}, o"
     )
 
 
@@ -249,10 +249,17 @@ def yeojohnson(t: Tables) -> DataFrame:
     return round_all(power.transform(lines, "change", "Yeo-Johnson Transform").data, ["change"], 2)
 
 
-@query()
+@query(
+    _transformed(
+        "event_id, case when event_id % 10 < 7 then 'Train' else 'Test' end as \"Set\"", "value",
+        "(select event_id, value from events where event_id % 10 < 7)", "((value ** e - 1) / e)", "ln(value)", "events",
+    )
+)
 def boxcox_fitted_on_train(t: Tables) -> DataFrame:
-    parts = split.train_test_split(t.events.select("event_id", "value"), 0.2)
-    return power.transform(parts, "value", "Box-Cox Transform").data.labelled()
+    """The exponent comes from the training part and is applied to both."""
+    rows = t.events.select("event_id", "value")
+    parts = Splits(rows.filter("event_id % 10 < 7"), rows.filter("event_id % 10 >= 7"))
+    return round_all(power.transform(parts, "value", "Box-Cox Transform").data.labelled(), ["value"], 2)
 
 
 @query("select l_returnflag, l_quantity, l_extendedprice from lineitem")

@@ -19,6 +19,8 @@ from quern.frames import Data, Outcome, Splits, apply_to, number, training
 
 BINS = 4096
 STEP = 1e-3
+# Exponents beyond this are not looked for.
+FARTHEST = 50.0
 # Added to test and validation values when some are not positive.
 NUDGE = 1e-6
 
@@ -105,14 +107,19 @@ def _fit(
         return (exponent - 1) * (weight @ centre) - 0.5 * np.log(spread)
 
     near = _maximum(likelihood)
-    points = [near + step * STEP for step in (-2, -1, 0, 1, 2)]
-    spreads = logs.agg(
-        F.avg("log"), *[F.var_pop(transform(F.col("x"), point)).alias(f"v{i}") for i, point in enumerate(points)]
-    ).first()
-    exact = [(p - 1) * spreads[0] - 0.5 * np.log(v) for p, v in zip(points, spreads[1:])]
-    if not np.all(np.isfinite(exact)):
-        return near
-    return near + STEP * _peak(np.array(exact) - exact[2])
+    while True:
+        points = [near + step * STEP for step in (-2, -1, 0, 1, 2)]
+        spreads = logs.agg(
+            F.avg("log"), *[F.var_pop(transform(F.col("x"), point)).alias(f"v{i}") for i, point in enumerate(points)]
+        ).first()
+        exact = [(p - 1) * spreads[0] - 0.5 * np.log(v) for p, v in zip(points, spreads[1:])]
+        if not np.all(np.isfinite(exact)):
+            return near
+        best = int(np.argmax(exact))
+        # If the bins led astray, the curve still rises at an end: go on from there until it falls on both sides.
+        if 0 < best < 4 or abs(points[best]) > FARTHEST:
+            return near + STEP * _peak(np.array(exact) - exact[2])
+        near = points[best] + (best - 2) * STEP
 
 
 def _peak(scores: np.ndarray) -> float:
