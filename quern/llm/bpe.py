@@ -177,9 +177,9 @@ class PrefixEncoding:
 
 
 #: Prefixes whose last token a worker remembers, and the longest of them; a table that is full starts anew.
-PREFIXES, LONGEST_PREFIX = 1_500_000, 24
+PREFIXES, LONGEST_PREFIX = 1_000_000, 24
 #: Pieces whose encoding it remembers.
-PIECES = 600_000
+PIECES = 500_000
 
 
 class Encoder:
