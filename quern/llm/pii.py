@@ -1,11 +1,15 @@
 """Format-preserving pseudonyms for personal data in texts.
 
-Candidates are found by one pattern, and each is validated by its kind: check digits of card and bank account numbers,
-ranges of addresses and social security numbers, real days of dates. A validated value is permuted within its format by
+Texts are cut into stretches that no candidate crosses. In a stretch every place is tried for every shape, and each
+candidate is validated by its kind: check digits of card and bank account numbers, ranges of addresses and social
+security numbers, real days of dates. Of valid candidates that overlap, exact shapes come before loose ones, then the
+first in the text, so a candidate that fails hides nothing inside it. A validated value is permuted within its format by
 a keyed Feistel network, so that equal values get equal pseudonyms in every document, different values different ones,
 and whoever has the key can undo it. Numbers and dates are permuted as whole numbers of the format's range (two parts
 of a times b, each moved by a keyed hash of the other); e-mail names, phone numbers, account numbers and secrets as
 character strings whose halves shift each other within digits, small and capital letters. Check digits are made anew.
+Where a pseudonym makes, by chance, other candidates of its stretch valid, so that the way back would choose those, the
+stretch is permuted again until the same ones are chosen; only there a pseudonym depends on the words around it.
 
 Everything is a column expression. Texts without a candidate pass through as they are.
 
@@ -20,18 +24,47 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 
-#: The formats looked for, in order of precedence.
-FORMATS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}",
-    "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])",
-    "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-}
-ANY = "|".join(FORMATS.values())
+#: Lengths of account numbers by country.
+IBANS = """AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18
+FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21
+LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19
+SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30""".split()
+
+
+def _ibans() -> str:
+    """Account numbers of the right length for their country, unbroken or in groups of four."""
+    shapes = []
+    for size in sorted({x[2:] for x in IBANS}):
+        groups, rest = divmod(int(size) - 4, 4)
+        apart = f"(?: [0-9A-Z]{{4}}){{{groups}}}" + (f" [0-9A-Z]{{{rest}}}" if rest else "")
+        shapes.append(f"(?:{'|'.join(x[:2] for x in IBANS if x[2:] == size)})[0-9]{{2}}(?:[0-9A-Z]{{{int(size) - 4}}}|{apart})")
+    return f"(?<![0-9A-Za-z])(?:{'|'.join(shapes)})(?![0-9A-Za-z])"
+
+
+#: The kinds and their shapes, in order of precedence. Exact shapes come before loose ones.
+EXACT = [
+    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}"),
+    ("secret", r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])"),
+    ("date", r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])"),
+    ("iban", _ibans()),
+    ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"),
+    ("ip", r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"),
+    ("card", r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{4}-[0-9]{6}-[0-9]{5})(?![0-9])"),
+]
+LOOSE = [
+    ("phone", r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])"),
+    ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"),
+    ("card", r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"),
+]
+KINDS = ["email", "secret", "date", "iban", "phone", "ssn", "ip", "card"]
+ANY = "|".join(shape for _, shape in EXACT + LOOSE)
+#: Characters of candidates. A space beside a small letter is in none. What ends a stretch is in no look around a shape.
+PART = r"(?:[A-Za-z0-9@._%+/()-]|(?<![a-z]) (?![a-z]))"
+STRETCH = rf"(?<![A-Za-z0-9@._%+/()-])(?<!(?<![a-z]) (?![a-z]))(?:(?!{ANY}){PART})*+(?={ANY}){PART}++"
+#: How often a stretch is permuted again at most. One time in ten, by card check digits, another candidate is valid by chance.
+TRIES = 32
+CHOSEN = "array<struct<at: int, rank: int, kind: string, value: string>>"
+PAIRS = "array<struct<kind: string, value: string, pseudonym: string>>"
 
 #: Days of 400 years, and two factors of their number.
 FIRST_DAY, DAYS, DAYS_A, DAYS_B = "DATE'1700-01-01'", 146_097, 189, 773
@@ -171,10 +204,65 @@ def _moved(kind: str, m: str, key: str, back: bool) -> str:
     return f"element_at(transform(array({body}), y -> {refilled(m, f'concat(y, {check})')}), 1)"
 
 
-def _kind_of(m: str) -> str:
-    """SQL: the name of the first format that a match has as a whole and is valid for; NULL if there is none."""
-    cases = " ".join(f"WHEN {m} rlike {_text(f'^(?:{v})$')} AND {_valid(k, m)} THEN '{k}'" for k, v in FORMATS.items())
-    return f"CASE {cases} END"
+def _named(value: str, name: str, body: str) -> str:
+    """SQL: ``body`` in which ``name`` stands for a value that is made once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _candidates(c: str, shapes: list[tuple[str, str]]) -> str:
+    """SQL: the valid candidates of a stretch, also those that overlap, in the order of the text and of ``shapes``."""
+    found = []
+    for rank, (kind, shape) in enumerate(shapes):
+        # A match is what lies before the next candidate and its first character, so the next may start inside it.
+        each = _text(rf"(?s)(.*?)(?:(?=({shape})).|\z)")
+        one = f"named_struct('at', s.at + z.n, 'rank', {rank}, 'kind', '{kind}', 'value', z.v)"
+        found.append(f"""IF({c} rlike {_text(shape)}, aggregate(
+            zip_with(regexp_extract_all({c}, {each}, 1), regexp_extract_all({c}, {each}, 2), (a, b) -> named_struct('n', length(a), 'v', b)),
+            named_struct('at', 1, 'found', CAST(array() AS {CHOSEN})),
+            (s, z) -> named_struct('at', s.at + z.n + 1, 'found',
+                IF(z.v <> '' AND {_valid(kind, "z.v")}, concat(s.found, array({one})), s.found)),
+            s -> s.found), CAST(array() AS {CHOSEN}))""")
+    return f"array_sort(concat({', '.join(found)}))"
+
+
+def _apart(candidates: str) -> str:
+    """SQL: each candidate that starts after the end of the one chosen before it."""
+    return f"""aggregate({candidates}, named_struct('end', 1, 'found', CAST(array() AS {CHOSEN})),
+        (s, z) -> IF(z.at >= s.end, named_struct('end', z.at + length(z.value), 'found', concat(s.found, array(z))), s), s -> s.found)"""
+
+
+def _chosen(c: str) -> str:
+    """SQL: the values of a stretch, in the order of the text."""
+    free = f"filter({_candidates(c, LOOSE)}, z -> NOT exists(e, u -> u.at < z.at + length(z.value) AND z.at < u.at + length(u.value)))"
+    return _named(_apart(_candidates(c, EXACT)), "e", f"array_sort(concat(e, {_apart(free)}))")
+
+
+def _permuted(chosen: str, values: str, key: str, back: bool) -> str:
+    """SQL: ``values``, which are of the kinds of ``chosen``, permuted once."""
+    kinds = " ".join(f"WHEN '{k}' THEN {_moved(k, 'v', key, back)}" for k in KINDS)
+    return f"zip_with({chosen}, {values}, (x, v) -> CASE x.kind {kinds} END)"
+
+
+def _with(c: str, chosen: str, values: str) -> str:
+    """SQL: a stretch with ``values`` in the places of ``chosen``."""
+    end = f"({chosen}[k - 1].at + length({chosen}[k - 1].value))"
+    before = f"IF(k = 0, substr({c}, 1, x.at - 1), substr({c}, {end}, x.at - {end}))"
+    last = f"element_at({chosen}, -1)"
+    return f"""concat(array_join(transform({chosen}, (x, k) -> concat({before}, {values}[k])), ''),
+        substr({c}, {last}.at + length({last}.value)))"""
+
+
+def _hidden(c: str, key: str, back: bool) -> str:
+    """SQL: (text, found) of a stretch: with pseudonyms, and what was replaced."""
+    expected = "zip_with(f, w.made, (d, v) -> named_struct('kind', d.kind, 'value', v))"
+    seen = f"transform({_chosen('g')}, d -> named_struct('kind', d.kind, 'value', d.value))"
+    again = f"IF({_named(_with(c, 'f', 'w.made'), 'g', seen)} = {expected}, named_struct('made', w.made, 'done', true), named_struct('made', {_permuted('f', 'w.made', key, back)}, 'done', false))"
+    start = f"named_struct('made', {_permuted('f', 'f.value', key, back)}, 'done', false)"
+    walked = f"aggregate(sequence(1, {TRIES}), {start}, (w, t) -> IF(w.done, w, {again}), w -> w.made)"
+    pairs = "zip_with(f, h, (d, v) -> named_struct('kind', d.kind, 'value', d.value, 'pseudonym', v))"
+    nothing = f"named_struct('text', {c}, 'found', CAST(array() AS {PAIRS}))"
+    some = _named(walked, "h", f"named_struct('text', {_with(c, 'f', 'h')}, 'found', {pairs})")
+    return _named(_chosen(c), "f", f"IF(size(f) = 0, {nothing}, {some})")
 
 
 def pseudonymised(
@@ -187,24 +275,15 @@ def pseudonymised(
     text = F.col(text_col)
     # A cheap look first: every format has an at sign, two digits in a row or near, or a long run of letters a to f.
     some = text.rlike(r"@|[0-9][ ./()-]{0,2}[0-9]|[0-9A-Fa-f]{32}")
-    kinds = " ".join(f"WHEN '{k}' THEN {_moved(k, 'x.value', key, back)}" for k in FORMATS)
-    found = F.when(some, F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1)))
-    rows = docs.withColumn("__pii_matches", found)
+    rows = docs.withColumn("__pii_matches", F.when(some, F.regexp_extract_all(text, F.lit(STRETCH), F.lit(0))))
     any_found = "coalesce(size(__pii_matches), 0) > 0"
-    rows = rows.withColumn(
-        "__pii_known", F.expr(f"IF({any_found}, transform(__pii_matches, m -> named_struct('kind', {_kind_of('m')}, 'value', m)), NULL)")
-    )
-    rows = rows.withColumn(
-        "__pii_moved", F.expr(f"IF({any_found}, transform(__pii_known, x -> CASE x.kind {kinds} ELSE x.value END), NULL)")
-    )
-    between = f"split({_quoted(text_col)}, {_text(ANY)}, -1)"
-    joined = f"IF({any_found}, array_join(flatten(zip_with({between}, __pii_moved, (a, b) -> array(a, coalesce(b, '')))), ''), {_quoted(text_col)})"
+    rows = rows.withColumn("__pii_hidden", F.expr(f"IF({any_found}, transform(__pii_matches, c -> {_hidden('c', key, back)}), NULL)"))
+    between = f"split({_quoted(text_col)}, {_text(STRETCH)}, -1)"
+    joined = f"IF({any_found}, array_join(flatten(zip_with({between}, __pii_hidden, (a, b) -> array(a, coalesce(b.text, '')))), ''), {_quoted(text_col)})"
     rows = rows.withColumn("__pii_text", F.expr(joined))
     if found_col:
-        pairs = "filter(zip_with(__pii_known, __pii_moved, (x, y) -> named_struct('kind', x.kind, 'value', x.value, 'pseudonym', y)), x -> x.kind IS NOT NULL)"
-        empty = "CAST(array() AS array<struct<kind: string, value: string, pseudonym: string>>)"
-        rows = rows.withColumn(found_col, F.expr(f"coalesce(IF({any_found}, {pairs}, NULL), {empty})"))
-    return rows.withColumn(text_col, F.col("__pii_text")).drop("__pii_matches", "__pii_known", "__pii_moved", "__pii_text")
+        rows = rows.withColumn(found_col, F.expr(f"coalesce(IF({any_found}, flatten(__pii_hidden.found), NULL), CAST(array() AS {PAIRS}))"))
+    return rows.withColumn(text_col, F.col("__pii_text")).drop("__pii_matches", "__pii_hidden", "__pii_text")
 
 
 def _quoted(name: str) -> str:
@@ -213,4 +292,4 @@ def _quoted(name: str) -> str:
 
 def counts_by_kind(found_col: str) -> dict[str, Column]:
     """How many values of each kind there are in a column that ``pseudonymised`` added."""
-    return {f"n_{k}": F.expr(f"CAST(size(filter({found_col}, x -> x.kind = '{k}')) AS BIGINT)") for k in FORMATS}
+    return {f"n_{k}": F.expr(f"CAST(size(filter({found_col}, x -> x.kind = '{k}')) AS BIGINT)") for k in KINDS}
