@@ -53,6 +53,8 @@ EXACT = [
 ]
 LOOSE = [
     ("phone", r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])"),
+    # A sign, a country code and up to six groups: the longest that no exact shape lies across.
+    *[("phone", rf"(?<![0-9A-Za-z+])\+[1-9][0-9]{{0,2}}(?:[ .-]?\([0-9]{{1,4}}\))?[ ./-]?[0-9]++(?:[ ./-][0-9]{{2,}}+){{{n}}}") for n in range(5, -1, -1)],
     ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"),
     ("card", r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"),
 ]
@@ -153,15 +155,24 @@ def _valid(kind: str, m: str) -> str:
         return f"forall(split({m}, '[.]'), o -> CAST(o AS INT) < 256)"
     if kind == "card":
         return f"({luhn(_digits(m))}) = 0"
+    if kind == "phone":
+        return f"length({_digits(m)}) BETWEEN 8 AND 15"
     return "true"
 
 
+def _month_first(m: str) -> str:
+    """SQL: the day of a slashed date that reads as month, day, year; NULL if that is no day."""
+    return f"try_to_date(concat(substr({m}, 7, 4), '-', substr({m}, 1, 2), '-', substr({m}, 4, 2)), 'yyyy-MM-dd')"
+
+
 def _day(m: str) -> str:
-    """SQL: days since the first one of a date in one of the three formats; NULL for a day that does not exist."""
-    turned = f"concat(substr({m}, 7, 4), '-', substr({m}, 4, 2), '-', substr({m}, 1, 2))"
-    american = f"concat(substr({m}, 7, 4), '-', substr({m}, 1, 2), '-', substr({m}, 4, 2))"
-    iso = f"CASE WHEN substr({m}, 5, 1) = '-' THEN {m} WHEN substr({m}, 3, 1) = '/' THEN {american} ELSE {turned} END"
-    return f"datediff(try_to_date({iso}, 'yyyy-MM-dd'), {FIRST_DAY})"
+    """SQL: days since the first one of a date in one of the formats; NULL for a day that does not exist.
+
+    A slashed date whose day can't be read in the second place has it in the first.
+    """
+    turned = f"try_to_date(concat(substr({m}, 7, 4), '-', substr({m}, 4, 2), '-', substr({m}, 1, 2)), 'yyyy-MM-dd')"
+    slashed = f"WHEN substr({m}, 3, 1) = '/' THEN coalesce({_month_first(m)}, {turned})"
+    return f"datediff(CASE WHEN substr({m}, 5, 1) = '-' THEN try_to_date({m}, 'yyyy-MM-dd') {slashed} ELSE {turned} END, {FIRST_DAY})"
 
 
 def _moved(kind: str, m: str, key: str, back: bool) -> str:
@@ -172,8 +183,15 @@ def _moved(kind: str, m: str, key: str, back: bool) -> str:
         small = feistel_text(m, key, kind, ("0123456789abcdef",), back)
         return f"IF({m} rlike '[A-F]', {feistel_text(m, key, kind, ('0123456789ABCDEF',), back)}, {small})"
     if kind == "date":
-        day = f"date_add({FIRST_DAY}, CAST({feistel(f'CAST({_day(m)} AS BIGINT)', f'{DAYS_A}L', f'{DAYS_B}L', key, kind, back)} AS INT))"
-        shape = f"CASE WHEN substr({m}, 5, 1) = '-' THEN 'yyyy-MM-dd' WHEN substr({m}, 3, 1) = '/' THEN 'MM/dd/yyyy' ELSE 'dd.MM.yyyy' END"
+        once = feistel(f"CAST({_day(m)} AS BIGINT)", f"{DAYS_A}L", f"{DAYS_B}L", key, kind, back)
+        day_first = f"substr({m}, 3, 1) = '/' AND {_month_first(m)} IS NULL"
+        # Permuted among the days after the 12th, so that the pseudonym is read the same way: six of ten days are such.
+        late = f"dayofmonth(date_add({FIRST_DAY}, CAST(u AS INT))) > 12"
+        again = feistel("u", f"{DAYS_A}L", f"{DAYS_B}L", key, kind, back)
+        number = f"IF({day_first}, aggregate(sequence(1, 64), {once}, (u, r) -> IF({late}, u, {again})), {once})"
+        day = f"date_add({FIRST_DAY}, CAST({number} AS INT))"
+        slashed = f"WHEN {day_first} THEN 'dd/MM/yyyy' WHEN substr({m}, 3, 1) = '/' THEN 'MM/dd/yyyy'"
+        shape = f"CASE WHEN substr({m}, 5, 1) = '-' THEN 'yyyy-MM-dd' {slashed} ELSE 'dd.MM.yyyy' END"
         return f"date_format({day}, {shape})"
     if kind == "iban":
         bare = f"replace({m}, ' ', '')"

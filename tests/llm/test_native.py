@@ -162,6 +162,8 @@ CASES = [
     ("BE68539007547034 AND", ["iban"]), ("AT611904300234573201 OK", ["iban"]), ("ES9121000418450200051332 IS", ["iban"]),
     ("BE68 5390 0754 7034 4111 1111 1111 1111 1999-12-31", ["iban", "card", "date"]), ("DE12 4111 1111 1111 1111 00", ["card"]),
     ("BE68539007547034 A@B.COM 12 345@x.com", ["iban", "email", "email"]), ("4111-1111 1111-1111, 3056 930902 5904", ["card", "card"]),
+    ("31/12/1999, 29/02/1900, 13/13/1999 05/06/2001", ["date", "date"]), ("+44 20 7946 0958, +33 1 42 68 53 00", ["phone", "phone"]),
+    ("+49 (0)30 901820 4111 1111 1111 1111", ["phone", "card"]), ("+442079460958 or +39 06 6982 1999-12-31, +12 34", ["phone", "phone", "date"]),
 ]
 
 
@@ -189,6 +191,15 @@ def test_pseudonyms_among_other_numbers_can_be_undone(spark):
     assert sorted(pii.pseudonymised(hidden, "key", back=True).collect()) == sorted(docs.collect())
 
 
+def test_dates_keep_their_reading(spark):
+    docs = spark.range(600).selectExpr("id AS doc_id", "date_format(date_add(DATE'1990-01-01', CAST(id AS INT)), 'dd/MM/yyyy') AS text")
+    hidden = pii.pseudonymised(docs, "key").cache()
+    late = hidden.join(docs.filter("substr(text, 1, 2) > '12'").select("doc_id"), "doc_id")
+    assert late.filter("substr(text, 1, 2) > '12'").select("text").distinct().count() == late.count() > 300
+    assert hidden.join(docs, ["doc_id", "text"]).count() < 3
+    assert sorted(pii.pseudonymised(hidden, "key", back=True).collect()) == sorted(docs.collect())
+
+
 def test_pseudonyms_are_a_permutation(spark):
     numbers = spark.range(189 * 773).select(F.expr(pii.feistel("id", "189L", "773L", "key", "date")).alias("x"))
     assert numbers.distinct().count() == 189 * 773
