@@ -13,8 +13,11 @@ hold a better point are searched. Scores are integers and exact; distances only
 Trees are limited in number (``TREES``), so their roots are a bounded broadcast; a task holds one tree and a bounded
 number of queries (``QUERIES``).
 
-Defined results: rows with a null id, a null vector, or a component that is null, not finite or too large for exact
-products take no part. Shorter vectors are filled up with zeros. Rows that repeat an id count once (the smallest vector).
+Vectors with a component too large for exact products in doubles (``LARGEST``) are in no tree. They are joined with all
+rows, block by block, and their scores are computed in whole numbers.
+
+Defined results: rows with a null id, a null vector, or a component that is null or not finite take no part. A score
+beyond a long is given as the nearest long, and such scores are ordered by their values as doubles. Shorter vectors are filled up with zeros. Rows that repeat an id count once (the smallest vector).
 Of equal scores the smaller id is first. Queries with fewer other rows return all. Other columns are ignored.
 """
 
@@ -38,30 +41,40 @@ TREE_POINTS, TREES = 4_096, 4_096
 FANOUT, LEAF = 16, 256
 #: Queries that search a tree in one task.
 QUERIES = 4_096
-#: Components beyond this take no part, so that inner products are exact in doubles.
+#: Vectors with components beyond this are in no tree, so that inner products there are exact in doubles.
 LARGEST = 1 << 20
+#: Rows of a block, and of vectors too large for trees, that are joined in one task.
+BLOCK, LARGE_BLOCK = 4_096, 4_096
+LONGEST = (1 << 63) - 1
 
 PAGES = "tree int, page int, leaf boolean, ids array<long>, vectors binary, radii array<double>, to_parent array<double>, children array<int>"
 FOUND = "query_id long, id long, score long"
+FOUND_LARGE = FOUND + ", size double"
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: float = 64.0) -> DataFrame:
-    """(id, v array<int>): floor(scale * x) of each component."""
+    """(id, v array<int>, large array<double>): floor(scale * x) of each component, in ``large`` if one is beyond LARGEST."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rows = [], []
+            ids, rows, large = [], [], []
             for own, vector in zip(*batch.columns, strict=True):
                 if not own.is_valid or not vector.is_valid or vector.values.null_count:
                     continue
                 x = np.floor(scale * vector.values.to_numpy(zero_copy_only=False).astype(np.float64))
-                if np.all(np.abs(x) <= LARGEST):  # false for what is not finite
+                if np.all(np.isfinite(x)):
+                    fits = np.all(np.abs(x) <= LARGEST)
                     ids.append(own.as_py())
-                    rows.append(x.astype(np.int32))
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(rows, pa.list_(pa.int32()))], ["id", "v"])
+                    rows.append(x.astype(np.int32) if fits else None)
+                    large.append(None if fits else x)
+            columns = [pa.array(ids, pa.int64()), pa.array(rows, pa.list_(pa.int32())), pa.array(large, pa.list_(pa.float64()))]
+            yield pa.record_batch(columns, ["id", "v", "large"])
 
     chosen = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
-    return chosen.mapInArrow(run, "id long, v array<int>").groupBy("id").agg(F.min("v").alias("v"))
+    rows = chosen.mapInArrow(run, "id long, v array<int>, large array<double>")
+    rows = rows.groupBy("id").agg(F.min("v").alias("v"), F.min("large").alias("large"))
+    fits = F.expr("large IS NULL OR (v IS NOT NULL AND CAST(v AS array<double>) < large)")
+    return rows.select("id", F.when(fits, F.col("v")).alias("v"), F.when(~fits, F.col("large")).alias("large"))
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -291,19 +304,83 @@ def _searched(pages: DataFrame, asked: DataFrame, space: Space, width: int, k: i
     return left.cogroup(right).applyInPandas(search, FOUND)
 
 
+def products(q: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scores as longs, sizes) of q (one) with rows x, exact: sizes are the scores as doubles where those are beyond a long."""
+    bound = np.abs(x) @ np.abs(q)
+    scores, sizes = np.zeros(len(x), np.int64), np.zeros(len(x))
+    small = bound < 1 << 52
+    scores[small] = (x[small] @ q).astype(np.int64)
+    whole = ~small & (bound < 1 << 62) & (np.abs(x).max(1, initial=0) < 1 << 62) & bool(np.abs(q).max(initial=0) < 1 << 62)
+    scores[whole] = x[whole].astype(np.int64) @ q.astype(np.int64) if whole.any() else 0
+    exact = [int(b) for b in q] if not np.all(small | whole) else []
+    for i in np.flatnonzero(~(small | whole)):
+        score = sum(int(a) * b for a, b in zip(x[i], exact, strict=True))
+        scores[i] = max(-LONGEST, min(LONGEST, score))
+        sizes[i] = float(score) if abs(score) > LONGEST else 0.0
+    return scores, sizes
+
+
+def _with_large(rows: DataFrame, query: str, width: int, count: int, k: int) -> DataFrame:
+    """(query_id, id, score, size): the k best of each block for all pairs in which a vector is too large for trees.
+
+    rows: what ``quantised`` gives; count: how many of them there are.
+    """
+    chunks = -(-count // BLOCK)
+    large = rows.filter("large IS NOT NULL").select("id", "large", F.expr(f"coalesce({query}, false)").alias("asked"))
+    blocks = -(-large.count() // LARGE_BLOCK)
+
+    def dealt(frame: DataFrame, own: str, size: int, other: str, others: int) -> DataFrame:
+        each = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
+        return frame.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(size)).cast("int")).withColumn(other, each)
+
+    def join(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            x, y = _matrix(left.x, width), _matrix(right.large, width)
+            mine, theirs = left.id.to_numpy(), right.id.to_numpy()
+            # Large queries with all rows; other queries with large rows.
+            asked = [(theirs[i], y[i], mine, x) for i in np.flatnonzero(right.asked)]
+            asked += [(mine[i], x[i], theirs, y) for i in np.flatnonzero(left.asked & ~left.is_large)]
+            for own, q, ids, points in asked:
+                scores, sizes = products(q, points)
+                order = np.lexsort([ids, -sizes, -scores])
+                order = order[ids[order] != own][:k]
+                out.append(pd.DataFrame({"query_id": own, "id": ids[order], "score": scores[order], "size": sizes[order]}))
+        nothing = pd.DataFrame({"query_id": [], "id": [], "score": [], "size": []}).astype({"query_id": "int64", "id": "int64", "score": "int64"})
+        return pd.concat(out) if out else nothing
+
+    x = F.coalesce("large", F.col("v").cast("array<double>")).alias("x")
+    every = rows.select("id", x, F.expr(f"coalesce({query}, false)").alias("asked"), F.expr("large IS NOT NULL").alias("is_large"))
+    left = dealt(every, "chunk", chunks, "block", blocks).groupBy("chunk", "block")
+    right = dealt(large, "block", blocks, "chunk", chunks).groupBy("chunk", "block")
+    return left.cogroup(right).applyInPandas(join, FOUND_LARGE)
+
+
 def top_k(
     vectors: DataFrame, query: str, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 64.0
 ) -> DataFrame:
     """(query_id, rank, id, score): the k highest inner products of each row for which ``query`` (SQL on id) holds."""
     stage = Stage(vectors.sparkSession)
-    points = stage.keep(quantised(vectors, id_col, vector_col, scale))
+    rows = stage.keep(quantised(vectors, id_col, vector_col, scale))
+    ranked = W.partitionBy("query_id").orderBy(F.desc("score"), F.desc("size"), "id")
+    every = rows.agg(F.count("large").alias("large"), F.count("id").alias("rows"), F.max(F.greatest(F.size("v"), F.size("large"))).alias("width")).first()
+    best = _in_trees(rows.filter("v IS NOT NULL").select("id", "v"), query, k, stage).withColumn("size", F.lit(0.0))
+    if every.large:
+        best = best.unionByName(_with_large(rows, query, max(1, every.width), every.rows, k))
+    best = best.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
+
+
+def _in_trees(points: DataFrame, query: str, k: int, stage: Stage) -> DataFrame:
+    """(query_id, id, score): the k best, and some more, of the pairs of ``points`` (id, v)."""
+    spark = points.sparkSession
     told = points.agg(
         F.max(F.size("v")).alias("width"),
         F.max(F.aggregate("v", F.lit(0.0), lambda n, x: n + x.cast("double") * x)).alias("square"),
         F.max(F.expr(f"CAST({query} AS INT)")).alias("queries"),
     ).first()
     if not told.queries:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, id long, score long")
+        return spark.createDataFrame([], FOUND)
     width, space = max(1, told.width), Space(told.square)
     dealt, pages = planted(points, space, width, stage)
     queries = dealt.filter(query)
@@ -316,7 +393,7 @@ def top_k(
     bounded = queries.join(worst, queries.id == worst.query_id, "left").drop("query_id")
     roots = [(r.tree, np.frombuffer(r.vectors, np.int32).reshape(len(r.ids), -1).astype(np.float64), np.array(r.radii), r.leaf)
              for r in pages.filter("page = 0").collect()]
-    sent = vectors.sparkSession.sparkContext.broadcast(roots)  # at most TREES pages
+    sent = spark.sparkContext.broadcast(roots)  # at most TREES pages
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         margin = space.margin()
@@ -337,5 +414,4 @@ def top_k(
     ordered = bounded.select("id", "v", "tree", "worst_score", "worst_id")
     schema = "id long, v array<int>, tree int, worst_score long, worst_id long"
     far = _searched(pages, ordered.mapInArrow(others, schema), space, width, k, stage)
-    best = near.unionAll(far).withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
-    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
+    return near.unionAll(far)

@@ -35,6 +35,29 @@ def test_ties_nulls_and_repeated_rows(spark):
     assert found(mtree.top_k(rows_of(spark, vectors), "id % 20 = 0", 7)) == plain(vectors, 20, 7)
 
 
+def test_large_components(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "BLOCK", 50)
+    monkeypatch.setattr(mtree, "LARGE_BLOCK", 3)
+    random = np.random.default_rng(9)
+    vectors = [(i, random.normal(size=4).tolist(), 0) for i in range(200)]
+    for i, size in ((0, 3e4), (7, 2e4), (20, 5e6), (33, 6e6), (41, 1e7), (55, 1e7), (60, 2.0**24)):
+        vectors[i] = (i, (size * random.normal(size=4)).tolist(), 0)
+    vectors[80] = (80, [0.0, 1e30, 0.0, 0.0], 0)
+    vectors[100] = (100, [float(1 << 20), 0.5], 0)
+
+    def exact(v):
+        return [int(np.floor(64 * float(np.float32(x)))) for x in v] + [0] * (4 - len(v))
+
+    own = {i: exact(v) for i, v, _ in vectors}
+    expected, limit = [], (1 << 63) - 1
+    for i in range(0, 200, 20):
+        best = sorted((-sum(a * b for a, b in zip(own[i], own[j], strict=True)), j) for j in own if j != i)[:7]
+        expected += [(i, r + 1, j, max(-limit, min(limit, -s))) for r, (s, j) in enumerate(best)]
+    assert found(mtree.top_k(rows_of(spark, vectors), "id % 20 = 0", 7)) == sorted(expected)
+    alone = [v for v in vectors if v[0] in (20, 33, 41)]
+    assert len(found(mtree.top_k(rows_of(spark, alone), "id % 20 = 0", 7))) == 2
+
+
 def test_fewer_rows_than_asked_for(spark):
     vectors = [(0, [1.0, 0.0], 0), (1, [0.5, 0.5], 0)]
     assert found(mtree.top_k(rows_of(spark, vectors), "id % 20 = 0", 20)) == plain(vectors, 20, 20)
