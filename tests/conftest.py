@@ -42,8 +42,3 @@ def frame(spark):
         "id bigint, num_a double, num_b bigint, const double, cat_lo string, cat_hi string, flag string, when string, "
         "target double",
     )
-
-
-def values(df, *columns):
-    names = columns or df.columns
-    return sorted((tuple(row) for row in df.select(*names).collect()), key=str)

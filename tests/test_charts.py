@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from quern.frames import Splits, dtypes_report

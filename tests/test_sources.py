@@ -1,7 +1,7 @@
 import uuid
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from quern import staging

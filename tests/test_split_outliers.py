@@ -2,7 +2,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from quern.frames import Splits
