@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, mixing, mtree, pii, quality, recompress, rules, sharding, simhash, toxicity
+from quern.llm import bpe, dialogue, lines, merkle, mixing, mtree, pii, quality, recompress, rules, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,6 +117,65 @@ def op1_mtree_topk(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+@query
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.digests(table(spark, folder, "documents"), least_chars=20, documents=3)
+
+
+ORACLES["op11_line_dedup"] = """
+WITH line AS (
+    SELECT doc_id, place, lines[place] AS line,
+           translate(trim(lines[place], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS place
+          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents) AS s) AS e
+), shared AS (
+    SELECT key, max(doc_id) AS last FROM line WHERE length(key) >= 20
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT l.doc_id, count(*) AS n_lines, count(s.key) FILTER (l.doc_id <> s.last) AS n_dropped,
+       sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.place)
+                       FILTER (s.key IS NULL OR l.doc_id = s.last), '')) AS kept_sha256
+FROM line l LEFT JOIN shared s ON l.key = s.key
+GROUP BY l.doc_id
+"""
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows after the damage that a checksum of conversation and turn decides; dropped ones name their conversation only."""
+    rows = dialogue.present(conversations)
+    named = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv", "turn")])
+    kind = F.crc32(named.cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return rows.select(
+        "conv", "turn", F.when(kind == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        (kind != 0).alias("here"), F.explode(F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))),
+    ).drop("col")
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return dialogue.summaries(damaged(table(spark, folder, "conversations")))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all documents; where 3 divides the checksum of an id, the text is tampered with before it is verified."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", lines.UPPER, lines.LOWER)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    rows = docs.select(
+        F.col("lang").alias("group"), F.col("doc_id").cast("long").alias("id"), merkle.leaf(*values, F.col("text")).alias("leaf"),
+        F.when(tampered, merkle.leaf(*values, lowered)).alias("other"),
+    )
+    found = merkle.Manifest.of(rows).proofs(other_col="other")
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"),
+        F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
 ORACLES["op1_mtree_topk"] = """
 WITH good AS (
     SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS v
