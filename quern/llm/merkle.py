@@ -1,7 +1,7 @@
 """A Merkle manifest of a table: eight-ary hash trees, one per group and one over the groups' roots, and octopus proofs.
 
 ``Manifest.of`` numbers the leaves of each group along their order, by ranges, without a sorter of all; builds the trees from
-blocks of ``SPAN`` consecutive nodes, four levels a job; and keeps leaves and nodes as tables in the shared folder.
+blocks of consecutive nodes, ``DEPTH`` levels a job; and keeps leaves and nodes as tables in the shared folder.
 
 ``Manifest.proofs`` proves any set of leaves. They are dealt out by blocks of consecutive leaves. A block computes, level
 by level and from positions alone, the smallest set of nodes that its proofs need and that do not follow from its own
@@ -33,9 +33,8 @@ from pyspark.sql import functions as F
 from quern.llm.shared import Stage
 
 ARITY = 8
-#: Levels that one block of consecutive nodes covers, and the nodes in it.
+#: Levels that one block of consecutive nodes covers: 4,096 nodes.
 DEPTH = 4
-SPAN = ARITY**DEPTH
 #: The tree over the roots of the groups.
 TOP = -1
 #: Leaves numbered together.
@@ -147,14 +146,14 @@ def _numbered(stage: Stage, leaves: DataFrame) -> DataFrame:
 NODES = "tree long, level int, place long, node string, n long"
 
 
-def _inner(nodes: DataFrame, level: int) -> DataFrame:
-    """The up to ``DEPTH`` levels above the nodes of ``level``; ``n`` is the size of each node's level."""
+def _inner(nodes: DataFrame, level: int, depth: int) -> DataFrame:
+    """The up to ``depth`` levels above the nodes of ``level``; ``n`` is the size of each node's level."""
 
     def build(table: pa.Table) -> pa.Table:
         tree, n = table.column("tree")[0].as_py(), table.column("n")[0].as_py()
         known = dict(zip(table.column("place").to_pylist(), table.column("node").to_pylist(), strict=True))
         out: list[tuple] = []
-        for step in range(DEPTH):
+        for step in range(depth):
             if n == 1:
                 break
             known, n = parents(known, n), -(-n // ARITY)
@@ -162,16 +161,16 @@ def _inner(nodes: DataFrame, level: int) -> DataFrame:
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), kind, strict=True)], schema=kind)
 
     kind = pa.schema([("tree", pa.int64()), ("level", pa.int32()), ("place", pa.int64()), ("node", pa.string()), ("n", pa.int64())])
-    grown = nodes.filter("n > 1").withColumn("block", F.expr(f"place div {SPAN}"))
+    grown = nodes.filter("n > 1").withColumn("block", F.expr(f"place div {ARITY**depth}"))
     return grown.groupBy("tree", "block").applyInArrow(build, NODES)
 
 
-def _trees(stage: Stage, nodes: DataFrame) -> list[DataFrame]:
-    """Tables of all inner nodes above the leaves ``nodes`` (tree, place, node, n), each of ``DEPTH`` levels."""
+def _trees(stage: Stage, nodes: DataFrame, depth: int) -> list[DataFrame]:
+    """Tables of all inner nodes above the leaves ``nodes`` (tree, place, node, n), each of ``depth`` levels."""
     tables, level = [], 0
     while (nodes.agg(F.max("n")).first()[0] or 0) > 1:
-        tables.append(stage.keep(_inner(nodes, level)))
-        level += DEPTH
+        tables.append(stage.keep(_inner(nodes, level, depth)))
+        level += depth
         nodes = tables[-1].filter(F.col("level") == level)
     return tables
 
@@ -185,9 +184,10 @@ class Manifest:
     leaves: DataFrame
     nodes: DataFrame
     groups: DataFrame
+    depth: int = DEPTH
 
     @classmethod
-    def of(cls, rows: DataFrame) -> Manifest:
+    def of(cls, rows: DataFrame, depth: int = DEPTH) -> Manifest:
         """Of rows (group string, id long, leaf string, further columns)."""
         stage = Stage(rows.sparkSession)
         placed = _numbered(stage, rows)
@@ -205,7 +205,7 @@ class Manifest:
         keyed = placed.join(groups.select("tree", F.col("group").alias("__group")), F.col("group").eqNullSafe(F.col("__group")))
         leaves = stage.keep(keyed.drop("__group"))
         low = leaves.select("tree", F.lit(0).alias("level"), "place", F.col("leaf").alias("node"), "n")
-        inner = _trees(stage, low.drop("level"))
+        inner = _trees(stage, low.drop("level"), depth)
         nodes = low
         for table in inner:
             nodes = nodes.unionByName(table)
@@ -214,9 +214,9 @@ class Manifest:
         top = subroots.select(F.lit(TOP).cast("long").alias("tree"), F.lit(0).alias("level"), F.col("tree").alias("place"),
                               F.col("subroot").alias("node"), F.col("groups").alias("n"))
         nodes = nodes.unionByName(top)
-        for table in _trees(stage, top.drop("level")):
+        for table in _trees(stage, top.drop("level"), depth):
             nodes = nodes.unionByName(table)
-        return cls(stage, leaves, nodes, subroots)
+        return cls(stage, leaves, nodes, subroots, depth)
 
     def proofs(self, wanted: DataFrame | None = None, other_col: str | None = None) -> DataFrame:
         """(id, leaf, subroot, root, proof, folded) of leaves; ``wanted`` are rows of ``leaves``, all if not given.
@@ -227,12 +227,12 @@ class Manifest:
         leaves = self.leaves if wanted is None else wanted
         other = F.col(other_col) if other_col else F.lit(None).cast("string")
         size = self.groups.select("tree", "groups")
-        rows = leaves.select("tree", F.expr(f"place div {SPAN}").alias("block"), "place", "n", "id", "leaf", other.alias("other"))
+        rows = leaves.select("tree", F.expr(f"place div {ARITY**self.depth}").alias("block"), "place", "n", "id", "leaf", other.alias("other"))
         rows = rows.join(size, "tree")
         asked = rows.select("tree", "block", "place", "n", "groups").groupBy("tree", "block").applyInArrow(_asked, ASKED)
         at = [F.col("of") == F.col("tree"), F.col("level") == F.col("on"), F.col("spot") == F.col("place")]
         # Whole blocks know all nodes below their own top.
-        nodes = self.nodes.filter((F.col("level") >= DEPTH) | (F.col("tree") == TOP)) if wanted is None else self.nodes
+        nodes = self.nodes.filter((F.col("level") >= self.depth) | (F.col("tree") == TOP)) if wanted is None else self.nodes
         found = asked.join(nodes, at[0] & at[1] & at[2]).select("for_tree", "block", "of", "on", "spot", "node")
         asking = rows.groupBy("tree", "block").cogroup(found.groupBy("for_tree", "block"))
         return asking.applyInArrow(_expanded, PROOFS)

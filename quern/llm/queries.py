@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, dialogue, lines, merkle, mixing, mtree, pii, quality, recompress, rules, sharding, simhash, toxicity
+from quern.llm import bpe, dialogue, lines, merkle, mixing, mtree, pii, quality, recompress, reference_sql, rules, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -176,6 +176,8 @@ def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+ORACLES["op12_conversation_repair"] = reference_sql.conversation_repair()
+ORACLES["op13_merkle_manifest"] = reference_sql.merkle_manifest()
 ORACLES["op1_mtree_topk"] = """
 WITH good AS (
     SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS v

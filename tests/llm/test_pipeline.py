@@ -44,6 +44,15 @@ def test_dedup_stage(stages):
     assert sorted(r.doc_id for r in stages[2].collect()) == sorted(set(groups.values()))
 
 
+def test_dedup_stage_keeps_different_texts_of_one_id(spark, docs_of):
+    near = "one two three four five six seven eight nine ten eleven twelve"
+    other = "an unrelated text of quite different words that shares nothing with any other row here"
+    rows = [(5, near), (5, other), (5, other), (7, near), (None, other), (3, "third text, found once only, of its own")]
+    for parts in (1, 5):
+        kept = corpus_pipeline.one_of_each_group(spark, docs_of(*rows).repartition(parts), FOLDER)
+        assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(5, near), (5, other), rows[-1]])
+
+
 def test_pii_stage(stages):
     before, after = ({r.doc_id: r.text for r in s.collect()} for s in stages[2:4])
     assert before.keys() == after.keys()
@@ -81,4 +90,4 @@ def test_stages_take_awkward_rows(spark, awkward, empty, clashing):
 
 
 def test_every_operator_has_a_query():
-    assert {int(name[2:].split("_")[0]) for name in queries.QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in queries.QUERIES} == set(range(1, 14))

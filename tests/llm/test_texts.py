@@ -8,6 +8,7 @@ import tiktoken
 import xxhash
 
 from quern.llm import bpe, quality, recompress, simhash, toxicity
+from quern.llm import subwords as subwords_module
 
 RANKS = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 VOCABULARY = bpe.Vocabulary(RANKS)
@@ -182,6 +183,21 @@ def test_quality(spark, docs_of, awkward, clashing, empty):
     assert all(math.isclose(r.score, 0.5) for r in quality.scores(empty.unionByName(docs.limit(2)), nothing).collect())
 
 
+def test_scores_equal_a_plain_scorer(docs_of, awkward, monkeypatch):
+    """Whole arrays of a stretch of texts give what the features of each text by itself give."""
+    monkeypatch.setattr(quality, "AT_ONCE", 3_000)
+    random = np.random.default_rng(8)
+    model = quality.Model(random.normal(size=(quality.BUCKETS, quality.WIDTH)), random.normal(size=(2, quality.WIDTH)), np.array([0.1, 0.3]))
+    texts = [r.text for r in awkward.collect()] + ["a a a b\x1cb", "ß" * 70 + " x", "日本 語 " * 9, "word " * 400, "\u2003x\u00a0y"]
+    subwords, margins = subwords_module.Subwords(quality.BUCKETS), model.margins()
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = {r.id: r.score for r in quality.scores(docs_of(*rows), model).collect()}
+    for i, text in rows:
+        place, times = subwords.counts(text)
+        mean = margins[place] @ times.astype(float) / times.sum(dtype=float) if len(place) else 0.0
+        assert abs(got[i] - 1 / (1 + math.exp(-mean - model.offset()))) < 1e-12
+
+
 def test_toxicity(spark, docs_of, awkward, clashing, empty):
     docs, labels = labelled(spark, docs_of, lambda i, w: "you idiot" if i % 4 == 0 and w == "tree" else w)
     names = ["insult_mind", "insult_worth", "toxic"]
