@@ -352,7 +352,7 @@ def quantiles_far_apart(t: Tables) -> DataFrame:
     """A sentinel beside very large values next to each other, found by narrowing."""
     value = F.when(F.col("l_linenumber") == 1, 0.0).otherwise(F.lit(1e16) + 2 * (F.col("l_orderkey") % 2))
     wanted = {"x": (value, quantiles.linear(0.25, 0.5, 0.9))}
-    found = quantiles.order_values(t.lineitem, wanted, small=0, fetched=64)["x"]
+    found = quantiles.order_values(t.lineitem, wanted, fetched=64)["x"]
     return t.spark.range(1).select(*[F.lit(v).alias(n) for n, v in zip("abc", found, strict=True)])
 
 
@@ -417,11 +417,15 @@ def distinct_counts(t: Tables) -> DataFrame:
 
 
 @query(
-    "select column_name as \"column\", column_type in ('BIGINT', 'INTEGER', 'DOUBLE') as numeric, column_type = 'VARCHAR' as "
-    "text, column_type like 'TIMESTAMP%' as temporal from (describe lineitem)"
+    "select k.*, n.present from (select column_name as \"column\", column_type in ('BIGINT', 'INTEGER', 'DOUBLE') as numeric, "
+    "column_type = 'VARCHAR' as text, column_type like 'TIMESTAMP%' as temporal from (describe lineitem)) as k join "
+    "(unpivot (select count(columns(*)) from lineitem) on columns(*) into name \"column\" value present) as n using (\"column\")"
 )
 def column_kinds(t: Tables) -> DataFrame:
-    return frames.kinds_report(t.lineitem)
+    """What kind each column counts as, and how many of its values are present."""
+    rows = t.lineitem.agg(F.count(F.lit(1))).first()[0]
+    present = missing.missing_report(t.lineitem).select("column", (F.lit(rows) - F.col("missing")).alias("present"))
+    return frames.kinds_report(t.lineitem).join(present, "column")
 
 
 @query("select event_type, count(*) as count from events group by event_type")

@@ -208,6 +208,13 @@ def unmapped_states(t: Tables) -> DataFrame:
     return census.unmapped_states(_location(t))
 
 
+@query(f"select ENTIDAD, MUN, LOC from ({CLEAN_LOCATION}) as l where ENTIDAD % 4 = 0 or LOC is null")
+def unknown_localities(t: Tables) -> DataFrame:
+    """Localities of the education extract that a location table lacking a quarter of the states does not know."""
+    partial = _location(t).filter("ENTIDAD % 4 <> 0")
+    return census.unknown_localities(census.EXTRACTS["education"](t.sql(RAW)), partial)
+
+
 _PRICE_RAW = """
 select o_orderpriority as coicop, o_orderstatus as geo, substr(cast(cast(o_orderdate as date) as string), 1, 7)
   as TIME_PERIOD, o_totalprice as OBS_VALUE, o_orderkey
@@ -239,15 +246,16 @@ def strip_accents_any_script(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", plain_text.alias("plain"))
 
 
-_MARKED = "array('1ª Sección 2º', 'ﬁn ½ ĳs', 'Ḿ Å x²', 'plain', 'ÀÉÎÕÜ çñ')"
-_BARE = "['1a Seccion 2o', 'fin 1⁄2 ijs', 'M A x2', 'plain', 'AEIOU cn']"
-
-
-@query(f"select s_suppkey, ({_BARE})[1 + s_suppkey % 5] as latin, ['Αθηνα', 'и', 'ﾊ'][1 + s_suppkey % 2] as any from supplier")
+@query(
+    "select doc_id, replace(replace(translate(lower(regexp_replace(text, '[^A-Za-z ]', '', 'g')), 'q', '_'), '_', 'fi'), "
+    "'w', '2a') as latin from documents"
+)
 def strip_accents_whole_text(t: Tables) -> DataFrame:
-    """Whole results against constants: ordinals, ligatures, fractions and indices too, and other scripts."""
-    rows = t.supplier.withColumn("x", F.expr(f"{_MARKED}[s_suppkey % 5]")).withColumn("y", F.expr("array('Αθήνα', 'й')[s_suppkey % 2]"))
-    return rows.select("s_suppkey", text.strip_accents(F.col("x")).alias("latin"), text.strip_accents_any_script(F.col("y")).alias("any"))
+    """Whole results, over whole texts whose letters are written with marks, ligatures, ordinals and indices first."""
+    letters = F.lower(F.regexp_replace("text", "[^A-Za-z ]", ""))
+    marked = F.translate(letters, "aceinouxq", "áçéîñöůｘﬁ")
+    marked = F.replace(marked, F.lit("w"), F.lit("²ª"))
+    return t.documents.select("doc_id", text.strip_accents(marked).alias("latin"))
 
 
 @query(

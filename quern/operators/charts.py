@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.frames import Data, Splits, labelled, number, training
 from quern.operators.ordering import global_index
-from quern.operators.quantiles import SMALL, halves, midpoint, order_values
+from quern.operators.quantiles import halves, midpoint, order_values
 
 KDE_POINTS = 500
 # Cells to a bandwidth, and bandwidths beyond which a kernel is below the last digit of its sum.
@@ -151,7 +151,7 @@ def _fences(q1, median, q3) -> dict:
     return dict(zip(_BOX, (q1, median, q3, q1 - reach, q3 + reach)))
 
 
-def _boxed(df: DataFrame, column: str, method: str, group: str, small: int) -> DataFrame:
+def _boxed(df: DataFrame, column: str, method: str, group: str) -> DataFrame:
     """Rows (group, x) with the quartiles and fences of their group."""
     found = df.select(group).filter(F.col(group).isNotNull()).distinct().limit(GROUPS + 1).collect()
     value = number(df, column)
@@ -159,7 +159,7 @@ def _boxed(df: DataFrame, column: str, method: str, group: str, small: int) -> D
     if len(found) > GROUPS:
         return rows.join(_quartiles_by_rank(rows, group, method), group)
     wanted = {row[0]: (F.when(F.col(group) == row[0], value), QUARTILES[method]) for row in found}
-    quartiles = order_values(df, wanted, small)
+    quartiles = order_values(df, wanted)
     boxes = {name: _fences(*q) for name, q in quartiles.items() if q[0] is not None}
     boxes = boxes or {None: dict.fromkeys(_BOX, 0.0)}
     placed = rows.withColumn("__box", _per_group(F.col(group), boxes)).filter("__box is not null")
@@ -206,14 +206,14 @@ def _quartiles_by_rank(rows: DataFrame, group: str, method: str) -> DataFrame:
 
 
 def box_stats(
-    data: Data, column: str, quartile_method: str = "linear", by: str | None = None, small: int = SMALL
+    data: Data, column: str, quartile_method: str = "linear", by: str | None = None
 ) -> DataFrame:
     """Quartiles, whiskers, mean and number of outliers per part, or per category of ``by``.
 
     Whiskers reach the last value within one and a half interquartile ranges of the box.
     """
     group = by or "Set"
-    boxed = _boxed(_together(data), column, quartile_method, group, small)
+    boxed = _boxed(_together(data), column, quartile_method, group)
     inside = F.col("x").between(F.col("lower_fence"), F.col("upper_fence"))
     return boxed.groupBy(group, *_BOX).agg(
         F.count(F.lit(1)).alias("count"),
@@ -225,7 +225,7 @@ def box_stats(
 
 
 def box_points(
-    data: Data, column: str, show: str | bool = "outliers", quartile_method: str = "linear", small: int = SMALL
+    data: Data, column: str, show: str | bool = "outliers", quartile_method: str = "linear"
 ) -> DataFrame:
     """The single points drawn beside a box: all of them, none, or those outside the whiskers.
 
@@ -235,7 +235,7 @@ def box_points(
     if show == "all" or show is False:
         rows = df.select("Set", number(df, column).alias("x"), F.lit(False).alias("suspected"))
         return rows.filter(F.col("x").isNotNull() & F.lit(bool(show)))
-    boxed = _boxed(df, column, quartile_method, "Set", small)
+    boxed = _boxed(df, column, quartile_method, "Set")
     reach = 3 * (F.col("q3") - F.col("q1"))
     far = (F.col("x") < F.col("q1") - reach) | (F.col("x") > F.col("q3") + reach)
     outside = boxed.filter((F.col("x") < F.col("lower_fence")) | (F.col("x") > F.col("upper_fence")))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.frames import missing, number, numeric_columns, sql_text
-from quern.operators.quantiles import SMALL, exact_quantiles
+from quern.operators.profile import modes
+from quern.operators.quantiles import exact_quantiles
 
 HIGH_PERCENT = 5.0
 
@@ -58,24 +59,14 @@ def fill_mean(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return _fill_numbers(df, dict(zip(chosen, row)))
 
 
-def fill_median(df: DataFrame, columns: Iterable[str], small: int = SMALL) -> DataFrame:
+def fill_median(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     chosen = [c for c in numeric_columns(df) if c in set(columns)]
-    return _fill_numbers(df, {c: v[0] for c, v in exact_quantiles(df, chosen, [0.5], small).items()})
-
-
-def column_mode(df: DataFrame, name: str):
-    """The most frequent value, the smallest one among equals, found without gathering the column."""
-    counts = df.filter(~missing(df, name)).groupBy(name).count()
-    return counts.agg(F.min_by(name, F.struct(-F.col("count"), F.col(name)))).first()[0]
+    return _fill_numbers(df, {c: v[0] for c, v in exact_quantiles(df, chosen, [0.5]).items()})
 
 
 def fill_mode(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    filled = {}
-    for name in columns:
-        mode = column_mode(df, name)
-        if mode is not None:
-            kind = df.schema[name].dataType
-            filled[name] = F.when(missing(df, name), F.lit(mode).cast(kind)).otherwise(F.col(name))
+    """Fill with the most frequent value, the smallest one among equals; all columns are counted in one scan."""
+    filled = {c: F.when(missing(df, c), mode).otherwise(F.col(c)) for c, mode in modes(df, columns).items()}
     return df.withColumns(filled) if filled else df
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,8 +10,6 @@ from pyspark.sql import functions as F
 from quern.staging import discard, staged
 
 LARGEST_SORTED_GROUP = 5_000_000
-# Rows of one range of a numbering.
-RANGE_ROWS = 200_000
 
 Order = Sequence[str | tuple[str, str]]
 
@@ -33,41 +30,40 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 
 def global_index(
-    df: DataFrame, order_by: Order, name: str = "idx", start: int = 1, partitions: int | None = None
-) -> DataFrame:
+    df: DataFrame, order_by: Order, name: str = "idx", start: int = 1, partitions: int | None = None,
+    stage_input: bool = True,
+) -> DataFrame:
     """Number all rows 1..n along a total order without sorting them in one task.
 
-    The input is written out once, so that finding the ranges does not compute it a second time, and deleted when the
-    numbered rows are written. They are range-partitioned and sorted; the position inside each range is taken while
-    writing, and the offsets of the ranges come from one small count. There is a range for so many rows, unless
-    ``partitions`` is given. Ties in the order are broken by a hash of the row; copies of one row are told apart by
+    Rows are range-partitioned, sorted, and numbered inside their range while they are written. There are as many ranges
+    as ``spark.sql.shuffle.partitions`` says (or ``partitions``), of which adaptive execution merges neighbours that are
+    small. How many rows lie before each range is a table of one row per range that is joined, so neither the driver nor
+    the plan grows with the rows. Ties in the order are broken by a hash of the row; copies of one row are told apart by
     the partition they came from, so that even a key or a row that makes up a large share of the table is spread over
     several ranges.
+
+    The input is written out first, so that finding the ranges does not compute it a second time, and deleted when the
+    numbered rows are written. ``stage_input=False`` saves that for an input that is as cheap to read as a copy of it.
     """
-    once = staged(df.withColumns({"__hash": F.xxhash64(*df.columns), "__source": F.spark_partition_id()}))
-    count = partitions or max(1, -(-once.count() // RANGE_ROWS))
+    marked = df.withColumns({"__hash": F.xxhash64(*df.columns), "__source": F.spark_partition_id()})
+    once = staged(marked) if stage_input else marked
     order = _sorting(order_by) + [F.col("__hash"), F.col("__source")]
-    ranged = (
-        once
-        .repartitionByRange(count, *order)
-        .sortWithinPartitions(*order)
-        .drop("__hash", "__source")
-        .withColumn("__at", F.monotonically_increasing_id())
-    )
-    table = staged(ranged)
-    discard(once)
+    ranged = once.repartitionByRange(partitions, *order) if partitions else once.repartitionByRange(*order)
+    ranged = ranged.sortWithinPartitions(*order).drop("__hash", "__source")
+    table = staged(ranged.withColumn("__at", F.monotonically_increasing_id()))
+    if stage_input:
+        discard(once)
     # The upper bits of __at are the range, the lower 33 the position in it.
-    sizes = table.groupBy(F.shiftright("__at", 33).cast("int").alias("range")).count().collect()
-    offsets = [0] * (1 + max((r["range"] for r in sizes), default=0))
-    total = 0
-    for row in sorted(sizes):
-        offsets[row["range"]] = total
+    part = F.shiftright("__at", 33).cast("int")
+    before, total = [], 0
+    for row in sorted(table.groupBy(part.alias("range")).count().collect()):
+        before.append((row["range"], total))
         total += row["count"]
-    before = F.element_at(
-        F.from_json(F.lit(json.dumps(offsets)), "array<bigint>"), F.shiftright("__at", 33).cast("int") + 1
-    )
+    sizes = df.sparkSession.createDataFrame(before, "__range int, __before bigint")
+    # At most as many rows as there are shuffle partitions, 12 bytes each.
+    placed = table.join(F.broadcast(sizes), part == F.col("__range"))
     position = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
-    return table.withColumn(name, before + position + start).drop("__at")
+    return placed.select(*df.columns, (F.col("__before") + position + start).alias(name))
 
 
 def latest_per_key(

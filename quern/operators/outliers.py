@@ -10,14 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.frames import Data, apply_to, number, training
-from quern.operators.quantiles import SMALL, exact_quantiles
+from quern.operators.quantiles import exact_quantiles
 
 # Fixed values of the isolation forest.
 TREES, TREE_ROWS, CONTAMINATION, SEED = 100, 256, 0.05, 42
 
 
-def iqr_bounds(df: DataFrame, column: str, small: int = SMALL) -> tuple[float | None, float | None]:
-    low, high = exact_quantiles(df, [column], [0.25, 0.75], small)[column]
+def iqr_bounds(df: DataFrame, column: str) -> tuple[float | None, float | None]:
+    low, high = exact_quantiles(df, [column], [0.25, 0.75])[column]
     if low is None:
         return None, None
     reach = 1.5 * (high - low)
@@ -25,12 +25,12 @@ def iqr_bounds(df: DataFrame, column: str, small: int = SMALL) -> tuple[float |
 
 
 def percentage_bounds(
-    df: DataFrame, column: str, bottom: float, top: float, small: int = SMALL
+    df: DataFrame, column: str, bottom: float, top: float
 ) -> tuple[float | None, float | None]:
     for share in (bottom, top):
         if not 0 <= share <= 0.5:
             raise ValueError(f"a share to remove must lie between 0 and 0.5, got {share}")
-    low, high = exact_quantiles(df, [column], [bottom, 1 - top], small)[column]
+    low, high = exact_quantiles(df, [column], [bottom, 1 - top])[column]
     return low, high
 
 

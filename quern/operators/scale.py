@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.frames import Data, apply_to, number, numeric_columns, training
-from quern.operators.quantiles import SMALL, exact_quantiles
+from quern.operators.quantiles import exact_quantiles
 
 Scaling = dict[str, tuple[float, float]]
 """Per column the value to subtract and the one to divide by."""
@@ -36,9 +36,9 @@ def fit_minmax(df: DataFrame, columns: Iterable[str]) -> Scaling:
     return {c: (low, _divisor(high - low)) for c, (low, high) in pairs.items() if low is not None}
 
 
-def fit_robust(df: DataFrame, columns: Iterable[str], small: int = SMALL) -> Scaling:
+def fit_robust(df: DataFrame, columns: Iterable[str]) -> Scaling:
     """Median and interquartile range."""
-    found = exact_quantiles(df, list(columns), [0.25, 0.5, 0.75], small)
+    found = exact_quantiles(df, list(columns), [0.25, 0.5, 0.75])
     return {c: (v[1], _divisor(v[2] - v[0])) for c, v in found.items() if v[1] is not None}
 
 

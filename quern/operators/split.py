@@ -253,7 +253,7 @@ def _with_quota(classes: DataFrame, name: str, taken: int, left: int) -> DataFra
     shares = classes.withColumns({name: F.floor(exact).cast("bigint"), "__rest": exact - F.floor(exact)})
     short = taken - shares.agg(F.sum(name)).first()[0]
     # Numbered in ranges: with many classes the leftovers are many rows too, which one task must not sort.
-    ranked = global_index(shares.select("__s", "__rest", "n"), [("__rest", "desc"), ("n", "desc"), "__s"], "__rank")
+    ranked = global_index(shares.select("__s", "__rest", "n"), [("__rest", "desc"), ("n", "desc"), "__s"], "__rank", stage_input=False)
     extra = ranked.filter(F.col("__rank") <= short).select(F.col("__s").alias("__e"), F.lit(1).alias("__one"))
     topped = shares.join(extra, F.col("__s").eqNullSafe(F.col("__e")), "left")
     total = F.col(name) + F.coalesce("__one", F.lit(0))

@@ -8,43 +8,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.frames import missing, number, numeric_columns, sql_text, temporal_columns
-from quern.operators.quantiles import SMALL, linear, order_values
+from quern.operators.profile import SLOTS, profile, typed
+from quern.operators.quantiles import linear, order_values
 
 FIELDS = ("column", "count", "unique", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def describe_all(df: DataFrame, small: int = SMALL) -> DataFrame:
+def describe_all(df: DataFrame) -> DataFrame:
     """One row per column: count, then either unique, top and freq, or moments and quartiles, as text and double.
 
-    Numbers and points in time share one pass for moments. Each other column is counted by value on its own,
-    reading nothing else; the most frequent value is picked in a second aggregation.
+    Numbers and points in time share one scan for moments and two for quartiles; all others are counted by value in
+    another one.
     """
     numeric, temporal = numeric_columns(df), temporal_columns(df)
     measured = [c for c in df.columns if c in numeric or c in temporal]
-    frames = [_measured(df, measured, temporal, small)] if measured else []
-    frames += [_counted(df, c) for c in df.columns if c not in measured]
+    frames = [_measured(df, measured, temporal)] if measured else []
+    counted = [c for c in df.columns if c not in measured]
+    if counted:
+        frames.append(_counted(df, counted))
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _counted(df: DataFrame, name: str) -> DataFrame:
-    counts = df.filter(~missing(df, name)).groupBy(F.col(name).cast("string").alias("v")).count()
-    row = counts.agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("count"),
-        F.count(F.lit(1)).alias("unique"),
-        F.min_by("v", F.struct(-F.col("count"), F.col("v"))).alias("top"),
-        F.max("count").alias("freq"),
-    )
-    absent = {c: F.lit(None).cast("double") for c in FIELDS[5:]}
-    return row.select(F.lit(name).alias("column"), "count", "unique", "top", "freq", *[
-        v.alias(c) for c, v in absent.items()
-    ])
+def _counted(df: DataFrame, names: list[str]) -> DataFrame:
+    told = profile(df, names)
+    text = {c: typed(df.schema[c].dataType, *[F.col(k) for k in SLOTS]).cast("string") for c in names}
+    top = F.coalesce(*[F.when(F.col("column") == c, value) for c, value in text.items()])
+    absent = [F.lit(None).cast("double").alias(c) for c in FIELDS[5:]]
+    return told.select("column", "count", F.col("distinct_values").alias("unique"), top.alias("top"), "freq", *absent)
 
 
-def _measured(df: DataFrame, names: list[str], temporal: list[str], small: int) -> DataFrame:
+def _measured(df: DataFrame, names: list[str], temporal: list[str]) -> DataFrame:
     """Points in time are measured in seconds since 1970."""
     seconds = {c: F.unix_micros(F.col(c).cast("timestamp")) / 1e6 for c in temporal}
     value = {c: seconds[c] if c in seconds else number(df, c) for c in names}
-    quartiles = order_values(df, {c: (value[c], linear(0.25, 0.5, 0.75)) for c in names}, small)
+    quartiles = order_values(df, {c: (value[c], linear(0.25, 0.5, 0.75)) for c in names})
     parts = []
     for i, c in enumerate(names):
         std = F.lit(None).cast("double") if c in seconds else F.stddev_samp(value[c])
@@ -68,16 +65,12 @@ def _measured(df: DataFrame, names: list[str], temporal: list[str], small: int)
 
 
 def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Distinct values per column. Exact counts read one column at a time; sketches need a single pass."""
+    """Distinct values per column, exact ones from one histogram of all columns, or from sketches."""
     if approximate:
         row = df.agg(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(df.columns)])
         cells = ", ".join(f"{sql_text(c)}, n{i}" for i, c in enumerate(df.columns))
         return row.selectExpr(f"stack({len(df.columns)}, {cells}) as (column, distinct_values)")
-    counts = [
-        df.agg(F.count_distinct(c).alias("distinct_values")).select(F.lit(c).alias("column"), "distinct_values")
-        for c in df.columns
-    ]
-    return reduce(lambda a, b: a.unionByName(b), counts)
+    return profile(df).select("column", "distinct_values")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -88,17 +81,12 @@ def smallest_class(df: DataFrame, column: str) -> int:
     return value_counts(df, column).agg(F.min("count")).first()[0] or 0
 
 
-def column_statistics(df: DataFrame, small: int = SMALL) -> DataFrame:
-    """Mean, median and mode of every numeric column."""
-    from quern.operators.missing import column_mode
-
+def column_statistics(df: DataFrame) -> DataFrame:
+    """Mean, median and mode of every numeric column, in four scans of the table."""
     names = numeric_columns(df)
-    medians = order_values(df, {c: (number(df, c), linear(0.5)) for c in names}, small)
+    medians = order_values(df, {c: (number(df, c), linear(0.5)) for c in names})
     row = df.agg(*[F.avg(number(df, c)).alias(f"a{i}") for i, c in enumerate(names)]).first()
-    rows = []
-    for i, c in enumerate(names):
-        mode = column_mode(df, c)
-        rows.append((c, row[i], medians[c][0], None if mode is None else float(mode)))
-    return df.sparkSession.createDataFrame(rows, "column string, mean double, median double, mode double")
-
-
+    rows = [(c, row[i], medians[c][0]) for i, c in enumerate(names)]
+    known = df.sparkSession.createDataFrame(rows, "column string, mean double, median double")
+    mode = F.coalesce(F.col("d"), F.col("l").cast("double"))
+    return known.join(profile(df, names).select("column", mode.alias("mode")), "column")

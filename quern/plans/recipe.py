@@ -6,6 +6,8 @@ only if it succeeds. Replaying folds the list over the initial frame.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 from collections.abc import Callable
 from copy import deepcopy
@@ -187,53 +189,92 @@ def apply_step(data: Data, step: dict) -> Outcome:
         return Outcome("error", f"{step['op_type']}: {error}", data)
 
 
+#: Steps that shuffle their input or run Python on it. Their results are written out, so that later fits do not repeat them.
+COSTLY = {"remove_duplicates", "encode_columns"}
+
+
+def costly(step: dict) -> bool:
+    """Whether a step's result is written out unless the step says otherwise."""
+    forest = step["params"].get("outlier_removal_method") == "Isolation Forest"
+    return step.get("stage", step["op_type"] in COSTLY or forest)
+
+
 @dataclass
 class Recipe:
+    """Steps and the data they make of a frame.
+
+    What each step made, fitted parameters included, is remembered under the steps up to it. So replaying the list on the
+    initial frame fits nothing again, and after an edit only the steps from there on are fitted. Another frame is fitted
+    from the start. ``forget`` drops what is remembered, as is needed when the files of the initial frame have changed.
+    """
+
     initial: DataFrame
     steps: list[dict] = field(default_factory=list)
     checked: bool = True
 
     def __post_init__(self) -> None:
+        self._known: dict[str, tuple[Outcome, Data, State]] = {}
         self._current, self._state, self.outcomes = self.replayed(self.initial)
 
     @property
     def current(self) -> Data:
         return self._current
 
-    def add(self, op_type: str, params: dict, stage: bool = False) -> Outcome:
-        """Take one step. ``stage`` writes its result out, which saves later fits from repeating costly steps."""
+    def add(self, op_type: str, params: dict, stage: bool | None = None) -> Outcome:
+        """Take one step. ``stage`` says whether its result is written out; else costly steps' results are."""
         step = {"id": str(uuid.uuid4()), "op_type": op_type, "params": deepcopy(params)}
-        if stage:
-            step["stage"] = True
+        if stage is not None:
+            step["stage"] = stage
         refused = objection(self._current, step, self._state) if self.checked else None
         if refused:
             return Outcome("warning", refused, self._current)
-        outcome = apply_step(self._current, step)
-        if not outcome.ok:
-            return Outcome(outcome.status, outcome.message, self._current, outcome.details)
-        self.steps.append(step)
-        self._current = apply_to(outcome.data, staged) if stage else outcome.data
-        self._state = self._state.after(step)
-        self.outcomes.append(Outcome(outcome.status, outcome.message, self._current, outcome.details))
-        return Outcome("success", outcome.message, self._current, outcome.details)
+        outcome, data, state = self._taken(self._name(self.steps + [step]), self._current, self._state, step)
+        if outcome.ok:
+            self.steps.append(step)
+            self._current, self._state = data, state
+            self.outcomes.append(outcome)
+        return Outcome(outcome.status, outcome.message, self._current, outcome.details)
+
+    def change(self, place: int, params: dict | None) -> Data:
+        """Give the step at ``place`` other parameters, or take it out (None); steps before it are not fitted again."""
+        if params is None:
+            del self.steps[place]
+        else:
+            self.steps[place] = {**self.steps[place], "params": deepcopy(params)}
+        self._current, self._state, self.outcomes = self.replayed(self.initial)
+        return self._current
+
+    def forget(self) -> None:
+        self._known.clear()
 
     @property
     def left_out(self) -> list[tuple[dict, str]]:
         """Steps that did not succeed when the list was last applied, and why."""
         return [(step, o.message) for step, o in zip(self.steps, self.outcomes, strict=True) if not o.ok]
 
-    def replayed(self, initial: DataFrame) -> tuple[Data, State, list[Outcome]]:
-        """The list applied anew: the result, the state that the successful steps make, and what became of each.
+    @staticmethod
+    def _name(steps: list[dict]) -> str:
+        """What the steps do to a frame, whatever their ids."""
+        told = [(s["op_type"], s["params"], costly(s)) for s in steps]
+        return hashlib.sha256(json.dumps(told, sort_keys=True, default=repr).encode()).hexdigest()
 
-        A step that fails leaves the data as they are. Steps taken with ``stage`` write their result out here too.
-        """
-        data, state, outcomes = initial, State(), []
-        for step in self.steps:
+    def _taken(self, name: str, data: Data, state: State, step: dict) -> tuple[Outcome, Data, State]:
+        """What a step makes of the data, remembered if it succeeds; a step that fails leaves them as they are."""
+        if name not in self._known:
             outcome = apply_step(data, step)
+            if not outcome.ok:
+                return outcome, data, state
+            made = apply_to(outcome.data, staged) if costly(step) else outcome.data
+            self._known[name] = Outcome(outcome.status, outcome.message, made, outcome.details), made, state.after(step)
+        return self._known[name]
+
+    def replayed(self, initial: DataFrame) -> tuple[Data, State, list[Outcome]]:
+        """The list applied anew: the result, the state that the successful steps make, and what became of each."""
+        apply = self._taken if initial is self.initial else Recipe(initial)._taken
+        data, state, outcomes = initial, State(), []
+        for place, step in enumerate(self.steps, 1):
+            outcome, data, state = apply(self._name(self.steps[:place]), data, state, step)
             outcomes.append(outcome)
-            if outcome.ok:
-                data = apply_to(outcome.data, staged) if step.get("stage") else outcome.data
-                state = state.after(step)
         return data, state, outcomes
 
     def replay(self, initial: DataFrame | None = None) -> Data:

@@ -122,3 +122,54 @@ def test_batch_time_is_not_the_sum_of_loads_side_by_side(spark):
     audit.run_all("bronze", slow, refresh)
     assert 0.5 <= audit.total_seconds() < sum(r.seconds for r in audit.records)
     assert all(r.started <= r.ended for r in audit.records)
+
+
+def awkward_csv(chance, rows, end):
+    """Lines of a file whose quoted values hold quotes, commas and line breaks of both kinds; some reach over many lines."""
+    parts = ["a", "é", ",", '""', "\n", "\r\n", "\n\n", "word ", '"",""\n', "x" * 30]
+    lines = ["id,text,more" + end]
+    for i in range(rows):
+        text = "".join(chance.choices(parts, k=chance.randrange(0, 12)))
+        if chance.random() < 0.05:
+            text = "long\n" * 200
+        lines.append(f'{i},"{text}",{chance.choice(["", "plain", chr(34) + "quo,ted" + chr(34)])}{end}')
+    return "".join(lines)
+
+
+@pytest.mark.parametrize("size", ["400", "5000", "128m"])
+def test_records_are_found_in_any_ranges(spark, tmp_path, size):
+    import csv as library
+    import io
+    import random
+
+    texts = [awkward_csv(random.Random(k), 150, end) for k, end in enumerate(("\n", "\r\n", "\n"))]
+    for k, text in enumerate(texts):
+        (tmp_path / f"f{k}.csv").write_bytes(text.encode())
+    want = sorted(tuple(r) for t in texts for r in list(library.reader(io.StringIO(t, newline="")))[1:])
+    schema = "id int, text string, more string"
+    # Spark's own reader takes a whole file in one task; it turns the line breaks of values into one kind.
+    plain = [str(tmp_path / f"f{k}.csv") for k in (0, 2)]
+    same = values(csv.read_positional(spark, plain, schema, quoted=True, multi_line=True))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        got = csv.read_positional(spark, str(tmp_path), schema, quoted=True)
+        assert sorted((str(a), b or "", c or "") for a, b, c in got.collect()) == want and len(want) == 450
+        assert values(csv.read_positional(spark, plain, schema, quoted=True)) == same
+        texts = csv.read_text_columns(spark, str(tmp_path))
+        assert texts.dtypes == [("id", "string"), ("text", "string"), ("more", "string")]
+        assert sorted((a, b or "", c or "") for a, b, c in texts.collect()) == want
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+
+
+def test_names_and_ends_of_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("﻿a,,b,A\r\n1,2,\"x\r\ny\",4".encode())
+    got = csv.read_inferred(spark, str(tmp_path / "a.csv"))
+    assert got.dtypes == [("a0", "int"), ("_c1", "int"), ("b", "string"), ("A3", "int")]
+    assert values(got) == [(1, 2, "x\r\ny", 4)]
+    (tmp_path / "b.csv").write_text("a,b\n")
+    assert csv.read_text_columns(spark, str(tmp_path / "b.csv")).columns == ["a", "b"]
+    assert csv.read_positional(spark, str(tmp_path / "b.csv"), "a int", quoted=True).count() == 0
