@@ -3,7 +3,8 @@
 A document is the mean of the vectors of its words, their character n-grams and its word pairs, all hashed into a table
 of fixed size; a softmax layer turns it into the probability of label 1. Vectors and layer are learned by stochastic
 gradient descent on a bounded sample of labelled rows (``sample_rows``). Scoring reads whole texts. Since a mean and a
-linear layer change places freely, each word is reduced to the sum of the layer over its vectors once per worker.
+linear layer change places freely, each distinct word of a stretch of texts is reduced to the sum of the layer over its
+vectors, and the texts' sums follow from these by whole arrays.
 
 Defined results: a text without words (null, empty or blank) scores what the layer's bias says. Labels that are null,
 and labelled ids without a document, teach nothing; without any label every score is one half. Repeated labels count
@@ -12,7 +13,6 @@ each time. A null id keeps its row. Columns other than those named are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,9 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quern.llm.shared import by_batch
-from quern.llm.subwords import REMEMBERED, Subwords, featured, in_order, labelled
+from quern.llm.subwords import Bags, Subwords, featured, in_order, labelled, stretches
 
 BUCKETS, WIDTH = 1 << 16, 8
+#: Bytes of texts that are scored together.
+AT_ONCE = 1 << 21
 
 
 @dataclass
@@ -86,32 +88,18 @@ def fit(
 def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with ``score_col``: the probability of label 1 for every whole text."""
     sent = docs.sparkSession.sparkContext.broadcast((model.margins(), model.offset()))  # 65,536 numbers
-    subwords, seen = Subwords(BUCKETS), {}
+    subwords = Subwords(BUCKETS)
     place = docs.columns.index(text_col)
 
-    def score(text: str | None) -> float:
+    def score(texts: pa.Array) -> np.ndarray:
         margins, offset = sent.value
-        words = (text or "").split()
-        if words:
-            total, size, names, found = 0.0, 0, {}, Counter(words)
-            for word, times in found.items():
-                known = seen.get(word)
-                if known is None:
-                    if len(seen) > REMEMBERED:
-                        seen.clear()
-                    own = subwords.of_word(word)
-                    seen[word] = known = float(margins[own].sum()), len(own), int(own[0])
-                total += known[0] * times
-                size += known[1] * times
-                names[word] = known[2]
-            row = np.fromiter(map(names.__getitem__, words), np.int32, len(words))
-            total += float(margins[subwords.pair(row[:-1], row[1:])].sum())
-            offset += total / (size + len(words) - 1)
-        return float(1 / (1 + np.exp(-np.clip(offset, -700, 700))))
+        total, count = Bags(subwords, texts).sums(margins)
+        return 1 / (1 + np.exp(-np.clip(offset + total / np.maximum(count, 1), -700, 700)))
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = pa.array([score(t.as_py()) for t in batch.column(place)], pa.float64())
-        return pa.record_batch([*batch.columns, found], [*batch.schema.names, score_col])
+        found = [score(part) for part in stretches(batch.column(place), AT_ONCE)]
+        column = pa.array(np.concatenate(found) if found else [], pa.float64())
+        return pa.record_batch([*batch.columns, column], [*batch.schema.names, score_col])
 
     return by_batch(docs, make, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
 

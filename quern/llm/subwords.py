@@ -8,9 +8,12 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Words of more bytes are hashed one by one.
+LONG = 48
 #: Words whose features a worker remembers before it starts anew.
 REMEMBERED = 200_000
 
@@ -63,6 +66,107 @@ class Subwords:
         return place, np.bincount(inverse, np.concatenate(times)).astype(np.float32)
 
 
+def _table() -> np.ndarray:
+    """What CRC-32 makes of each byte: eight shifts of the reflected polynomial."""
+    found = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        found = (found >> np.uint32(1)) ^ (np.uint32(0xEDB88320) * (found & np.uint32(1)))
+    return found
+
+
+_TABLE = _table()
+
+
+def crc32_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The checksums of short stretches of bytes, all advanced together by one byte a step."""
+    found = np.full(len(start), 0xFFFFFFFF, np.uint32)
+    size = end - start
+    for step in range(int(size.max(initial=0))):
+        live = slice(None) if size.min() > step else np.flatnonzero(size > step)
+        now = found[live]
+        found[live] = _TABLE[(now ^ data[start[live] + step]) & np.uint32(255)] ^ (now >> np.uint32(8))
+    return found ^ np.uint32(0xFFFFFFFF)
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, one after the other, and how many each text has; divided at white space as by ``split``."""
+    parts = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
+    flat, cuts = parts.flatten(), parts.offsets.to_numpy().astype(np.int64)
+    real = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
+    before = np.concatenate([[0], np.cumsum(real)])
+    return flat.filter(pa.array(real)), np.diff(before[cuts - cuts[0]])
+
+
+class Bags:
+    """Features of many texts at once: of each distinct word, and of the words and pairs of each text."""
+
+    def __init__(self, subwords: Subwords, texts: pa.Array) -> None:
+        self.subwords = subwords
+        words, self.sizes = words_of(texts)
+        coded = words.dictionary_encode()
+        self.codes = coded.indices.to_numpy()
+        self.text = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self._mark(coded.dictionary.cast(pa.binary()))
+        size = self.last + 1 - self.first
+        own = np.empty(len(size), np.uint32)
+        short = size <= LONG
+        own[short] = crc32_of(self.data, self.first[short], self.last[short] + 1)
+        for k in np.flatnonzero(~short):
+            own[k] = crc32(self.data[self.first[k] : self.last[k] + 1])
+        self.names = (own % np.uint32(subwords.buckets)).astype(np.int32)
+
+    def _mark(self, words: pa.Array) -> None:
+        """The bytes of the distinct words, each between marks for its ends, and the places of these marks."""
+        cuts = np.frombuffer(words.buffers()[1], np.int32)[words.offset :][: len(words) + 1].astype(np.int64)
+        raw = np.frombuffer(words.buffers()[2] or b"", np.uint8)[cuts[0] : cuts[-1]]
+        marks = 2 * np.arange(len(words))
+        self.first, self.last = cuts[:-1] - cuts[0] + marks, cuts[1:] - cuts[0] + marks + 1
+        self.data = np.empty(len(raw) + 2 * len(words), np.uint8)
+        inner = np.ones(len(self.data), bool)
+        inner[self.first] = inner[self.last] = False
+        self.data[inner], self.data[self.first], self.data[self.last] = raw, 2, 3
+
+    def grams(self) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of the character n-grams of the distinct words, and the word that each belongs to."""
+        data, first = self.data, self.first
+        begins = np.flatnonzero((data & 0xC0) != 0x80)
+        word = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(data))))[begins]
+        ends = np.append(begins, len(data))
+        buckets, owners = [], []
+        for size in range(self.subwords.shortest, self.subwords.longest + 1):
+            at = np.flatnonzero(word[: len(word) - size + 1] == word[size - 1 :])
+            buckets.append(crc32_of(data, begins[at], ends[at + size]) % np.uint32(self.subwords.buckets))
+            owners.append(word[at])
+        return np.concatenate(buckets), np.concatenate(owners)
+
+    def sums(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each text, the sum of its features' weights and the number of its features."""
+        bucket, owner = self.grams()
+        many = len(self.names)
+        of_word = weights[self.names] + np.bincount(owner, weights[bucket], many)
+        size = 1 + np.bincount(owner, minlength=many)
+        texts = len(self.sizes)
+        total = np.bincount(self.text, of_word[self.codes], texts)
+        count = np.bincount(self.text, size[self.codes], texts)
+        if self.subwords.pairs and len(self.codes):
+            same = np.flatnonzero(self.text[:-1] == self.text[1:])
+            row = self.names[self.codes]
+            paired = weights[self.subwords.pair(row[same], row[same + 1])]
+            total += np.bincount(self.text[same], paired, texts)
+            count += np.bincount(self.text[same], minlength=texts)
+        return total, count
+
+
+def stretches(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """The texts in order, a stretch of at most ``most`` bytes at a time, or a single longer text."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(size, (size[start - 1] if start else 0) + most, "right")))
+        yield texts.slice(start, end - start)
+        start = end
+
+
 def labelled(labels: DataFrame, label_col: str, held_out: str, most: int, id_col: str) -> DataFrame:
     """(_id, _label) of at most ``most`` rows labelled 0 or 1, those with the smallest hash of their id.
 
