@@ -29,18 +29,18 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates.
+    """One row of each group of near duplicates: the one with the smallest id.
 
-    Rows that repeat an id are one document and leave one row. A null id comes after all others; such rows are told
-    apart by their texts.
+    Rows that repeat an id and a text are one document and leave one row; rows with one id and different texts are
+    different documents. A null id comes after all others. Ties are broken by hashes of the rows, so reruns agree.
     """
-    unnamed = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(1 << 62))
-    keyed = docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), unnamed))
-    found = simhash.near_duplicates(keyed, "__key", "text", words=3, bits=3)
-    kept = found.filter("id = component").select(F.col("id").alias("__kept")).distinct()
-    rows = keyed.join(kept, F.col("__key") == F.col("__kept"), "left_semi")
-    first = F.row_number().over(W.partitionBy("__key").orderBy("__key"))
-    return rows.withColumn("__row", first).filter("__row = 1").select(*docs.columns)
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    found = simhash.near_duplicates(keyed, "__key", "text", words=3, bits=3).distinct()
+    own = keyed.select("__key", "doc_id").join(found.select(F.col("id").alias("__key"), "component"), "__key")
+    first = own.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__key")).alias("__least"))
+    rows = keyed.join(first.select(F.col("__least.__key")), "__key", "left_semi")
+    order = W.partitionBy("__key").orderBy(F.xxhash64(*docs.columns))
+    return rows.withColumn("__row", F.row_number().over(order)).filter("__row = 1").select(*docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
