@@ -93,6 +93,9 @@ def test_accents(spark):
     plain = ["Queretaro Nandu AEIOU", "e", "plain", None]
     assert one(spark, "string", words, text.strip_accents) == plain
     assert one(spark, "string", words, text.strip_accents_any_script) == plain
+    signs = ["1ª Sección 2º", "ﬁn ½ ĳs", "Ḿ Å x²"]
+    assert one(spark, "string", signs, text.strip_accents) == ["1a Seccion 2o", "fin 1⁄2 ijs", "M A x2"]
+    assert one(spark, "string", ["Αθήνα", "й"], text.strip_accents_any_script) == ["Αθηνα", "и"]
 
 
 def test_text_pieces(spark):
