@@ -17,7 +17,8 @@ documents share sends a row for each strip to the task of its name. Names and bl
 together.
 
 Defined results: a null text has no words. A text shorter than a window keeps all. A null id keeps its text whole and
-gives nothing to others. Repeated rows (equal id and text) are one document: they are treated alike. Copies of a text
+gives nothing to others. Repeated rows (equal id and text) are treated alike. Different texts of one id are one document:
+they follow one another in the order of their hashes, and no window reaches from one into the next. Copies of a text
 under other ids lose all words if they have a window's length. An empty table gives no rows. Columns other than those
 named are ignored.
 """
@@ -31,9 +32,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quern.llm.shared import Stage, byte_words
+from quern.llm.shared import Stage, byte_words, native_words
 
 #: Levels of symbols; the reach of higher ones seldom fits in a window of 20 words.
 LEVELS = 2
@@ -186,7 +188,7 @@ def _strips(batch: pa.RecordBatch, window: int) -> Iterator[tuple[np.ndarray, np
         cuts = np.concatenate([[0], np.cumsum([len(h) for h in held])])
         return np.concatenate(held), cuts, np.array(ids, np.int64), np.array(places, np.int64)
 
-    for own, text in zip(batch.column(0), batch.column(1), strict=True):
+    for own, text, begin in zip(*batch.columns, strict=True):
         words = byte_words(text.as_py())
         if len(words) < window:
             continue
@@ -194,7 +196,7 @@ def _strips(batch: pa.RecordBatch, window: int) -> Iterator[tuple[np.ndarray, np
         for start in range(0, len(hashes) - window + 1, STRIP):
             held.append(hashes[start : start + STRIP + window - 1])
             ids.append(own.as_py())
-            places.append(start)
+            places.append(begin.as_py() + start)
             size += len(held[-1])
             if size >= STRIP:
                 yield out()
@@ -250,7 +252,7 @@ def _rows(name, block, own, start, count, window: int) -> pa.RecordBatch:
 
 
 def blocks(docs: DataFrame, window: int) -> DataFrame:
-    """The blocks of every text (id long, text), as ``_rows`` describes them."""
+    """The blocks of every text (id long, text, begin int), as ``_rows`` describes them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -338,10 +340,28 @@ def repeats(rows: DataFrame, window: int, route: str = "route") -> DataFrame:
     )
 
 
+def placed(docs: DataFrame, id_col: str, text_col: str, stage: Stage) -> DataFrame:
+    """(id, text, begin): where each text begins among the words of its id.
+
+    That is 0 unless an id has several different texts; these follow one another in the order of their hashes.
+    """
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    own = own.withColumn("__hash", F.xxhash64("text"))
+    hashes = own.filter("id IS NOT NULL").select("id", "__hash")
+    several = hashes.groupBy("id").agg(F.min("__hash").alias("a"), F.max("__hash").alias("b")).filter("a != b").select("id")
+    several = stage.keep(several)
+    if several.isEmpty():
+        return own.select("id", "text", F.lit(0).alias("begin"))
+    texts = own.join(several, "id").groupBy("id", "__hash").agg(F.max(F.size(native_words(F.col("text")))).alias("words"))
+    before = W.partitionBy("id").orderBy("__hash").rowsBetween(W.unboundedPreceding, -1)
+    begins = stage.keep(texts.select("id", "__hash", F.coalesce(F.sum("words").over(before), F.lit(0)).cast("int").alias("begin")))
+    return own.join(begins, ["id", "__hash"], "left").select("id", "text", F.coalesce("begin", F.lit(0)).alias("begin"))
+
+
 def _windows(docs: DataFrame, asked: DataFrame, window: int) -> DataFrame:
     """Each window from ``start`` to before ``stop`` of the first blocks asked for, as a block of its own."""
     listed = asked.groupBy("id").agg(F.collect_list(F.struct("name", "start", "stop")).alias("asked"))
-    joined = docs.join(listed.hint("shuffle_hash"), "id").select("id", "text", "asked")
+    joined = docs.join(listed, "id").select("id", "text", "begin", "asked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[np.ndarray, ...]] = []
@@ -354,15 +374,16 @@ def _windows(docs: DataFrame, asked: DataFrame, window: int) -> DataFrame:
             return _rows(_mix(name, block).view(np.int64), block, own, start, np.ones(len(name), np.int64), window)
 
         for batch in batches:
-            for own, text, want in zip(*batch.columns, strict=True):
-                words = byte_words(text.as_py())
+            for own, text, begin, want in zip(*batch.columns, strict=True):
+                words, begin = byte_words(text.as_py()), begin.as_py()
                 hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
                 name, start, stop = (c.to_numpy() for c in want.values.flatten())
-                start = start.astype(np.int64)
+                mine = (start >= begin) & (start < begin + len(words))
+                name, start, stop = name[mine], start[mine].astype(np.int64) - begin, stop[mine].astype(np.int64) - begin
                 count = stop - start
                 places = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
                 block = Contents(hashes).of(places, places + window).view(np.int64)
-                found.append((np.repeat(name, count), block, np.full(len(places), own.as_py()), places))
+                found.append((np.repeat(name, count), block, np.full(len(places), own.as_py()), places + begin))
                 size += len(places)
                 if size >= STRIP:
                     yield out()
@@ -374,9 +395,9 @@ def _windows(docs: DataFrame, asked: DataFrame, window: int) -> DataFrame:
     return joined.mapInArrow(run, BLOCKS)
 
 
-def repeated_spans(docs: DataFrame, id_col: str, text_col: str, window: int, stage: Stage) -> DataFrame:
-    """(id, spans): the words, as an array of (start, stop), that windows met earlier cover."""
-    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id IS NOT NULL")
+def repeated_spans(docs: DataFrame, window: int, stage: Stage) -> DataFrame:
+    """(id, spans) of ``placed`` texts: the words, as an array of (start, stop), that windows met earlier cover."""
+    own = docs.filter("id IS NOT NULL")
     first = stage.keep(repeats(blocks(own, window), window))
     second = stage.keep(repeats(_windows(own, first.filter("name IS NOT NULL"), window), window))
     spans = first.unionAll(second).filter("name IS NULL")
@@ -389,13 +410,13 @@ def kept_words(
 ) -> DataFrame:
     """(id, n_words, n_removed, kept): the text without words of windows that also start earlier.
 
-    Earlier is a smaller id, or the same text and an earlier place. ``make(words, keep)`` may return other columns
+    Earlier is a smaller id, or the same id and an earlier place. ``make(words, keep)`` may return other columns
     of ``schema``, given a text's words and which of them stay.
     """
     stage = Stage(docs.sparkSession)
-    spans = repeated_spans(docs, id_col, text_col, window, stage)
-    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    joined = own.join(spans.hint("shuffle_hash"), "id", "left").select("id", "text", "spans")
+    own = placed(docs, id_col, text_col, stage)
+    spans = repeated_spans(own, window, stage)
+    joined = own.join(spans, "id", "left").select("id", "text", "spans", "begin")
     fields = [f.strip().split()[0] for f in schema.split(", ")]
 
     def plain(words: list[bytes], keep: np.ndarray):
@@ -407,11 +428,12 @@ def kept_words(
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, rows = batch.slice(at, 256), []
-                for text, found in zip(part.column(1), part.column(2), strict=True):
+                for text, found, begin in zip(*part.columns[1:], strict=True):
                     words = byte_words(text.as_py())
                     keep = np.ones(len(words), bool)
                     if found.is_valid:
-                        start, stop = (c.to_numpy() for c in found.values.flatten())
+                        # Spans of another text of this id end up empty.
+                        start, stop = (np.clip(c.to_numpy() - begin.as_py(), 0, len(words)) for c in found.values.flatten())
                         edges = np.zeros(len(words) + 1, np.int64)
                         np.add.at(edges, start, 1)
                         np.add.at(edges, stop, -1)

@@ -92,6 +92,25 @@ def test_repeated_windows(awkward, clashing, empty):
     assert recompress.digests(empty, 5).count() == 0
 
 
+def test_different_texts_of_one_id(docs_of):
+    """They are taken one after the other; what only follows from them together is no window."""
+    random = np.random.default_rng(6)
+    rows = [(int(i) % 9, " ".join(f"w{x}" for x in random.integers(0, 3, random.integers(0, 70)))) for i in range(45)]
+    rows += [(3, None), (3, ""), (4, rows[4][1]), (20, " ".join(f"u{k}" for k in range(50))), (20, " ".join(f"u{k}" for k in range(12)))]
+    docs = docs_of(*rows)
+    hashes = {(r[0], r[1]): r[2] for r in docs.selectExpr("doc_id", "text", "xxhash64(text)").collect()}
+    ordered = sorted(set(rows), key=lambda r: (r[0], hashes[r]))
+    seen, want = {}, {}
+    for place, (i, text) in enumerate(ordered):
+        words, gone = (text or "").split(), set()
+        for p in range(len(words) - 7):
+            if seen.setdefault(tuple(words[p : p + 8]), (place, p)) != (place, p):
+                gone |= set(range(p, p + 8))
+        want[i, text] = (len(words), len(gone), " ".join(w for p, w in enumerate(words) if p not in gone))
+    got = recompress.kept_words(docs, 8).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(i, *want[i, t]) for i, t in rows], key=str)
+
+
 @pytest.mark.parametrize("strip", [40, 200_000])
 def test_windows_of_few_words(docs_of, monkeypatch, strip):
     """Texts of two or three words: runs, periods and everything shared."""
