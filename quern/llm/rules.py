@@ -24,6 +24,8 @@ from quern.llm.shared import Stage, native_words
 
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
+#: Words of a stretch whose distinct words are counted, so that their share does not fall with the length of a text.
+STRETCH = 500
 #: A word of letters (joined by an apostrophe or hyphen at most) or digits, with at most two marks behind it.
 PLAIN_WORD = r"(?<![^\x20\x09-\x0D])(?:\p{L}++(?:['’-]\p{L}++)*+|[0-9]++)[.,;:!?)]?[.,;:!?)\"']?(?![^\x20\x09-\x0D])"
 
@@ -47,7 +49,10 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.regexp_count("_text", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
         F.regexp_count("_text", F.lit(r"\p{L}")).cast("long").alias("n_letters"),
         F.regexp_count("_text", F.lit(PLAIN_WORD)).cast("long").alias("n_plain"),
-        F.size(F.array_distinct("_words")).cast("long").alias("n_distinct"),
+        F.expr(
+            f"""CAST(aggregate(sequence(0, CAST((n_words - 1) div {STRETCH} AS INT)), 0,
+            (n, k) -> n + size(array_distinct(slice(_words, {STRETCH} * k + 1, {STRETCH})))) AS BIGINT)"""
+        ).alias("n_distinct"),
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         "_windows",
@@ -83,7 +88,7 @@ def rules() -> dict[str, Column]:
         "dup_lines": vote(some & (F.col("n_dup_lines") == 0), 10 * F.col("n_dup_lines") > 3 * F.col("n_lines")),
         "repeats": vote(some & (50 * F.col("n_repeat_words") <= words), 10 * F.col("n_repeat_words") > words),
         "capitals": vote(some & (5 * F.col("n_upper") <= chars), 2 * F.col("n_upper") > chars),
-        "variety": vote(some & (10 * F.col("n_distinct") >= 4 * words), (words < 2000) & (5 * F.col("n_distinct") < words)),
+        "variety": vote(some & (10 * F.col("n_distinct") >= 4 * words), 5 * F.col("n_distinct") < words),
         "line_length": vote(some & (words >= 5 * F.col("n_lines")), words < 2 * F.col("n_lines")),
     }
 

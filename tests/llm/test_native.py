@@ -211,3 +211,11 @@ def test_pseudonyms_of_awkward_rows(awkward, clashing, empty):
         out = pii.pseudonymised(docs, "key")
         assert out.columns == docs.columns and out.count() == docs.count()
     assert pii.pseudonymised(empty, "key").count() == 0
+
+
+def test_variety_does_not_depend_on_length(docs_of):
+    """The same junk of few distinct words is voted bad at any length, and a varied text good."""
+    junk = [(n, " ".join(f"junk{k % 30}" for k in range(n))) for n in (499, 1999, 2000, 2001, 9000)]
+    varied = [(100_000 + n, " ".join(f"word{k}" for k in range(n))) for n in (600, 5000)]
+    found = {r.id: r.variety for r in rules.judged(docs_of(*junk, *varied)).collect()}
+    assert {found[i] for i, _ in junk} == {-1} and {found[i] for i, _ in varied} == {1}
