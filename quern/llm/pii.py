@@ -2,14 +2,18 @@
 
 Texts are cut into stretches that no candidate crosses. In a stretch every place is tried for every shape, and each
 candidate is validated by its kind: check digits of card and bank account numbers, ranges of addresses and social
-security numbers, real days of dates. Of valid candidates that overlap, exact shapes come before loose ones, then the
-first in the text, so a candidate that fails hides nothing inside it. A validated value is permuted within its format by
-a keyed Feistel network, so that equal values get equal pseudonyms in every document, different values different ones,
-and whoever has the key can undo it. Numbers and dates are permuted as whole numbers of the format's range (two parts
-of a times b, each moved by a keyed hash of the other); e-mail names, phone numbers, account numbers and secrets as
-character strings whose halves shift each other within digits, small and capital letters. Check digits are made anew.
-Where a pseudonym makes, by chance, other candidates of its stretch valid, so that the way back would choose those, the
-stretch is permuted again until the same ones are chosen; only there a pseudonym depends on the words around it.
+security numbers, real days of dates. Of valid candidates that overlap, those before phone numbers, then the first in
+the text, so a candidate that fails hides nothing inside it. A validated value is permuted within its format by a keyed
+Feistel network, so that equal values get equal pseudonyms in every document, different values different ones, and
+whoever has the key can undo it. Numbers and dates are permuted as whole numbers of the format's range (two parts of a
+times b, each moved by a keyed hash of the other); e-mail names, phone numbers, account numbers and secrets as character
+strings whose halves shift each other within digits, small and capital letters.
+
+A pseudonym depends on nothing but its value, and yet the way back finds the same values, because no permutation can
+make or unmake another candidate: characters keep their class, groups of four digits in cards and phone numbers keep
+their part of the check sum, so that every row of four such groups is as valid as before, and no phone number reaches
+into the shape of another kind. There is one exception. What lies in an account number that fails its check may make it
+valid, one time in 97; only there the stretch is permuted again.
 
 Everything is a column expression. Texts without a candidate pass through as they are.
 
@@ -38,33 +42,43 @@ def _ibans() -> str:
         groups, rest = divmod(int(size) - 4, 4)
         apart = f"(?: [0-9A-Z]{{4}}){{{groups}}}" + (f" [0-9A-Z]{{{rest}}}" if rest else "")
         shapes.append(f"(?:{'|'.join(x[:2] for x in IBANS if x[2:] == size)})[0-9]{{2}}(?:[0-9A-Z]{{{int(size) - 4}}}|{apart})")
-    return f"(?<![0-9A-Za-z])(?:{'|'.join(shapes)})(?![0-9A-Za-z])"
+    return f"(?<![0-9A-Za-z])(?:{'|'.join(shapes)})(?![0-9A-Za-z]|[.][0-9]){NO_NAME}"
 
 
-#: The kinds and their shapes, in order of precedence. Exact shapes come before loose ones.
+#: What follows isn't the rest of the name of a mail address.
+NO_NAME = "(?![A-Za-z0-9._%+-]{0,64}@)"
+_DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])"
+_SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
+_SIX = r"[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}(?![0-9])"
+_IP = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
+
+#: The kinds and their shapes, in order of precedence. Phone numbers have no check and come last.
 EXACT = [
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}"),
     ("secret", r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])"),
-    ("date", r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])"),
+    ("date", rf"(?<![0-9+./-]){_DATE}{NO_NAME}"),
     ("iban", _ibans()),
-    ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"),
-    ("ip", r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"),
-    ("card", r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{4}-[0-9]{6}-[0-9]{5})(?![0-9])"),
+    ("ssn", rf"(?<![0-9+-]){_SSN}"),
+    ("ip", rf"(?<![0-9+.]){_IP}"),
+    ("card", rf"(?<![0-9+])(?:[0-9]{{13,19}}|[0-9]{{4}}(?:[ -][0-9]{{4}}){{3}}|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{4,5}})(?![0-9]|-[0-9]{{2}}-[0-9]{{2}}(?![0-9])){NO_NAME}"),
 ]
+#: What parts the groups of a phone number, if no other shape starts behind it.
+_NEXT = rf"[ ./-](?!{_DATE}|{_SSN}|{_IP}|{_SIX})"
 LOOSE = [
-    ("phone", r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])"),
+    # Ten digits parted by blanks between other numbers are in a table of numbers.
+    ("phone", rf"(?<![0-9+])(?!(?<=[0-9] )[0-9]{{3}} [0-9]{{3}} [0-9]{{4}} [0-9])(?:\([0-9]{{3}}\) ?|[0-9]{{3}}[ .-])[0-9]{{3}}[ .-](?!{_SIX})[0-9]{{4}}(?![0-9]|[.-][0-9]){NO_NAME}"),
     # A sign, a country code and up to six groups: the longest that no exact shape lies across.
-    *[("phone", rf"(?<![0-9A-Za-z+])\+[1-9][0-9]{{0,2}}(?:[ .-]?\([0-9]{{1,4}}\))?[ ./-]?[0-9]++(?:[ ./-][0-9]{{2,}}+){{{n}}}") for n in range(5, -1, -1)],
-    ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"),
-    ("card", r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"),
+    *[("phone", rf"(?<![0-9A-Za-z+])\+[1-9][0-9]{{0,2}}(?:[ .-]?\([0-9]{{1,4}}\))?(?:{_NEXT})?[0-9]++(?:{_NEXT}[0-9]{{2,}}+){{{n}}}{NO_NAME}") for n in range(5, -1, -1)],
 ]
 KINDS = ["email", "secret", "date", "iban", "phone", "ssn", "ip", "card"]
 ANY = "|".join(shape for _, shape in EXACT + LOOSE)
 #: Characters of candidates. A space beside a small letter is in none. What ends a stretch is in no look around a shape.
 PART = r"(?:[A-Za-z0-9@._%+/()-]|(?<![a-z]) (?![a-z]))"
 STRETCH = rf"(?<![A-Za-z0-9@._%+/()-])(?<!(?<![a-z]) (?![a-z]))(?:(?!{ANY}){PART})*+(?={ANY}){PART}++"
-#: How often a stretch is permuted again at most. One time in ten, by card check digits, another candidate is valid by chance.
+#: How often a stretch is permuted again at most. One time in 97 an account number around a value is valid by chance.
 TRIES = 32
+#: A group of four digits, without its last one.
+FOURTH = "(?<![0-9])([0-9]{3})[0-9](?![0-9])"
 CHOSEN = "array<struct<at: int, rank: int, kind: string, value: string>>"
 PAIRS = "array<struct<kind: string, value: string, pseudonym: string>>"
 
@@ -180,8 +194,7 @@ def _moved(kind: str, m: str, key: str, back: bool) -> str:
     if kind == "email":
         return f"concat({feistel_text(f"substring_index({m}, '@', 1)", key, kind, back=back)}, '@', substring_index({m}, '@', -1))"
     if kind == "secret":
-        small = feistel_text(m, key, kind, ("0123456789abcdef",), back)
-        return f"IF({m} rlike '[A-F]', {feistel_text(m, key, kind, ('0123456789ABCDEF',), back)}, {small})"
+        return feistel_text(m, key, kind, (DIGITS, "abcdef", "ABCDEF"), back)
     if kind == "date":
         once = feistel(f"CAST({_day(m)} AS BIGINT)", f"{DAYS_A}L", f"{DAYS_B}L", key, kind, back)
         day_first = f"substr({m}, 3, 1) = '/' AND {_month_first(m)} IS NULL"
@@ -201,7 +214,13 @@ def _moved(kind: str, m: str, key: str, back: bool) -> str:
         whole = f"concat(substr({bare}, 1, 2), {check}, y)"
         return f"element_at(transform(array({body}), y -> {refilled(m, whole)}), 1)"
     if kind == "phone":
-        return f"concat(regexp_extract({m}, '^([+][0-9]{{1,3}}[ .-]?)?', 0), {feistel_text(f"regexp_replace({m}, '^[+][0-9]{{1,3}}[ .-]?', '')", key, kind, (DIGITS,), back)})"
+        code = f"regexp_extract({m}, '^([+][0-9]{{1,3}}[ .-]?)?', 0)"
+        rest = f"substr({m}, 1 + length({code}))"
+        body = feistel_text(f"regexp_replace({rest}, {_text(FOURTH)}, '$1')", key, kind, (DIGITS,), back)
+        pieces = "regexp_extract_all({}, '[0-9]+|[^0-9]+', 0)"
+        # The fourth digit of a group of four is the one that leaves its part of a check sum as it is.
+        four = f"IF(a rlike '^[0-9]{{4}}$', {_checked('b', 'a')}, b)"
+        return f"concat({code}, array_join(zip_with({pieces.format(rest)}, {pieces.format(body)}, (a, b) -> {four}), ''))"
     if kind == "ssn":
         area = f"(CAST(substr({m}, 1, 3) AS BIGINT) - 1 - IF(substr({m}, 1, 3) > '666', 1, 0))"
         number = f"(({area} * 99 + CAST(substr({m}, 5, 2) AS BIGINT) - 1) * {SSN_B} + CAST(substr({m}, 8, 4) AS BIGINT) - 1)"
@@ -213,13 +232,42 @@ def _moved(kind: str, m: str, key: str, back: bool) -> str:
         number = f"aggregate(split({m}, '[.]'), 0L, (n, o) -> n * 256 + CAST(o AS INT))"
         whole = "concat_ws('.', CAST(y div 16777216 AS STRING), CAST(y div 65536 % 256 AS STRING), CAST(y div 256 % 256 AS STRING), CAST(y % 256 AS STRING))"
         return f"element_at(transform(array({feistel(number, '65536L', '65536L', key, kind, back)}), y -> {whole}), 1)"
-    digits = _digits(m)
-    size = f"(length({digits}) - 1)"
-    low = f"CAST(pow(10, {size} - {size} div 2) AS BIGINT)"
-    high = f"CAST(pow(10, {size} div 2) AS BIGINT)"
-    body = f"lpad(CAST({feistel(f'CAST(substr({digits}, 1, {size}) AS BIGINT)', high, low, key, 'card', back)} AS STRING), {size}, '0')"
-    check = f"CAST((10 - {luhn(f'concat(y, {_text("0")})')}) % 10 AS STRING)"
-    return f"element_at(transform(array({body}), y -> {refilled(m, f'concat(y, {check})')}), 1)"
+    return _named(_digits(m), "d", _named(_moved_card("d", key, back), "y", refilled(m, "y")))
+
+
+def _checked(body: str, like: str) -> str:
+    """SQL: ``body`` and the last digit that gives it the check sum of ``like``."""
+    rest = f"concat({body}, '0')"
+    return f"concat({body}, CAST(pmod({luhn(like)} - {luhn(rest)}, 10) AS STRING))"
+
+
+def _number(x: str, size: int, key: str, back: bool) -> str:
+    """SQL: digits permuted among all texts of ``size`` digits."""
+    high, low = 10 ** (size // 2), 10 ** (size - size // 2)
+    return f"lpad(CAST({feistel(f'CAST({x} AS BIGINT)', f'{high}L', f'{low}L', key, f'card{size}', back)} AS STRING), {size}, '0')"
+
+
+def _moved_card(d: str, key: str, back: bool) -> str:
+    """SQL: the digits of a card number permuted.
+
+    Numbers that are written in groups of four or six keep the check sum of each group, those of 15 digits the first
+    group; so a group counts the same in all cards that it may be read as a part of.
+    """
+    cases = []
+    for groups in ([4, 4, 4, 4], [4, 6, 4]):
+        at, taken, bodies, parts = 1, 1, [], []
+        for size in groups:
+            bodies.append(f"substr({d}, {at}, {size - 1})")
+            parts.append(_checked(f"substr(u, {taken}, {size - 1})", f"substr({d}, {at}, {size})"))
+            at, taken = at + size, taken + size - 1
+        made = _number(f"concat({', '.join(bodies)})", taken - 1, key, back)
+        cases.append(f"WHEN {sum(groups)} THEN {_named(made, 'u', f'concat({", ".join(parts)})')}")
+    made = _number(f"substr({d}, 5, 10)", 10, key, back)
+    cases.append(f"WHEN 15 THEN {_named(made, 'u', _checked(f'concat(substr({d}, 1, 4), u)', d))}")
+    for size in (13, 17, 18, 19):
+        made = _number(f"substr({d}, 1, {size - 1})", size - 1, key, back)
+        cases.append(f"WHEN {size} THEN {_named(made, 'u', _checked('u', d))}")
+    return f"CASE length({d}) {' '.join(cases)} END"
 
 
 def _named(value: str, name: str, body: str) -> str:
@@ -275,7 +323,8 @@ def _hidden(c: str, key: str, back: bool) -> str:
     expected = "zip_with(f, w.made, (d, v) -> named_struct('kind', d.kind, 'value', v))"
     seen = f"transform({_chosen('g')}, d -> named_struct('kind', d.kind, 'value', d.value))"
     again = f"IF({_named(_with(c, 'f', 'w.made'), 'g', seen)} = {expected}, named_struct('made', w.made, 'done', true), named_struct('made', {_permuted('f', 'w.made', key, back)}, 'done', false))"
-    start = f"named_struct('made', {_permuted('f', 'f.value', key, back)}, 'done', false)"
+    # Only an account number that fails its check can become valid by what is in it; other candidates stay as they are.
+    start = f"named_struct('made', {_permuted('f', 'f.value', key, back)}, 'done', NOT {c} rlike {_text(_ibans())})"
     walked = f"aggregate(sequence(1, {TRIES}), {start}, (w, t) -> IF(w.done, w, {again}), w -> w.made)"
     pairs = "zip_with(f, h, (d, v) -> named_struct('kind', d.kind, 'value', d.value, 'pseudonym', v))"
     nothing = f"named_struct('text', {c}, 'found', CAST(array() AS {PAIRS}))"

@@ -1,3 +1,4 @@
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -219,3 +220,43 @@ def test_variety_does_not_depend_on_length(docs_of):
     varied = [(100_000 + n, " ".join(f"word{k}" for k in range(n))) for n in (600, 5000)]
     found = {r.id: r.variety for r in rules.judged(docs_of(*junk, *varied)).collect()}
     assert {found[i] for i, _ in junk} == {-1} and {found[i] for i, _ in varied} == {1}
+
+
+def _table_of_numbers(seed: int, many: int, least: int, most: int) -> str:
+    draw = random.Random(seed)
+    return " ".join(str(draw.randrange(10 ** draw.randint(least, most))) for _ in range(many))
+
+
+def test_equal_values_have_one_pseudonym_among_any_numbers(spark):
+    """Neighbours, separators and places of a card don't matter, and the way back is exact."""
+    rows = []
+    for i in range(120):
+        least, most = [(1, 6), (4, 4), (3, 4), (6, 6)][i % 4]
+        before, after = _table_of_numbers(i, 30, least, most), _table_of_numbers(1000 + i, 30, least, most)
+        value = ["4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1111"][i % 3]
+        rows.append((i, f"{before} x {value} y {after} 212-555-0199 {before} +44 20 7946 0958 1234 5678"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hidden = pii.pseudonymised(docs, "key", found_col="found").cache()
+    assert sorted(pii.pseudonymised(hidden.drop("found"), "key", back=True).collect()) == rows
+    cards = hidden.select(F.explode("found").alias("x")).filter("x.kind = 'card' AND regexp_replace(x.value, '[^0-9]', '') = '4111111111111111'")
+    assert cards.count() >= 120
+    assert cards.select(F.regexp_replace("x.pseudonym", "[^0-9]", "")).distinct().count() == 1
+
+
+def test_runs_of_groups_keep_their_values(spark):
+    """Each value in rows of groups of four and six digits has one pseudonym, wherever the rows begin."""
+    draw = random.Random(5)
+    rows = [(i, " ".join(str(draw.randrange(10**9)).zfill(9)[:n] for n in draw.choices([4, 4, 4, 4, 6, 5, 3], k=40))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hidden = pii.pseudonymised(docs, "key", found_col="found").cache()
+    assert sorted(pii.pseudonymised(hidden.drop("found"), "key", back=True).collect()) == rows
+    pairs = hidden.select(F.explode("found").alias("x")).select("x.kind", "x.value", "x.pseudonym").distinct()
+    assert pairs.count() > 100 and pairs.groupBy("kind", "value").count().filter("count > 1").count() == 0
+
+
+def test_numbers_without_meaning_stay(spark):
+    """Fewer than one in a thousand plain numbers is taken for a value, also in one very long table of them."""
+    docs = spark.createDataFrame([(1, _table_of_numbers(7, 20_000, 1, 6))], "doc_id long, text string")
+    hidden = pii.pseudonymised(docs, "key", found_col="found").cache()
+    assert hidden.selectExpr("size(found) AS n").first().n < 20
+    assert pii.pseudonymised(hidden.drop("found"), "key", back=True).collect() == docs.collect()
