@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog.registry import Tables, query, round_all
+from catalog.registry import Tables, plain, query, round_all
 from quern.frames import Splits
-from quern.operators import charts, encode, power, reduce, scale, split
+from quern.operators import charts, encode, indicators, power, reduce, scale, split
 from quern.plans.recipe import Recipe
 
 _SCALED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -351,6 +351,61 @@ def feature_selection(t: Tables) -> DataFrame:
     return reduce.select_best(t.sql(_MARKED), "l_returnflag", 2)
 
 
+_WIDE = """
+select l_orderkey, l_linenumber, p_name, cast(l_partkey as string) as l_partkey, l_quantity, l_returnflag
+from {lineitem}, {part} where l_partkey = p_partkey
+"""
+_WIDE_CELLS = (
+    f"w as ({plain(_WIDE)}), cells as (select 0 as place, p_name as category, l_returnflag as y from w union all "
+    "select 1, cast(l_partkey as varchar), l_returnflag from w), firsts as (select place, min(category) as first from "
+    "cells group by place)"
+)
+_WIDE_SCORES = f"""
+with {_WIDE_CELLS}, counts as (select place, category, y, count(*) as c from cells group by all),
+classes as (select l_returnflag as y, count(*) as s from w group by 1),
+sums as (select place, category, sum(c) as m, sum(cast(c as double) * c / s) as b from counts join classes using (y)
+  group by place, category),
+totals as (select count(*) as n, count(distinct l_returnflag) as k from w)
+select place, category, (b - m * m / n) / (k - 1) / ((m - b) / (n - k)) as f
+from sums join firsts using (place), totals where category <> first
+"""
+
+
+@query(f"select place, category, round(f, 4) as f from ({_WIDE_SCORES}) as x")
+def indicator_scores(t: Tables) -> DataFrame:
+    """Analysis of variance of an indicator for every name and every key of a part."""
+    return round_all(indicators.indicator_scores(t.sql(_WIDE), ["p_name", "l_partkey"], "l_returnflag"), ["f"], 4)
+
+
+@query(f"""
+with {_WIDE_CELLS}, known as (select place, category, row_number() over (order by place, category) - 1 as position
+  from (select distinct place, category from cells) join firsts using (place) where category <> first)
+select l_orderkey, l_linenumber, l_returnflag,
+  concat_ws(',', cast(a.position as varchar), cast(b.position as varchar)) as positions
+from w left join known as a on a.place = 0 and a.category = p_name
+left join known as b on b.place = 1 and b.category = cast(l_partkey as varchar)
+""")
+def sparse_one_hot(t: Tables) -> DataFrame:
+    """Each line's part by name and key as positions among all indicators."""
+    lines, _ = indicators.sparse_one_hot(t.sql(_WIDE).drop("l_quantity"), ["p_name", "l_partkey"])
+    positions = F.concat_ws(",", F.col("indicators.position").cast("array<string>"))
+    return lines.select("l_orderkey", "l_linenumber", "l_returnflag", positions.alias("positions"))
+
+
+
+@query(f"""
+with scores as ({_WIDE_SCORES}), best as (select place, category from scores order by f desc, place, category limit 3)
+select l_returnflag, sum((select count(*) from best where (place = 0 and category = p_name)
+  or (place = 1 and category = cast(l_partkey as varchar)))) as hits, count(*) as lines
+from ({plain(_WIDE)}) as w group by l_returnflag
+""")
+def feature_selection_wide(t: Tables) -> DataFrame:
+    """The three best of all indicators of names and keys of parts: how many lines of each class have them."""
+    best = reduce.select_best(t.sql(_WIDE).select("p_name", "l_partkey", "l_returnflag"), "l_returnflag", 3)
+    hits = sum((F.col(f"`{c}`") for c in best.columns[:-1]), F.lit(0.0))
+    return best.groupBy("l_returnflag").agg(F.sum(hits).cast("long").alias("hits"), F.count(F.lit(1)).alias("lines"))
+
+
 _BIN = "least(cast(floor((value - lo) / ((hi - lo) / 25)) as int), 24)"
 _EVENT_BINS = (
     f"select {_BIN} as bin, count(*) as count from events, (select min(value) as lo, max(value) as hi from events) as r "

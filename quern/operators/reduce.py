@@ -24,6 +24,7 @@ from quern.frames import (
     training,
 )
 from quern.operators.encode import short_list
+from quern.operators.indicators import indicator_scores
 from quern.operators.scale import SCALERS, Scaling, fit_standard, scaled
 
 ONE_PASS_TERMS = 400
@@ -193,11 +194,18 @@ def _f_of(df: DataFrame, values: dict[str, Column], target: str) -> dict[str, fl
     return result
 
 
+def _texts(df: DataFrame, names: list[str]) -> list[str]:
+    """The columns of categories among ``names``."""
+    found = set(string_columns(df)) | {f.name for f in df.schema if (f.metadata or {}).get(CATEGORY)}
+    return [c for c in names if c in found]
+
+
 def features(df: DataFrame, target: str, max_categories: int | None = None) -> dict[str, Column]:
     """Every column but the target as a number."""
-    texts = set(string_columns(df)) | {f.name for f in df.schema if (f.metadata or {}).get(CATEGORY)}
+    names = [c for c in df.columns if c != target]
+    texts = _texts(df, names)
     values: dict[str, Column] = {}
-    for name in (c for c in df.columns if c != target):
+    for name in names:
         if name not in texts:
             values[name] = F.col(name).cast("double")
             continue
@@ -210,8 +218,23 @@ def features(df: DataFrame, target: str, max_categories: int | None = None) -> d
 
 
 def select_best(df: DataFrame, target: str, k: int) -> DataFrame:
-    """The k features with the largest F statistic, in their original order, and the target."""
-    values = features(df, target)
-    scores = _f_of(df, values, target)
-    ranked = sorted(values, key=lambda c: (scores[c] is None, -(scores[c] or 0.0)))[:k]
-    return df.select(*[values[c].alias(c) for c in values if c in ranked], target)
+    """The k features with the largest F statistic, in their original order, and the target.
+
+    Text columns enter as indicators of each category but the first. Their statistics are a table, of which only the k
+    best are brought to the driver, so a column may have any number of categories.
+    """
+    names = [c for c in df.columns if c != target]
+    texts = _texts(df, names)
+    values = {c: F.col(c).cast("double") for c in names if c not in texts}
+    scores = _f_of(df, values, target) if values else {}
+    # What is compared: undefined last, the largest first, then columns and categories in their order.
+    ranked = [(scores[c] is None, -(scores[c] or 0.0), names.index(c), "", c, values[c]) for c in values]
+    if texts:
+        listed = indicator_scores(df, texts, target).orderBy(F.desc_nulls_last("f"), "place", "category").limit(k)
+        for row in listed.collect():
+            column, category = texts[row["place"]], row["category"]
+            value = F.when(F.col(column) == category, 1.0).otherwise(0.0)
+            place = (names.index(column), category, f"{column}_{category}", value)
+            ranked.append((row["f"] is None, -(row["f"] or 0.0), *place))
+    best = sorted(ranked, key=lambda x: x[:4])[:k]
+    return df.select(*[value.alias(name) for *_, name, value in sorted(best, key=lambda x: x[2:4])], target)
