@@ -246,16 +246,24 @@ def strip_accents_any_script(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", plain_text.alias("plain"))
 
 
+# Letters and the signs they are written as: marked, wide and raised ones, ligatures and a fraction; other scripts, with
+# what is left of them.
+_LATIN = ("aceinouxyACEIMNOUZWqQK", "áçéîñöůｘÿÀÇÉÎḾÑÕÜÅºﬁĳ½")
+_OTHER = ("aeoykz", "άέόήйﾊ", "αεοηиハ")
+
+
 @query(
-    "select doc_id, replace(replace(translate(lower(regexp_replace(text, '[^A-Za-z ]', '', 'g')), 'q', '_'), '_', 'fi'), "
-    "'w', '2a') as latin from documents"
+    "select doc_id, strip_accents(replace(replace(replace(replace(translate(text, 'WZ', 'oA'), 'w', '2a'), 'q', 'fi'), "
+    f"'Q', 'ij'), 'K', '1⁄2')) as latin, strip_accents(translate(text, '{_OTHER[0]}', '{_OTHER[2]}')) as any from documents"
 )
 def strip_accents_whole_text(t: Tables) -> DataFrame:
-    """Whole results, over whole texts whose letters are written with marks, ligatures, ordinals and indices first."""
-    letters = F.lower(F.regexp_replace("text", "[^A-Za-z ]", ""))
-    marked = F.translate(letters, "aceinouxq", "áçéîñöůｘﬁ")
-    marked = F.replace(marked, F.lit("w"), F.lit("²ª"))
-    return t.documents.select("doc_id", text.strip_accents(marked).alias("latin"))
+    """Every sign of the whole texts, whose letters are written with marks first: Latin ones, and those of other scripts."""
+    latin = F.replace(F.translate("text", *_LATIN), F.lit("w"), F.lit("²ª"))
+    return t.documents.select(
+        "doc_id",
+        text.strip_accents(latin).alias("latin"),
+        text.strip_accents_any_script(F.translate("text", *_OTHER[:2])).alias("any"),
+    )
 
 
 @query(
