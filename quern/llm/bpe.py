@@ -3,7 +3,8 @@
 A sequence of tokens is what the merges make of their bytes exactly if each two neighbours are what the merges make of
 those two. So every prefix of a piece has one last token only: the token that ends there, whose remaining prefix ends
 in a token it is valid after. These last tokens are all that is stored. Reading them backwards gives the encoding,
-appending bytes only adds to them, and after an edit only those from the edit on are found anew.
+appending bytes only adds to them, and after an edit only those from the edit on are found anew. Short pieces share one
+table of them, which gets only the prefixes that the last token of a piece depends on.
 
 Defined results: a null text encodes like an empty one, to no tokens. Extra columns are ignored; repeated rows and a
 null id keep their rows; an empty table gives no rows.
@@ -54,6 +55,7 @@ class Vocabulary:
                 own = lengths.setdefault(token[-3:], {1} | ({2} if token[-2:] in self._made else set()))
                 own.add(len(token))
         self._lengths = {end: tuple(sorted(own)) for end, own in lengths.items()}
+        self._longest_first = {end: own[::-1] for end, own in self._lengths.items()}
 
     def last_merge(self, token: bytes) -> tuple[bytes, bytes] | None:
         """The two parts of which the merges make a token last; None if they don't make it of its own bytes."""
@@ -120,6 +122,27 @@ class Vocabulary:
                 return token
         raise ValueError("the vocabulary lacks a byte of the text")
 
+    def last_token_by_need(self, piece: bytes, last: dict[bytes, bytes]) -> bytes:
+        """The last token of ``piece``, longest candidates first; ``last`` gets it and those of the prefixes it takes."""
+        made, known, size = self._made, self._follows, len(piece)
+        for length in self._longest_first.get(piece[-3:], (2, 1)) if size > 2 else (2, 1):
+            if length > size:
+                continue
+            token = piece[size - length :]
+            if token not in made:
+                continue
+            if length == size:
+                break
+            before = piece[: size - length]
+            first = last.get(before) or self.last_token_by_need(before, last)
+            follows = known.get((first, token))
+            if follows or follows is None and self.follows(first, token):
+                break
+        else:
+            raise ValueError("the vocabulary lacks a byte of the text")
+        last[piece] = token
+        return token
+
     def last_lengths(self, piece: bytes, lengths: list[int]) -> list[int]:
         """Go on with ``lengths``, the length of the last token of each prefix of ``piece`` known so far."""
 
@@ -200,14 +223,9 @@ class Encoder:
             return vocabulary.walk(piece, vocabulary.last_lengths(piece, []))
         if len(last) > PREFIXES:
             last.clear()
-        known = len(piece)
-        while known and piece[:known] not in last:
-            known -= 1
-        for end in range(known + 1, len(piece) + 1):
-            last[piece[:end]] = vocabulary.last_token(piece, end, lambda n: last[piece[:n]])
         out, rest = [], piece
         while rest:
-            token = last[rest]
+            token = last.get(rest) or vocabulary.last_token_by_need(rest, last)
             out.append(ranks[token])
             rest = rest[: -len(token)]
         return out[::-1]
