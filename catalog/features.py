@@ -9,6 +9,7 @@ from catalog.registry import Tables, plain, query, round_all
 from quern.frames import Splits
 from quern.operators import charts, encode, indicators, power, reduce, scale, split
 from quern.plans.recipe import Recipe
+from quern.staging import staged
 
 _SCALED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _LINES = ["l_shipdate", *_SCALED]
@@ -101,10 +102,12 @@ def encode_one_hot(t: Tables) -> DataFrame:
 )
 def encode_one_hot_per_row(t: Tables) -> DataFrame:
     """As many categories as rows: each indicator is one in one row. All indicators of a row are added up."""
-    suppliers = t.supplier.select("s_suppkey", "s_name")
+    # A short file is one task, but each of its rows has as many values as there are rows.
+    spread = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    suppliers = t.supplier.select("s_suppkey", "s_name").repartition(spread, "s_suppkey")
     encoded = encode.one_hot_encode(suppliers, ["s_name"])
-    ones = encoded.select("s_suppkey", F.aggregate(F.array(*encoded.columns[1:]), F.lit(0.0), lambda n, x: n + x).alias("one"))
-    kept = ones.filter("one > 0")
+    ones = encoded.selectExpr("s_suppkey", "aggregate(array(* except (s_suppkey)), 0D, (n, x) -> n + x) as one")
+    kept = staged(ones).filter("one > 0")  # the filter moved below the sum would be a second sum over all columns
     return kept.groupBy((F.col("s_suppkey") % 10).alias("part")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col("one") * F.col("s_suppkey")).alias("ones")
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -28,18 +27,16 @@ def short_list(df: DataFrame, category: Column, limit: int | None) -> list[str]
     return sorted(row["c"] for row in rows) if limit is None or len(rows) <= limit else None
 
 
-def position(category: Column, listed: list[str]) -> Column:
-    """The place of each row's category in a list, NULL if it is not there: one lookup for any number of them."""
-    pairs = F.from_json(F.lit(json.dumps({c: i for i, c in enumerate(listed)})), "map<string,int>")
-    return F.try_element_at(pairs, category)
-
-
 def category_codes(df: DataFrame, column: str, short: int = SHORT_LIST) -> DataFrame:
     """Table (category, code) with codes 0..k-1 in the order of the categories."""
     listed = short_list(df, _text(column), short)
     if listed is None:
         distinct = df.select(_text(column).alias("__category")).distinct()
         return global_index(distinct, ["__category"], "__code", start=0)
+    return _listed_codes(df, listed)
+
+
+def _listed_codes(df: DataFrame, listed: list[str]) -> DataFrame:
     rows = list(enumerate(listed))
     table = df.sparkSession.createDataFrame(rows, "__code bigint, __category string")
     return F.broadcast(table.select("__category", "__code"))
@@ -81,19 +78,33 @@ def one_hot_encode(data: Data, columns: Iterable[str], max_categories: int | Non
     """One column per training category but the first; an unknown category has zero in all of them.
 
     The new columns follow the remaining ones. Every category is a column of the result; ``max_categories`` refuses
-    columns with more of them.
+    columns with more of them. A row's place among the categories is joined, so the plan has only a comparison with a
+    number for each column; a list in the plan would be copied for each of them when a filter on them is moved down.
     """
     names = list(columns)
-    indicators: dict[str, Column] = {}
-    places: dict[str, Column] = {}
+    indicators: dict[str, str] = {}
+    places: dict[str, DataFrame] = {}
     for i, column in enumerate(names):
         listed = short_list(training(data), _text(column), max_categories)
         if listed is None:
             raise ValueError(f"{column} has more than {max_categories} categories")
-        places[f"__place{i}"] = position(_text(column), listed)
+        places[column] = _listed_codes(training(data), listed).withColumnRenamed("__code", f"__place{i}")
         for k, category in enumerate(listed[1:], 1):
-            indicators[f"{column}_{category}"] = F.when(F.col(f"__place{i}") == k, 1.0).otherwise(0.0)
-    return apply_to(data, lambda df: df.withColumns(places).withColumns(indicators).drop(*names, *places))
+            indicators[f"{column}_{category}"] = f"double(__place{i} <=> {k}L)"
+
+    def widened(df: DataFrame) -> DataFrame:
+        chosen = dict.fromkeys(c for c in df.columns if c not in names) | indicators
+        for column, codes in places.items():
+            df = _with_codes(df, column, codes)
+        if any("${" in c for c in chosen):  # in a parsed text, ${x} would be replaced by a setting
+            return df.select(*[F.expr(value).alias(c) if value else F.col(_quoted(c)) for c, value in chosen.items()])
+        return df.selectExpr(*[f"{value} as {_quoted(c)}" if value else _quoted(c) for c, value in chosen.items()])
+
+    return apply_to(data, widened)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def category_means(df: DataFrame, column: str, target: str, smoothing: float = 0.0) -> DataFrame:

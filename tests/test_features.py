@@ -57,6 +57,29 @@ def test_one_hot(parts, frame):
         encode.one_hot_encode(frame, ["cat_hi"], max_categories=100)
 
 
+def test_one_hot_of_many_categories(spark):
+    """The plan has no list of categories: a filter moved below the columns took a copy of it for each of them."""
+    rows = spark.range(300).selectExpr("id", "concat('k', id) AS c")
+    got = encode.one_hot_encode(rows, ["c"])
+    assert len(got.columns) == 300
+    summed = got.select("id", F.aggregate(F.array(*got.columns[1:]), F.lit(0.0), lambda n, x: n + x).alias("one"))
+    summed = summed.filter("one > 0")
+    assert "k298,k299" not in summed._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(values(summed, "id", "one")) == [(i, 1.0) for i in range(1, 300)]
+
+
+def test_one_hot_names_are_kept(spark):
+    """Categories are names of columns as they are, whatever they mean in SQL."""
+    odd = ["a", "b`c", "d.e", "f g", "h'i", "${spark.app.name}", "l\nm", "\\n", "n--", "nan"]
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate([*odd, None])], "`i.d` long, c string")
+    for chosen in (rows, rows.filter("coalesce(c, '') not like '$%'")):
+        listed = sorted({r.c or "nan" for r in chosen.collect()})
+        got = encode.one_hot_encode(chosen, ["c"])
+        assert got.columns == ["i.d", *(f"c_{c}" for c in listed[1:])]
+        ones = {r["i.d"]: [c for c, x in r.asDict().items() if c != "i.d" and x] for r in got.collect()}
+        assert ones == {r["i.d"]: [f"c_{r.c or 'nan'}"] if (r.c or "nan") != listed[0] else [] for r in chosen.collect()}
+
+
 @pytest.mark.parametrize("short", [100, 1])
 def test_target_encoding(parts, short):
     got = encode.target_encode(parts, ["c"], "y", short=short)
