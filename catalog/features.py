@@ -9,7 +9,7 @@ from catalog.registry import Tables, plain, query, round_all
 from quern.frames import Splits
 from quern.operators import charts, encode, indicators, power, reduce, scale, split
 from quern.plans.recipe import Recipe
-from quern.staging import staged
+from quern.staging import discard, staged
 
 _SCALED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _LINES = ["l_shipdate", *_SCALED]
@@ -96,18 +96,37 @@ def encode_one_hot(t: Tables) -> DataFrame:
     return encode.one_hot_encode(t.part.select("p_partkey", "p_size", "p_type"), ["p_type"])
 
 
+def _added(df: DataFrame, total: str, keep: int) -> DataFrame:
+    """The first ``keep`` columns, with all others added to ``total``, which is one of them."""
+    kept, terms = df.columns[:keep], [f"__{i}" for i in range(len(df.columns) - keep)]
+    # As they stand, sum and columns would become one expression, whose code is too long for a method. No steps are
+    # merged over a coalesce, and this one leaves the partitions as they are. Short names keep the plan's text short.
+    df = df.toDF(*kept, *terms).coalesce(100_000)
+    while len(terms) > 1:  # sums of sums, since one chain would be as deep as it is long
+        sums = [" + ".join(terms[i : i + 32]) for i in range(0, len(terms), 32)]
+        terms = [f"__{i}" for i in range(len(sums))]
+        df = df.selectExpr(*kept, *[f"{of} as {name}" for of, name in zip(sums, terms)])
+    return df.selectExpr(*[f"{total} + {terms[0]} as {total}" if c == total else c for c in kept])
+
+
 @query(
     "select s_suppkey % 10 as part, count(*) as rows, sum(s_suppkey)::double as ones from supplier where s_suppkey > "
     "(select min(s_suppkey) from supplier) and s_name <> (select min(s_name) from supplier) group by 1"
 )
 def encode_one_hot_per_row(t: Tables) -> DataFrame:
-    """As many categories as rows: each indicator is one in one row. All indicators of a row are added up."""
+    """As many categories as rows: each indicator is one in one row. All indicators of a row are added up.
+
+    They are made a block of categories at a time, each block is added to the sums of the rows, and these are written,
+    so neither the driver nor a task holds the columns of more than a block.
+    """
     # A short file is one task, but each of its rows has as many values as there are rows.
     spread = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    suppliers = t.supplier.select("s_suppkey", "s_name").repartition(spread, "s_suppkey")
-    encoded = encode.one_hot_encode(suppliers, ["s_name"])
-    ones = encoded.selectExpr("s_suppkey", "aggregate(array(* except (s_suppkey)), 0D, (n, x) -> n + x) as one")
-    kept = staged(ones).filter("one > 0")  # the filter moved below the sum would be a second sum over all columns
+    rows = staged(t.supplier.selectExpr("s_suppkey", "s_name as name", "0D as one").repartition(spread, "s_suppkey"))
+    for listed in encode.category_blocks(rows, "name"):
+        encoded = encode.one_hot_encode(rows.withColumn("s_name", F.col("name")), ["s_name"], only={"s_name": listed})
+        before, rows = rows, staged(_added(encoded, "one", len(rows.columns)))
+        discard(before)
+    kept = rows.filter("one > 0")
     return kept.groupBy((F.col("s_suppkey") % 10).alias("part")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col("one") * F.col("s_suppkey")).alias("ones")
     )

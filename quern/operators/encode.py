@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.frames import Data, Splits, apply_to, number, string_columns, training
 from quern.operators.ordering import global_index
-from quern.staging import checkpointed
+from quern.staging import checkpointed, discard
 
 # A list of categories up to this length is sorted on the driver and sent to every task.
 SHORT_LIST = 10_000
+# Indicators in a plan where all of them are made a block at a time.
+BLOCK = 500
 
 
 def _text(column: str) -> Column:
@@ -74,22 +76,47 @@ def _replaced(df: DataFrame, column: str, codes: DataFrame, order: list[str], va
     return _with_codes(df, column, codes).withColumn(column, value).select(*order)
 
 
-def one_hot_encode(data: Data, columns: Iterable[str], max_categories: int | None = None) -> Data:
+def category_blocks(data: Data, column: str, width: int = BLOCK) -> Iterator[list[str]]:
+    """Every training category but the first, in order, in lists of ``width`` at most, for ``only`` of ``one_hot_encode``.
+
+    The driver holds a bounded number of them at a time; the others stay in a distributed table.
+    """
+    distinct = training(data).select(_text(column).alias("__category")).distinct()
+    codes = global_index(distinct, ["__category"], "__code", start=0)
+    step = width * max(1, SHORT_LIST // width)
+    for start in range(1, codes.count(), step):
+        rows = codes.filter(F.col("__code").between(start, start + step - 1)).collect()
+        listed = [category for _, category in sorted((row["__code"], row["__category"]) for row in rows)]
+        yield from (listed[i : i + width] for i in range(0, len(listed), width))
+    discard(codes)
+
+
+def one_hot_encode(
+    data: Data, columns: Iterable[str], max_categories: int | None = None, only: Mapping[str, Sequence[str]] | None = None
+) -> Data:
     """One column per training category but the first; an unknown category has zero in all of them.
 
     The new columns follow the remaining ones. Every category is a column of the result; ``max_categories`` refuses
     columns with more of them. A row's place among the categories is joined, so the plan has only a comparison with a
     number for each column; a list in the plan would be copied for each of them when a filter on them is moved down.
+
+    A plan grows with its columns, on the driver and in each task. For more categories than these hold, ``only`` names
+    those that get a column (see ``category_blocks``), so that all columns are made a block at a time. Blocks of one
+    length differ in names alone, and tasks compile their code once.
     """
     names = list(columns)
     indicators: dict[str, str] = {}
     places: dict[str, DataFrame] = {}
     for i, column in enumerate(names):
-        listed = short_list(training(data), _text(column), max_categories)
-        if listed is None:
-            raise ValueError(f"{column} has more than {max_categories} categories")
+        if only is None:
+            listed = short_list(training(data), _text(column), max_categories)
+            if listed is None:
+                raise ValueError(f"{column} has more than {max_categories} categories")
+            listed = listed[1:]
+        else:
+            listed = only[column]
         places[column] = _listed_codes(training(data), listed).withColumnRenamed("__code", f"__place{i}")
-        for k, category in enumerate(listed[1:], 1):
+        for k, category in enumerate(listed):
             indicators[f"{column}_{category}"] = f"double(__place{i} <=> {k}L)"
 
     def widened(df: DataFrame) -> DataFrame:

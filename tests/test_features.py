@@ -4,6 +4,8 @@ import pytest
 from helpers import values
 from pyspark.sql import functions as F
 
+from catalog import features
+from catalog.registry import Tables
 from quern.frames import Splits, numeric_columns
 from quern.operators import encode, power, reduce, scale
 
@@ -68,6 +70,48 @@ def test_one_hot_of_many_categories(spark):
     assert sorted(values(summed, "id", "one")) == [(i, 1.0) for i in range(1, 300)]
 
 
+@pytest.mark.parametrize("width", [1, 2, 100])
+def test_one_hot_by_blocks(parts, width):
+    """The blocks together have the columns of the whole, in order, with the same values."""
+    whole = encode.one_hot_encode(parts, ["c"])
+    blocks = list(encode.category_blocks(parts, "c", width))
+    assert [len(block) for block in blocks] == {1: [1, 1], 2: [2], 100: [2]}[width]
+    frames = [encode.one_hot_encode(parts, ["c"], only={"c": block}) for block in blocks]
+    assert ["y", *(c for f in frames for c in f.test.columns[1:])] == whole.test.columns
+    for f in frames:
+        assert values(f.train) == values(whole.train, *f.train.columns)
+        assert values(f.test) == values(whole.test, *f.test.columns)
+
+
+def test_blocks_of_categories(spark):
+    rows = spark.range(25).selectExpr("concat('k', id % 24) AS c").repartition(3)
+    listed = sorted(f"k{i}" for i in range(24))[1:]
+    assert list(encode.category_blocks(rows, "c", 10)) == [listed[:10], listed[10:20], listed[20:]]
+    assert list(encode.category_blocks(rows.filter("c = 'k1'"), "c")) == []
+    assert list(encode.category_blocks(rows.filter("c = 'no'"), "c")) == []
+
+
+def test_one_hot_per_row_holds_a_block(spark, tmp_path, monkeypatch):
+    """Neither the width of a plan nor the lists on the driver grow with the number of rows."""
+    spark.range(2_500).selectExpr("id as s_suppkey", "concat('Supplier `', 9999 - id) as s_name").write.parquet(
+        f"{tmp_path}/supplier.parquet"
+    )
+    widths, whole = [], encode.one_hot_encode
+
+    def watched(*args, **options):
+        made = whole(*args, **options)
+        widths.append(len(made.columns))
+        return made
+
+    monkeypatch.setattr(encode, "one_hot_encode", watched)
+    got = features.encode_one_hot_per_row(Tables(spark, str(tmp_path)))
+    kept = [i for i in range(2_500) if i != 2_499]  # its name is the first category
+    assert values(got) == sorted(
+        ((p, sum(i % 10 == p for i in kept), float(sum(i for i in kept if i % 10 == p))) for p in range(10)), key=str
+    )
+    assert sum(widths) >= 2_499 and max(widths) <= 1_003
+
+
 def test_one_hot_names_are_kept(spark):
     """Categories are names of columns as they are, whatever they mean in SQL."""
     odd = ["a", "b`c", "d.e", "f g", "h'i", "${spark.app.name}", "l\nm", "\\n", "n--", "nan"]
